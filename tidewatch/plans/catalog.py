@@ -26,6 +26,7 @@ from tidewatch.schema import CORE_COLUMNS, CORRUPT_COLUMN
 from tidewatch.sources.feed import parse_iso_ts, parse_lines, read_feed
 from tidewatch.sources.sinks import join_path, work_folder
 from tidewatch.sources.tables import events_as_feed, orders_as_feed
+from tidewatch.streaming.micro_batch import read_output, start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -436,3 +437,38 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     clean, _ = split_dq(annotated)
     scored = score(clean, EVENT_RULES, heavy=heavy_accounts(source))
     return reports.batch_counters(annotated, configured_alerts(scored, EVENT_RULES), 0)
+
+
+# ---- streaming -------------------------------------------------------------
+
+_SLICES = 4
+
+
+def _stream_root(spark: SparkSession, folder: str) -> str:
+    """Stream the event feed as it lands, a time slice at a time, one restart each."""
+    landing, root = work_folder(spark, "landing"), work_folder(spark, "stream")
+    feed = event_feed(spark, folder)
+    first, last = feed.agg(F.min("txn_ts"), F.max("txn_ts")).first()
+    step = (last - first) / _SLICES
+    for number in range(_SLICES):
+        begins = F.col("txn_ts") >= F.lit(first + number * step)
+        ends = F.col("txn_ts") < F.lit(first + (number + 1) * step)
+        inside = begins if number == _SLICES - 1 else begins & ends
+        feed.filter(inside).write.mode("append").json(landing)
+        start_stream(
+            spark, landing, root, DEFAULT_DQ, EVENT_RULES,
+            available_now=True, max_files=None, snapshot_every=2,
+        ).awaitTermination()
+    return root
+
+
+@_register("stream_alerts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    stored = read_output(spark, _stream_root(spark, folder), "alerts")
+    return _show_alerts(stored)
+
+
+@_register("stream_counters")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    counters = read_output(spark, _stream_root(spark, folder), "counters")
+    return counters.agg(*[F.sum(name).alias(name) for name in ("rows", "quarantined", "alerts")])

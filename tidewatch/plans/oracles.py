@@ -320,6 +320,11 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM quarantined) AS quarantined,
                    (SELECT count(*) FROM alerts) AS alerts""",
     }
+    sql["stream_alerts"] = sql["alerts"]
+    sql["stream_counters"] = f"""{_TO_ALERTS}
+        SELECT (SELECT count(*) FROM annotated) AS "rows",
+               (SELECT count(*) FROM quarantined) AS quarantined,
+               (SELECT count(*) FROM alerts) AS alerts"""
     for kind, checks in _CHECKS.items():
         sql[f"dq_{kind}"] = f"""{_TO_FEED}
             SELECT * FROM (SELECT {_CORE}, {_TIME}, {_labels(checks)} AS dq_failures FROM feed)

@@ -43,11 +43,14 @@ def read_feed_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_feed(
-    spark: SparkSession, path: str, *, capture: bool = False, max_files: int = 1
+    spark: SparkSession, path: str, *, capture: bool = False, max_files: int | None = 1
 ) -> DataFrame:
-    """The same directory as an unbounded source, ``max_files`` files per trigger."""
+    """The same directory as an unbounded source, ``max_files`` files per trigger
+    (None: all that landed)."""
     reader: DataStreamReader = require_utc(spark).readStream.schema(_schema(capture))
-    return reader.options(**_PARSER_OPTIONS).option("maxFilesPerTrigger", max_files).json(path)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.options(**_PARSER_OPTIONS).json(path)
 
 
 def parse_lines(df: DataFrame, column: str) -> DataFrame:

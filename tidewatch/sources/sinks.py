@@ -64,30 +64,37 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     Only a local session without that setting gets a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidewatch-")
     return join_path(root, f"{name}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write a frame to a work table and read it back.
-
-    What follows reads columns and partitions of that table instead of running
-    the plan again, also after executors were lost.
-    """
-    path = work_folder(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    types = {field.name: field.dataType for field in df.schema.fields}
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return back.select(*[back[column].cast(types[column]).alias(column) for column in df.columns])
+class WorkTables:
+    """Frames written out and read back, so that what follows reads columns and
+    partitions of a table instead of running the plan again, also after executors
+    were lost."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        path = work_folder(self._spark, name)
+        self._paths.append(path)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def drop(self) -> None:
+        """Delete the tables; frames that read them stop working."""
+        jvm, hadoop = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
+        for path in self._paths:
+            location = jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(hadoop).delete(location, True)
+        self._paths.clear()
 
 
 def cached(df: DataFrame) -> DataFrame:
