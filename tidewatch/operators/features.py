@@ -3,11 +3,15 @@
 Ordinary accounts take the window route: one shuffle by account and linear-time
 frames. Accounts too heavy for one task take the compact route, which first
 folds their rows into one row per account and second (map-side combined), so a
-window over an account is bounded by the calendar, not by the data.
+window over an account is bounded by the calendar, not by the data. A second
+that is itself too heavy is cut into slices.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -101,67 +105,118 @@ def _by_windows(df: DataFrame) -> DataFrame:
     )
 
 
-def _by_seconds(df: DataFrame) -> DataFrame:
+# Slices of one account-second, and sampled rows per slice that place them.
+_MAX_SLICES = 1000
+_SAMPLED_ROWS = 20
+
+
+def _with_slices(df: DataFrame, limits: SkewLimits) -> DataFrame:
+    """Add ``_slice``: 0, or the place of a row's slice in a too heavy second.
+
+    A feed stamped with dates only, say, puts all of an account's day into one
+    second. Such a second is cut along the row order at split points taken from
+    a sample by hash. Where the cuts fall affects balance only, not results.
+    """
+    ties = _tie_breaks(df)
+    counts = df.groupBy("account_id", "_epoch").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.filter(F.col("_n") >= limits.group_rows).orderBy(F.desc("_n"))
+    found = heavy.limit(limits.lookup_rows).toArrow()
+    if found.num_rows == 0:
+        return df.withColumn("_slice", F.lit(0))
+    slices = F.least(F.ceil(F.col("_n") / F.lit(limits.group_rows)) + 1, F.lit(_MAX_SLICES))
+    seconds = df.sparkSession.createDataFrame(found).select(
+        F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"), "_n",
+        slices.alias("_slices"),
+    )
+    here = F.col("account_id").eqNullSafe(F.col("_a")) & F.col("_epoch").eqNullSafe(F.col("_e"))
+    key = F.struct(*ties)
+    every = F.greatest(F.floor(F.col("_n") / (F.col("_slices") * _SAMPLED_ROWS)), F.lit(1))
+    sample = (
+        df.join(F.broadcast(seconds), here)
+        .filter(F.pmod(F.xxhash64(*ties), every) == 0)
+        .select("_a", "_e", "_slices", key.alias("_key"))
+    )
+    second = Window.partitionBy("_a", "_e")
+    place = F.row_number().over(second.orderBy("_key"))
+    share = F.floor(place * F.col("_slices") / F.count(F.lit(1)).over(second))
+    shared = sample.select("_a", "_e", "_slices", "_key", share.alias("_share"))
+    points = (
+        shared.filter(F.col("_share") < F.col("_slices"))
+        .groupBy("_a", "_e", "_share").agg(F.min("_key").alias("_key"))
+        .groupBy("_a", "_e").agg(F.collect_list("_key").alias("_points"))
+    )
+    passed = F.filter("_points", lambda point: point <= key)
+    return df.join(F.broadcast(points), here, "left").select(
+        *df.columns, F.coalesce(F.size(passed), F.lit(0)).alias("_slice")
+    )
+
+
+def _matches(columns: dict[str, str]) -> Column:
+    """NULL-safe equality of each column with its counterpart."""
+    pairs = [F.col(left).eqNullSafe(F.col(right)) for left, right in columns.items()]
+    return reduce(and_, pairs)
+
+
+def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
     """The same columns for heavy accounts; no window spans an account's rows."""
     ties = _tie_breaks(df)
+    columns = df.columns
+    df = _with_slices(df, limits)
     amount = F.col("amount")
-    per_second = (
-        df.groupBy("account_id", "_epoch")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count("amount").alias("_amounts"),
-            F.count_if(inexact_amount(amount)).alias("_inexact"),
-            F.sum(exact_amount(amount)).alias("_total"),
-            F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
-        )
+    units = df.groupBy("account_id", "_epoch", "_slice").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("amount").alias("_amounts"),
+        F.count_if(inexact_amount(amount)).alias("_inexact"),
+        F.sum(exact_amount(amount)).alias("_total"),
+        F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
     )
-    seconds = Window.partitionBy("account_id").orderBy("_epoch")
-    timeline = per_second.withColumns({
-        "_before_country": F.lag("_last.country").over(seconds),
-        "_before_epoch": F.lag("_epoch").over(seconds),
+    line = Window.partitionBy("account_id").orderBy("_epoch", "_slice")
+    timeline = units.withColumns({
+        "_before_country": F.lag("_last.country").over(line),
+        "_before_epoch": F.lag("_epoch").over(line),
     }).withColumns(_rolling_columns(
         rows=F.col("_rows"), amounts=F.col("_amounts"), inexact=F.col("_inexact"),
         total=F.col("_total"),
     )).select(
-        F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"), "_before_country",
-        "_before_epoch", "txns_last_hour", "_day_amounts", "_day_inexact", "_day_total",
+        F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"),
+        F.col("_slice").alias("_s"), "_before_country", "_before_epoch", "txns_last_hour",
+        "_day_amounts", "_day_inexact", "_day_total",
     )
     earlier = (
-        Window.partitionBy("account_id", "beneficiary_id").orderBy("_epoch")
+        Window.partitionBy("account_id", "beneficiary_id").orderBy("_epoch", "_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     payees = (
-        df.groupBy("account_id", "beneficiary_id", "_epoch")
+        df.groupBy("account_id", "beneficiary_id", "_epoch", "_slice")
         .agg(F.count(F.lit(1)).alias("_paid"))
         .select(
             F.col("account_id").alias("_pa"), F.col("beneficiary_id").alias("_pb"),
-            F.col("_epoch").alias("_pe"),
+            F.col("_epoch").alias("_pe"), F.col("_slice").alias("_ps"),
             F.coalesce(F.sum("_paid").over(earlier), F.lit(0)).alias("_paid_before"),
         )
     )
-    second = Window.partitionBy("account_id", "_epoch").orderBy(*ties)
-    payee_second = Window.partitionBy("account_id", "_epoch", "beneficiary_id").orderBy(*ties)
+    unit = Window.partitionBy("account_id", "_epoch", "_slice")
+    payee_unit = Window.partitionBy("account_id", "_epoch", "_slice", "beneficiary_id")
     within = df.withColumns({
-        "_place": F.row_number().over(second),
-        "_peer_country": F.lag("country").over(second),
-        "_payee_place": F.row_number().over(payee_second),
+        "_place": F.row_number().over(unit.orderBy(*ties)),
+        "_peer_country": F.lag("country").over(unit.orderBy(*ties)),
+        "_payee_place": F.row_number().over(payee_unit.orderBy(*ties)),
     })
     leads = F.col("_place") == 1
     joined = within.join(
-        timeline,
-        F.col("account_id").eqNullSafe(F.col("_a")) & F.col("_epoch").eqNullSafe(F.col("_e")),
+        timeline, _matches({"account_id": "_a", "_epoch": "_e", "_slice": "_s"})
     ).join(
-        payees,
-        F.col("account_id").eqNullSafe(F.col("_pa")) & F.col("_epoch").eqNullSafe(F.col("_pe"))
-        & F.col("beneficiary_id").eqNullSafe(F.col("_pb")),
+        payees, _matches({
+            "account_id": "_pa", "_epoch": "_pe", "_slice": "_ps", "beneficiary_id": "_pb",
+        })
     )
     return joined.select(
-        *df.columns,
-        (F.col("_paid_before") + F.col("_payee_place")).cast("int").alias("beneficiary_seq"),
+        *columns,
         F.when(leads, F.col("_before_country")).otherwise(F.col("_peer_country"))
         .alias("prev_country"),
         F.when(leads, F.col("_before_epoch")).otherwise(F.col("_epoch")).alias("prev_epoch"),
         "txns_last_hour", "_day_amounts", "_day_inexact", "_day_total",
+        (F.col("_paid_before") + F.col("_payee_place")).cast("int").alias("beneficiary_seq"),
     )
 
 
@@ -188,7 +243,7 @@ def derive(
     timed = df.withColumn("_epoch", F.col("txn_ts").cast("timestamp").cast("long"))
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
-        featured = _by_windows(others).unionByName(_by_seconds(hot))
+        featured = _by_windows(others).unionByName(_by_seconds(hot, limits))
     else:
         featured = _by_windows(timed)
     return featured.select(

@@ -38,7 +38,8 @@ def _contest(df: DataFrame, key: str, order: list[Column], flag: str, chunk_rows
     rank = F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])
     contents = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).withColumn("_rank", rank)
     first = contents.groupBy(F.col(key).alias("_key")).agg(F.min("_rank").alias("_first"))
-    judged = contents.join(first, F.col(key).eqNullSafe(F.col("_key"))).select(
+    # One row per key, and the caller bounds the keys that come here.
+    judged = contents.join(F.broadcast(first), F.col(key).eqNullSafe(F.col("_key"))).select(
         *names, "_n", F.col("_rank").eqNullSafe(F.col("_first")).alias("_is_first")
     )
     start = F.lit(0).cast("long")

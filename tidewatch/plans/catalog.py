@@ -349,6 +349,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _show_scored(_scored(spark, folder, SkewLimits(group_rows=66)))
 
 
+@_register("score_heavy_seconds")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as if of one account: a single account holds every row, and each
+    of its days is one second shared by several rows."""
+    source = order_feed(spark, folder).withColumn("account_id", F.lit("ACC"))
+    clean, _ = apply_dq(source, DEFAULT_DQ)
+    scored = score(clean, DEFAULT_RULES, heavy=["ACC"], limits=SkewLimits(group_rows=3))
+    return _show_scored(scored)
+
+
 # ---- alerts and reports ----------------------------------------------------
 
 

@@ -49,6 +49,8 @@ feed AS (
   FROM orders
 )"""
 
+_ONE_ACCOUNT = _ORDER_FEED.replace("'ACC' || o_custkey AS", "'ACC' AS")
+
 # ---- gate ------------------------------------------------------------------
 
 _CHECKS = {
@@ -287,6 +289,8 @@ def oracle_sql() -> dict[str, str]:
         "score_full": f"{_TO_ALERTS} SELECT {_FULL} FROM scored",
         "score_heavy_accounts": f"{_TO_ALERTS} SELECT {_FULL} FROM scored",
         "score_orders": f"{_ORDERS_TO_ALERTS} SELECT {_FULL} FROM scored",
+        "score_heavy_seconds": f"""WITH {_ONE_ACCOUNT},{_RANKED},{_ANNOTATED},{_DERIVED},
+            {_scored(_DEFAULT_RULES)} SELECT {_FULL} FROM scored""",
         "alerts": f"{_TO_ALERTS} SELECT {_ALERT} FROM alerts",
         "alerts_tagged": f"""{_TO_ALERTS}
             SELECT txn_id, risk_score, 'run00001' AS run_id FROM alerts""",
