@@ -1,6 +1,8 @@
 """Transaction monitoring on Spark: quality gate, history columns, fraud rules, alerts."""
 
-from tidewatch.config import DEFAULT_DQ, DEFAULT_RULES, load_config, with_params
+from tidewatch.config import (
+    DEFAULT_DQ, DEFAULT_RULES, load_config, with_malformed_check, with_params,
+)
 from tidewatch.functions.checks import register_check
 from tidewatch.functions.rules import register_rule
 from tidewatch.operators.features import derive, heavy_accounts

@@ -10,6 +10,8 @@ import copy
 import json
 from typing import Any
 
+from tidewatch.schema import CORRUPT_COLUMN
+
 # Default quality gate (labels, order, limits and value lists).
 DEFAULT_DQ: dict[str, Any] = {
     "unique_key": "txn_id",
@@ -30,6 +32,9 @@ DEFAULT_DQ: dict[str, Any] = {
     ],
 }
 
+# Opt-in check for feeds read with ``capture``: the line did not parse whole.
+MALFORMED_CHECK = {"name": "malformed_record", "type": "is_null", "column": CORRUPT_COLUMN}
+
 # Default bands, rule names, weights and thresholds.
 DEFAULT_RULES: dict[str, Any] = {
     "min_alert_band": "MEDIUM",
@@ -68,6 +73,11 @@ def load_config(path: str) -> dict[str, Any]:
         return yaml.safe_load(source)
 
 
+def with_malformed_check(dq_config: dict[str, Any]) -> dict[str, Any]:
+    """Copy of a gate configuration that also names malformed lines, first of all checks."""
+    return {**dq_config, "checks": [MALFORMED_CHECK, *(dq_config.get("checks") or [])]}
+
+
 def with_params(config: dict[str, Any], **overrides: dict[str, Any]) -> dict[str, Any]:
     """Copy of a rule configuration with some rules' params replaced.
 

@@ -27,6 +27,10 @@ def _not_null(value: Column, _: Mapping[str, Any]) -> Column:
     return value.isNull()
 
 
+def _is_null(value: Column, _: Mapping[str, Any]) -> Column:
+    return value.isNotNull()
+
+
 def _positive(value: Column, _: Mapping[str, Any]) -> Column:
     return value <= F.lit(0)
 
@@ -46,6 +50,7 @@ def _regex(value: Column, params: Mapping[str, Any]) -> Column:
 
 _BUILDERS: dict[str, CheckBuilder] = {
     "not_null": _not_null,
+    "is_null": _is_null,
     "positive": _positive,
     "max_value": _max_value,
     "allowed_values": _allowed_values,

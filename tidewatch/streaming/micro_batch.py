@@ -162,6 +162,7 @@ def start_stream(
     *,
     checkpoint: str | None = None,
     available_now: bool = False,
+    capture: bool = False,
     max_files: int | None = FILES_PER_TRIGGER,
     run_id: str = "stream",
     limits: SkewLimits = DEFAULT_LIMITS,
@@ -182,7 +183,7 @@ def start_stream(
         )
 
     writer = (
-        stream_feed(spark, landing, max_files=max_files).writeStream.foreachBatch(on_batch)
+        stream_feed(spark, landing, capture=capture, max_files=max_files).writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint or join_path(root, "checkpoint"))
     )
     if available_now:
