@@ -13,8 +13,8 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.window import WindowSpec
 
+from tidewatch.functions import money
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits, heavy_keys, split_by_keys
 
 # Lengths of the rolling frames in seconds, both ends inclusive.
@@ -26,83 +26,77 @@ FEATURE_COLUMNS = [
     "hours_since_prev", "beneficiary_seq", "txn_hour",
 ]
 
+# Where rows without a time stand in the range frames: together, before all others.
+_NO_TIME = -(2**62)
+
 _TIE_BREAKS = [
     "txn_ts", "txn_id", "customer_id", "beneficiary_id", "amount", "currency", "channel",
     "country", "merchant_category",
 ]
 
 
-def exact_amount(amount: Column) -> Column:
-    """Amount as a decimal, so that sums do not depend on their order.
-
-    NULL when it cannot be one (NaN, infinities, 1e22 and above).
-    """
-    return amount.try_cast("decimal(28,6)")
-
-
-def inexact_amount(amount: Column) -> Column:
-    """TRUE for an amount that :func:`exact_amount` cannot represent."""
-    return amount.isNotNull() & exact_amount(amount).isNull()
-
-
-def _rolling(column: Column, seconds: int, account: WindowSpec) -> Column:
+def _rolling(column: str, seconds: int) -> Column:
     """Sum of ``column`` over the last ``seconds`` up to now, in linear time.
 
     The difference of two frames that only ever grow. A sliding frame would be
-    re-added for every row, which is quadratic in the rows of a busy period.
+    added up again for every row, which is quadratic in the rows of a busy period.
     """
-    by_second = account.orderBy("_epoch")
-    now = F.sum(column).over(by_second.rangeBetween(Window.unboundedPreceding, 0))
-    old = F.sum(column).over(by_second.rangeBetween(Window.unboundedPreceding, -seconds - 1))
-    return F.when(F.col("_epoch").isNull(), now).otherwise(now - F.coalesce(old, F.lit(0)))
+    line = Window.partitionBy("account_id").orderBy("_at")
+    now = F.sum(column).over(line.rangeBetween(Window.unboundedPreceding, 0))
+    old = F.sum(column).over(line.rangeBetween(Window.unboundedPreceding, -seconds - 1))
+    return now - F.coalesce(old, F.lit(0))
+
+
+_PARTS = ["_rows", "_amounts", "_inexact", "_whole", "_millionths"]
 
 
-def _rolling_columns(
-    rows: Column, amounts: Column, inexact: Column, total: Column
-) -> dict[str, Column]:
-    account = Window.partitionBy("account_id")
+def _parts_of_row() -> dict[str, Column]:
+    """What the rolling frames add up: 1 and the parts of the amount."""
+    amount = F.col("amount")
     return {
-        "txns_last_hour": _rolling(rows, HOUR_SECONDS, account),
-        "_day_amounts": _rolling(amounts, DAY_SECONDS, account),
-        "_day_inexact": _rolling(inexact, DAY_SECONDS, account),
-        "_day_total": _rolling(F.coalesce(total, F.lit(0)), DAY_SECONDS, account),
+        "_rows": F.lit(1).cast("long"),
+        "_amounts": amount.isNotNull().cast("long"),
+        "_inexact": F.coalesce(~money.splits(amount), F.lit(False)).cast("long"),
+        "_whole": F.coalesce(money.whole(amount), F.lit(0)),
+        "_millionths": F.coalesce(money.millionths(amount), F.lit(0)),
     }
 
 
+def _rolling_parts(df: DataFrame) -> DataFrame:
+    day = {f"_day{part}": _rolling(part, DAY_SECONDS) for part in _PARTS[1:]}
+    return df.withColumns({"txns_last_hour": _rolling("_rows", HOUR_SECONDS), **day})
+
+
 def _amount_last_day() -> Column:
-    """NULL if no amount is in the frame, NaN while an inexact one is."""
-    return (
-        F.when(F.col("_day_amounts") == 0, F.lit(None).cast("double"))
-        .when(F.col("_day_inexact") > 0, F.lit(float("nan")))
-        .otherwise(F.col("_day_total").cast("double"))
+    return money.total(
+        F.col("_day_whole"), F.col("_day_millionths"), F.col("_day_amounts"), F.col("_day_inexact")
     )
 
 
+# Columns that both routes add to the input.
+_ROUTE_COLUMNS = [
+    "prev_country", "prev_epoch", "txns_last_hour", *[f"_day{part}" for part in _PARTS[1:]],
+    "beneficiary_seq",
+]
+
+
 def _tie_breaks(df: DataFrame) -> list[str]:
     return [name for name in _TIE_BREAKS if name in df.columns]
 
 
 def _by_windows(df: DataFrame) -> DataFrame:
-    order = ["_epoch", *_tie_breaks(df)]
+    order = ["_at", *_tie_breaks(df)]
     account = Window.partitionBy("account_id").orderBy(*order)
     payee = Window.partitionBy("account_id", "beneficiary_id").orderBy(*order)
-    one = F.lit(1).cast("long")
-    amount = F.col("amount")
     # The previous-row windows come first, as their sort also serves the range
     # frames; the payee ordinal needs a sort of its own and comes last.
-    return (
-        df.withColumns({
-            "prev_country": F.lag("country").over(account),
-            "prev_epoch": F.lag("_epoch").over(account),
-        })
-        .withColumns(_rolling_columns(
-            rows=one,
-            amounts=amount.isNotNull().cast("long"),
-            inexact=inexact_amount(amount).cast("long"),
-            total=exact_amount(amount),
-        ))
-        .withColumn("beneficiary_seq", F.row_number().over(payee))
-    )
+    previous = df.withColumns({
+        "prev_country": F.lag("country").over(account),
+        "prev_epoch": F.lag("_epoch").over(account),
+    })
+    rolled = _rolling_parts(previous.withColumns(_parts_of_row()))
+    ranked = rolled.withColumn("beneficiary_seq", F.row_number().over(payee))
+    return ranked.select(*df.columns, *_ROUTE_COLUMNS)
 
 
 # Slices of one account-second, and sampled rows per slice that place them.
@@ -162,25 +156,21 @@ def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
     ties = _tie_breaks(df)
     columns = df.columns
     df = _with_slices(df, limits)
-    amount = F.col("amount")
-    units = df.groupBy("account_id", "_epoch", "_slice").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("amount").alias("_amounts"),
-        F.count_if(inexact_amount(amount)).alias("_inexact"),
-        F.sum(exact_amount(amount)).alias("_total"),
+    units = df.groupBy("account_id", "_epoch", "_at", "_slice").agg(
+        # Decimals: an account's sums may outgrow a bigint here.
+        *[F.sum(value.cast("decimal(20,0)")).alias(part)
+          for part, value in _parts_of_row().items()],
         F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
     )
-    line = Window.partitionBy("account_id").orderBy("_epoch", "_slice")
-    timeline = units.withColumns({
+    line = Window.partitionBy("account_id").orderBy("_at", "_slice")
+    timeline = _rolling_parts(units.withColumns({
         "_before_country": F.lag("_last.country").over(line),
         "_before_epoch": F.lag("_epoch").over(line),
-    }).withColumns(_rolling_columns(
-        rows=F.col("_rows"), amounts=F.col("_amounts"), inexact=F.col("_inexact"),
-        total=F.col("_total"),
-    )).select(
+    })).select(
         F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"),
-        F.col("_slice").alias("_s"), "_before_country", "_before_epoch", "txns_last_hour",
-        "_day_amounts", "_day_inexact", "_day_total",
+        F.col("_slice").alias("_s"), "_before_country", "_before_epoch",
+        F.col("txns_last_hour").cast("long").alias("txns_last_hour"),
+        *[f"_day{part}" for part in _PARTS[1:]],
     )
     earlier = (
         Window.partitionBy("account_id", "beneficiary_id").orderBy("_epoch", "_slice")
@@ -215,7 +205,7 @@ def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
         F.when(leads, F.col("_before_country")).otherwise(F.col("_peer_country"))
         .alias("prev_country"),
         F.when(leads, F.col("_before_epoch")).otherwise(F.col("_epoch")).alias("prev_epoch"),
-        "txns_last_hour", "_day_amounts", "_day_inexact", "_day_total",
+        "txns_last_hour", *[f"_day{part}" for part in _PARTS[1:]],
         (F.col("_paid_before") + F.col("_payee_place")).cast("int").alias("beneficiary_seq"),
     )
 
@@ -240,7 +230,9 @@ def derive(
     if heavy is None:
         heavy = heavy_accounts(df, limits)
     columns = df.columns
-    timed = df.withColumn("_epoch", F.col("txn_ts").cast("timestamp").cast("long"))
+    timed = df.withColumn("_epoch", F.col("txn_ts").cast("timestamp").cast("long")).withColumn(
+        "_at", F.coalesce("_epoch", F.lit(_NO_TIME))
+    )
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
         featured = _by_windows(others).unionByName(_by_seconds(hot, limits))

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.features import exact_amount, inexact_amount
+from tidewatch.functions.money import exact_sum
 
 # Largest difference in amount that still reconciles.
 AMOUNT_TOLERANCE = 0.01
@@ -21,8 +21,8 @@ def _tally(**sides: DataFrame) -> DataFrame:
     """One row with ``<side>_n`` and ``<side>_sum`` per side, in one aggregation.
 
     The sides are stacked as (side, amount) rows, so no join is needed to bring
-    their totals together. Sums are exact decimals rounded to cents; an amount
-    that is no decimal makes its side's sum NaN.
+    their totals together. Sums are exact and then rounded to cents; an amount
+    without an exact form makes its side's sum NaN.
     """
     stacked = reduce(
         DataFrame.unionByName,
@@ -32,13 +32,10 @@ def _tally(**sides: DataFrame) -> DataFrame:
 
     def totals(side: str) -> list[Column]:
         here = F.col("side") == side
-        total = F.sum(F.when(here, exact_amount(amount)))
-        odd = F.count_if(here & inexact_amount(amount))
+        total = exact_sum(F.when(here, amount))
         return [
             F.count_if(here).alias(f"{side}_n"),
-            F.when(odd > 0, F.lit(float("nan")))
-            .otherwise(F.coalesce(F.round(total, 2).cast("double"), F.lit(0.0)))
-            .alias(f"{side}_sum"),
+            F.coalesce(F.round(total, 2), F.lit(0.0)).alias(f"{side}_sum"),
         ]
 
     return stacked.agg(*[column for side in sides for column in totals(side)])

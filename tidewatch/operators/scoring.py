@@ -86,7 +86,21 @@ def alerts_only(scored: DataFrame, min_band: str = DEFAULT_MIN_BAND) -> DataFram
 
 
 def configured_alerts(scored: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
-    return alerts_only(scored, rules_config.get("min_alert_band", DEFAULT_MIN_BAND))
+    """Rows of the configured minimum band and above.
+
+    The bands are bounds on the score, so the score is what is compared: one sum
+    over the rules per row, where the band would repeat it for each of its bounds.
+    """
+    min_band = rules_config.get("min_alert_band", DEFAULT_MIN_BAND)
+    if min_band not in BANDS:
+        raise ValueError(f"unknown risk band {min_band!r}; known: {', '.join(BANDS)}")
+    if min_band == "NONE":
+        return scored
+    bounds = band_bounds(rules_config)
+    points = F.col("risk_score")
+    if min_band == "LOW":
+        return scored.filter((points > 0) | (points >= F.lit(float(bounds["medium"]))))
+    return scored.filter(points >= F.lit(float(bounds[min_band.lower()])))
 
 
 def tag_run(alerts: DataFrame, run_id: str) -> DataFrame:
