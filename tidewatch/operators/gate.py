@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -88,6 +90,28 @@ def mark_duplicates(
     return settle(others).unionByName(decided)
 
 
+def label_failures(
+    df: DataFrame, dq_config: Mapping[str, Any], duplicate: Column | None = None
+) -> DataFrame:
+    """Add ``dq_failures`` and ``dq_passed`` from the row checks and a duplicate verdict.
+
+    Needs no job and no shuffle, so it also runs on an unbounded frame.
+    """
+    checks = compile_checks(dq_config, df.schema)
+    failed = [check.failed for check in checks]
+    labels = [check.label_if_failed for check in checks]
+    if duplicate is not None:
+        failed.append(duplicate)
+        labels.append(F.when(duplicate, F.lit(f"duplicate_{dq_config['unique_key']}")))
+    if not failed:
+        return df.withColumns({"dq_failures": _no_failures(), "dq_passed": F.lit(True)})
+    any_failed = reduce(or_, failed)
+    # The pass flag reads the predicates, not the array, so a filter on it stays
+    # a cheap boolean expression and clean rows never build an array at all.
+    named = F.when(any_failed, F.array_compact(F.array(*labels))).otherwise(_no_failures())
+    return df.withColumns({"dq_failures": named, "dq_passed": ~any_failed})
+
+
 def annotate_dq(
     df: DataFrame,
     dq_config: Mapping[str, Any],
@@ -100,31 +124,14 @@ def annotate_dq(
     ``known_duplicate`` marks rows whose key was already seen elsewhere, such as
     in an earlier micro-batch; they get the duplicate label too.
     """
-    checks = compile_checks(dq_config, df.schema)
-    failed = [check.failed for check in checks]
-    labels = [check.label_if_failed for check in checks]
-    columns = df.columns
-    key = dq_config.get("unique_key")
+    compile_checks(dq_config, df.schema)  # a bad configuration fails before any job runs
+    columns, key, duplicate = df.columns, dq_config.get("unique_key"), None
     if key:
         df = mark_duplicates(df, key, flag="_duplicate", limits=limits)
         duplicate = F.col("_duplicate")
         if known_duplicate is not None:
             duplicate = duplicate | F.coalesce(known_duplicate, F.lit(False))
-        failed.append(duplicate)
-        labels.append(F.when(duplicate, F.lit(f"duplicate_{key}")))
-    if not failed:
-        return df.select(*columns, _no_failures().alias("dq_failures"), F.lit(True).alias("dq_passed"))
-    any_failed = failed[0]
-    for verdict in failed[1:]:
-        any_failed = any_failed | verdict
-    # The pass flag reads the predicates, not the array, so a filter on it stays
-    # a cheap boolean expression and clean rows never build an array at all.
-    return df.select(
-        *columns,
-        F.when(any_failed, F.array_compact(F.array(*labels))).otherwise(_no_failures())
-        .alias("dq_failures"),
-        (~any_failed).alias("dq_passed"),
-    )
+    return label_failures(df, dq_config, duplicate).select(*columns, "dq_failures", "dq_passed")
 
 
 def split_dq(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,9 +7,11 @@ text to the second, so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.config import DEFAULT_DQ, DEFAULT_RULES, with_params
 from tidewatch.functions.rules import compile_rules
@@ -26,6 +28,7 @@ from tidewatch.schema import CORE_COLUMNS, CORRUPT_COLUMN
 from tidewatch.sources.feed import parse_iso_ts, parse_lines, read_feed
 from tidewatch.sources.sinks import join_path, work_folder
 from tidewatch.sources.tables import events_as_feed, orders_as_feed
+from tidewatch.streaming.keyed_state import PROVIDER_SETTING, ROCKSDB, start_keyed_stream
 from tidewatch.streaming.micro_batch import read_output, start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -454,7 +457,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 _SLICES = 4
 
 
-def _stream_root(spark: SparkSession, folder: str) -> str:
+def _stream_root(spark: SparkSession, folder: str, start: Callable[..., StreamingQuery]) -> str:
     """Stream the event feed as it lands, a time slice at a time, one restart each."""
     landing, root = work_folder(spark, "landing"), work_folder(spark, "stream")
     feed = event_feed(spark, folder)
@@ -465,20 +468,32 @@ def _stream_root(spark: SparkSession, folder: str) -> str:
         ends = F.col("txn_ts") < F.lit(first + (number + 1) * step)
         inside = begins if number == _SLICES - 1 else begins & ends
         feed.filter(inside).write.mode("append").json(landing)
-        start_stream(
-            spark, landing, root, DEFAULT_DQ, EVENT_RULES,
-            available_now=True, max_files=None, snapshot_every=2,
-        ).awaitTermination()
+        query = start(
+            spark, landing, root, DEFAULT_DQ, EVENT_RULES, available_now=True, max_files=None
+        )
+        query.awaitTermination()
     return root
 
 
 @_register("stream_alerts")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    stored = read_output(spark, _stream_root(spark, folder), "alerts")
-    return _show_alerts(stored)
+    start = partial(start_stream, snapshot_every=2)
+    return _show_alerts(read_output(spark, _stream_root(spark, folder, start), "alerts"))
 
 
 @_register("stream_counters")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    counters = read_output(spark, _stream_root(spark, folder), "counters")
+    counters = read_output(spark, _stream_root(spark, folder, start_stream), "counters")
     return counters.agg(*[F.sum(name).alias(name) for name in ("rows", "quarantined", "alerts")])
+
+
+@_register("stream_keyed_alerts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The same stream with its history in Spark's state store."""
+    before = spark.conf.get(PROVIDER_SETTING)
+    spark.conf.set(PROVIDER_SETTING, ROCKSDB)
+    try:
+        root = _stream_root(spark, folder, start_keyed_stream)
+    finally:
+        spark.conf.set(PROVIDER_SETTING, before)
+    return _show_alerts(read_output(spark, root, "alerts"))

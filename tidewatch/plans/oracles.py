@@ -324,7 +324,7 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM quarantined) AS quarantined,
                    (SELECT count(*) FROM alerts) AS alerts""",
     }
-    sql["stream_alerts"] = sql["alerts"]
+    sql["stream_alerts"] = sql["stream_keyed_alerts"] = sql["alerts"]
     sql["stream_counters"] = f"""{_TO_ALERTS}
         SELECT (SELECT count(*) FROM annotated) AS "rows",
                (SELECT count(*) FROM quarantined) AS quarantined,
