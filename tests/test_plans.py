@@ -90,3 +90,11 @@ def test_projection_prunes_the_scan(landed):
     clean, _ = split_dq(annotate_dq(landed, {"checks": DEFAULT_DQ["checks"][:2]}))
     schema = re.search(r"ReadSchema: struct<(.*?)>", plan(clean.select("txn_id"))).group(1)
     assert {column.split(":")[0] for column in schema.split(",")} == {"txn_id", "account_id"}
+
+
+def test_session_settings_follow_the_input():
+    from tidewatch import session_settings
+
+    assert session_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
+    assert session_settings(100 * 1024**4)["spark.sql.shuffle.partitions"] == "200000"
+    assert session_settings(10 * 1024**4)["spark.sql.shuffle.partitions"] == "20480"

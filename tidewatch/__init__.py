@@ -14,6 +14,7 @@ from tidewatch.operators.reports import (
 from tidewatch.operators.scoring import alerts_only, configured_alerts, project_alerts, score, tag_run
 from tidewatch.operators.skew import SkewLimits
 from tidewatch.plans.batch import BatchRun, run_batch
+from tidewatch.plans.settings import session_settings
 from tidewatch.schema import ALERT_COLUMNS, CORE_COLUMNS, FEED_SCHEMA
 from tidewatch.sources.feed import (
     parse_iso_ts, parse_lines, read_feed, read_feed_parquet, rows_to_feed, stream_feed,

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _MILLION = 1_000_000
-_BOUND = 1e11
+BOUND = 1e11
 
 
 def splits(amount: Column) -> Column:
     """TRUE if the amount is within the exact range (NULL for NULL)."""
     # NaN is above every number here, so it is out of range as well.
-    return F.abs(amount) < F.lit(_BOUND)
+    return F.abs(amount) < F.lit(BOUND)
 
 
 def whole(amount: Column) -> Column:

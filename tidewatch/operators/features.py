@@ -27,7 +27,7 @@ FEATURE_COLUMNS = [
 ]
 
 # Where rows without a time stand in the range frames: together, before all others.
-_NO_TIME = -(2**62)
+NO_TIME = -(2**62)
 
 _TIE_BREAKS = [
     "txn_ts", "txn_id", "customer_id", "beneficiary_id", "amount", "currency", "channel",
@@ -231,7 +231,7 @@ def derive(
         heavy = heavy_accounts(df, limits)
     columns = df.columns
     timed = df.withColumn("_epoch", F.col("txn_ts").cast("timestamp").cast("long")).withColumn(
-        "_at", F.coalesce("_epoch", F.lit(_NO_TIME))
+        "_at", F.coalesce("_epoch", F.lit(NO_TIME))
     )
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)

@@ -65,7 +65,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Only a local session without that setting gets a folder of this machine.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -18,8 +18,9 @@ from pyspark.sql.streaming import (
     StatefulProcessor, StatefulProcessorHandle, StreamingQuery,
 )
 
+from tidewatch.functions import money
 from tidewatch.functions.rules import compile_rules
-from tidewatch.operators.features import DAY_SECONDS, HOUR_SECONDS
+from tidewatch.operators.features import DAY_SECONDS, HOUR_SECONDS, NO_TIME
 from tidewatch.operators.gate import label_failures, split_dq
 from tidewatch.operators.reports import batch_counters
 from tidewatch.operators.scoring import configured_alerts, project_alerts, score_derived, tag_run
@@ -59,7 +60,11 @@ class FirstOfKey(StatefulProcessor):
 
 
 class AccountHistory(StatefulProcessor):
-    """History columns of an account's clean rows; other rows pass with NULLs."""
+    """History columns of an account's clean rows; other rows pass with NULLs.
+
+    Amounts that are missing or have no exact form add nothing to totals here;
+    the default gate lets none through.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", "epoch bigint, country string")
@@ -74,6 +79,28 @@ class AccountHistory(StatefulProcessor):
         frame = pd.DataFrame(dict(zip(names, map(list, parts))))
         return frame.astype({name: "int64" for name in names[:4]})
 
+    def _previous(
+        self, epoch: np.ndarray, country: pd.Series, recent: pd.DataFrame
+    ) -> tuple[pd.Series, np.ndarray]:
+        """Second and country of the row before each: this batch's, or the state's if later."""
+        never = np.iinfo("int64").min
+        before = np.concatenate([[never], epoch[:-1]])
+        place = np.concatenate([[None], country.to_numpy(object)[:-1]])
+        last_epoch, last_country = (
+            self._last.get() if self._last.exists() else (never, None)
+        )
+        known_epochs = np.concatenate([[never], recent["epoch"].to_numpy("int64")])
+        known_places = np.concatenate([[None], recent["country"].to_numpy(object)])
+        at = np.searchsorted(known_epochs, epoch, "right") - 1
+        known, known_place = known_epochs[at], known_places[at]
+        old = (known == never) & (last_epoch <= epoch)
+        known = np.where(old, last_epoch, known)
+        known_place = np.where(old, last_country, known_place)
+        later = known > before
+        found = np.where(later, known, before)
+        seconds = pd.Series(found, dtype="Int64").mask(found <= NO_TIME)
+        return seconds.array, np.where(later, known_place, place)
+
     def _ordinals(self, payees: pd.Series) -> pd.Series:
         """1, 2, ... per payee, continuing the counts of earlier batches."""
         keys = payees.map(lambda name: "-" if pd.isna(name) else f"+{name}")
@@ -87,9 +114,11 @@ class AccountHistory(StatefulProcessor):
     def _advance(self, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["second", *_ROW_ORDER], kind="stable", na_position="first")
         recent = self._recent()
-        epoch = rows["second"].to_numpy("int64")
-        whole = np.floor(rows["amount"].to_numpy())
-        fraction = np.floor((rows["amount"].to_numpy() - whole) * _MILLION + 0.5)
+        epoch = rows["second"].fillna(NO_TIME).to_numpy("int64")
+        amount = rows["amount"].to_numpy("float64", na_value=np.nan)
+        amount = np.where(np.abs(amount) < money.BOUND, amount, 0.0)
+        whole = np.floor(amount)
+        fraction = np.floor((amount - whole) * _MILLION + 0.5)
         added = pd.DataFrame({
             "epoch": epoch, "n": 1, "whole": whole.astype("int64"),
             "millionths": fraction.astype("int64"), "country": rows["country"].to_numpy(),
@@ -104,31 +133,15 @@ class AccountHistory(StatefulProcessor):
                 total -= sums[np.searchsorted(at, epoch - span, "left")]
             return total
 
-        # The previous row: the one before in this batch, or the state's if later.
-        older = np.searchsorted(recent["epoch"].to_numpy("int64"), epoch, "right") - 1
-        last = self._last.get() if self._last.exists() else None
-        previous_epoch, previous_country = [], []
-        for i, at in enumerate(epoch):
-            found = (epoch[i - 1], added["country"].iloc[i - 1]) if i else None
-            if older[i] >= 0:
-                known = recent.iloc[older[i]]
-                known = (known["epoch"], known["country"])
-            else:
-                known = last if last is not None and last[0] <= at else None
-            if known is not None and (found is None or known[0] > found[0]):
-                found = known
-            previous_epoch.append(found[0] if found else None)
-            previous_country.append(found[1] if found else None)
-
+        previous_epoch, previous_country = self._previous(epoch, added["country"], recent)
         day = rolling("whole", DAY_SECONDS) + rolling("millionths", DAY_SECONDS) / _MILLION
         result = rows.assign(
             txns_last_hour=rolling("n", HOUR_SECONDS), amount_last_day=day,
-            prev_country=previous_country,
-            prev_epoch=pd.array(previous_epoch, dtype="Int64"),
+            prev_country=previous_country, prev_epoch=previous_epoch,
             beneficiary_seq=self._ordinals(rows["beneficiary_id"]),
         )
 
-        if last is None or epoch[-1] >= last[0]:
+        if not self._last.exists() or epoch[-1] >= self._last.get()[0]:
             self._last.update((int(epoch[-1]), added["country"].iloc[-1]))
         merged = pd.concat([recent, added]).groupby("epoch", as_index=False).agg({
             "n": "sum", "whole": "sum", "millionths": "sum", "country": lambda c: c.iloc[-1],
