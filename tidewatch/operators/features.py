@@ -84,10 +84,16 @@ def _tie_breaks(df: DataFrame) -> list[str]:
     return [name for name in _TIE_BREAKS if name in df.columns]
 
 
-def _by_windows(df: DataFrame) -> DataFrame:
+def _paid(counted: str | None) -> Column:
+    return F.col(counted).cast("int") if counted else F.lit(1)
+
+
+def _by_windows(df: DataFrame, counted: str | None) -> DataFrame:
     order = ["_at", *_tie_breaks(df)]
     account = Window.partitionBy("account_id").orderBy(*order)
-    payee = Window.partitionBy("account_id", "beneficiary_id").orderBy(*order)
+    payee = Window.partitionBy("account_id", "beneficiary_id").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
     # The previous-row windows come first, as their sort also serves the range
     # frames; the payee ordinal needs a sort of its own and comes last.
     previous = df.withColumns({
@@ -95,7 +101,9 @@ def _by_windows(df: DataFrame) -> DataFrame:
         "prev_epoch": F.lag("_epoch").over(account),
     })
     rolled = _rolling_parts(previous.withColumns(_parts_of_row()))
-    ranked = rolled.withColumn("beneficiary_seq", F.row_number().over(payee))
+    ranked = rolled.withColumn(
+        "beneficiary_seq", F.sum(_paid(counted)).over(payee).cast("int")
+    )
     return ranked.select(*df.columns, *_ROUTE_COLUMNS)
 
 
@@ -151,7 +159,7 @@ def _matches(columns: dict[str, str]) -> Column:
     return reduce(and_, pairs)
 
 
-def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
+def _by_seconds(df: DataFrame, counted: str | None, limits: SkewLimits) -> DataFrame:
     """The same columns for heavy accounts; no window spans an account's rows."""
     ties = _tie_breaks(df)
     columns = df.columns
@@ -178,7 +186,7 @@ def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
     )
     payees = (
         df.groupBy("account_id", "beneficiary_id", "_epoch", "_slice")
-        .agg(F.count(F.lit(1)).alias("_paid"))
+        .agg(F.sum(_paid(counted)).alias("_paid"))
         .select(
             F.col("account_id").alias("_pa"), F.col("beneficiary_id").alias("_pb"),
             F.col("_epoch").alias("_pe"), F.col("_slice").alias("_ps"),
@@ -186,11 +194,14 @@ def _by_seconds(df: DataFrame, limits: SkewLimits) -> DataFrame:
         )
     )
     unit = Window.partitionBy("account_id", "_epoch", "_slice")
-    payee_unit = Window.partitionBy("account_id", "_epoch", "_slice", "beneficiary_id")
+    payee_unit = (
+        Window.partitionBy("account_id", "_epoch", "_slice", "beneficiary_id").orderBy(*ties)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     within = df.withColumns({
         "_place": F.row_number().over(unit.orderBy(*ties)),
         "_peer_country": F.lag("country").over(unit.orderBy(*ties)),
-        "_payee_place": F.row_number().over(payee_unit.orderBy(*ties)),
+        "_payee_place": F.sum(_paid(counted)).over(payee_unit),
     })
     leads = F.col("_place") == 1
     joined = within.join(
@@ -219,13 +230,15 @@ def derive(
     df: DataFrame,
     *,
     heavy: list | None = None,
+    counted: str | None = None,
     limits: SkewLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Add :data:`FEATURE_COLUMNS` to a feed.
 
     ``heavy`` lists the accounts for the compact route; when None they are
     counted on ``df`` itself. Counting them on the raw source and passing the
-    list saves running the plan behind ``df`` for it.
+    list saves running the plan behind ``df`` for it. ``counted`` names a boolean
+    column that tells which rows the payee ordinal counts; by default, all.
     """
     if heavy is None:
         heavy = heavy_accounts(df, limits)
@@ -235,9 +248,11 @@ def derive(
     )
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
-        featured = _by_windows(others).unionByName(_by_seconds(hot, limits))
+        featured = _by_windows(others, counted).unionByName(
+            _by_seconds(hot, counted, limits)
+        )
     else:
-        featured = _by_windows(timed)
+        featured = _by_windows(timed, counted)
     return featured.select(
         *columns,
         "_epoch",

@@ -26,10 +26,14 @@ def join_path(base: str, *parts: str) -> str:
 def write_outputs(
     base: str, alerts: DataFrame, quarantined: DataFrame, summary: DataFrame
 ) -> dict[str, str]:
-    """Overwrite the three Parquet outputs below ``base``; returns their paths."""
+    """Overwrite the three Parquet outputs below ``base``; returns their paths.
+
+    Alerts and quarantined rows are a small part of each task's rows, so they are
+    rebalanced into files of a sensible size instead of one sliver per task.
+    """
     frames = {
-        "alerts": project_alerts(alerts, flags=True),
-        "quarantine": quarantined,
+        "alerts": project_alerts(alerts, flags=True).hint("rebalance"),
+        "quarantine": quarantined.hint("rebalance"),
         "summary": summary,
     }
     paths = {name: join_path(base, folder) for name, folder in OUTPUT_FOLDERS.items()}

@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions.rules import compile_rules
@@ -70,7 +70,7 @@ def derive_with_history(
     pool = new.withColumn("_new", F.lit(True)).unionByName(
         recent.withColumn("_new", F.lit(False))
     )
-    derived = derive(pool, limits=limits).filter("_new").drop("_new")
+    derived = derive(pool, counted="_new", limits=limits).filter("_new").drop("_new")
 
     # An account's last row counts as the previous one only if it lies before the
     # rows of the pool; otherwise the pool itself holds the previous row.
@@ -85,8 +85,6 @@ def derive_with_history(
         bounds, _same("account_id", "_account"), "left_semi"
     )).select(F.col("account_id").alias("_payer"), F.col("beneficiary_id").alias("_payee"), "paid")
 
-    order = ["_epoch", *[name for name in CORE_COLUMNS if name not in ("account_id",)]]
-    payee = Window.partitionBy("account_id", "beneficiary_id").orderBy(*order)
     lonely = F.col("prev_epoch").isNull()
     joined = (
         derived.join(older, _same("account_id", "_account"), "left")
@@ -96,7 +94,7 @@ def derive_with_history(
         "prev_country": F.when(lonely, F.col("_old_country")).otherwise(F.col("prev_country")),
         "prev_epoch": F.coalesce("prev_epoch", "_old_epoch"),
         "beneficiary_seq": (
-            F.row_number().over(payee) + F.coalesce("paid", F.lit(0))
+            F.col("beneficiary_seq") + F.coalesce("paid", F.lit(0))
         ).cast("int"),
     }).withColumn("hours_since_prev", (F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0))
     return patched.select(*derived.columns)
