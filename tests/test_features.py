@@ -138,6 +138,12 @@ def test_heavy_accounts_are_those_at_the_limit(spark):
     assert len(heavy_accounts(feed, SkewLimits(group_rows=5, lookup_rows=1))) == 1
 
 
+def test_heavy_accounts_of_a_big_feed_are_found_in_a_sample(spark):
+    big = spark.range(200_000).selectExpr("IF(id % 3 = 0, 'BIG', concat('A', id)) AS account_id")
+    assert heavy_accounts(big, SkewLimits(group_rows=50_000)) == ["BIG"]
+    assert heavy_accounts(big, SkewLimits(group_rows=150_000)) == []
+
+
 def test_input_columns_pass_through(spark):
     from pyspark.sql import functions as F
 

@@ -20,8 +20,9 @@ from tidewatch.schema import CORE_COLUMNS
 ROUTES = {
     "few repeats": SkewLimits(),
     "big numbers unfold in chunks": SkewLimits(group_rows=3),
-    "only heavy keys looked up": SkewLimits(group_rows=4, lookup_rows=2),
-    "one window per key": SkewLimits(group_rows=10**6, lookup_rows=0),
+    "repeated keys in a table": SkewLimits(group_rows=4, lookup_rows=0),
+    "only heavy keys looked up": SkewLimits(group_rows=4, lookup_rows=2, broadcast_rows=2),
+    "one window per key": SkewLimits(lookup_rows=0, broadcast_rows=0),
 }
 
 

@@ -17,7 +17,7 @@ from tidewatch import (
 from tidewatch.operators.scoring import configured_alerts, score, tag_run
 from tidewatch.schema import ALERT_COLUMNS, CORE_COLUMNS, CORRUPT_COLUMN, FEED_SCHEMA
 from tidewatch.sources.feed import require_utc
-from tidewatch.sources.sinks import WorkTables, join_path
+from tidewatch.sources.work import WorkTables, join_path
 
 GOOD = ('{"txn_id":"1","account_id":"A","customer_id":"C","beneficiary_id":"B",'
         '"txn_ts":"2026-03-01T12:00:00","amount":7.5,"currency":"USD","channel":"POS",'

@@ -19,7 +19,8 @@ from tidewatch.schema import ALERT_COLUMNS, CORE_COLUMNS, FEED_SCHEMA
 from tidewatch.sources.feed import (
     parse_iso_ts, parse_lines, read_feed, read_feed_parquet, rows_to_feed, stream_feed,
 )
-from tidewatch.sources.sinks import cached, save_tables, write_metrics, write_outputs
+from tidewatch.sources.sinks import save_tables, write_metrics, write_outputs
+from tidewatch.sources.work import cached
 from tidewatch.streaming.micro_batch import process_batch, read_output, start_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewatch.functions.checks import compile_checks
-from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits, repeated_keys
+from tidewatch.operators.skew import DEFAULT_LIMITS, RepeatedKeys, SkewLimits, repeated_keys
 
 
 def _no_failures() -> Column:
@@ -27,25 +27,28 @@ def _arrival_order(df: DataFrame, key: str, time_column: str) -> list[Column]:
     return [F.col(time_column).isNull(), F.col(time_column), *rest]
 
 
-def _contest(df: DataFrame, key: str, order: list[Column], flag: str, chunk_rows: int,
-             spread: bool) -> DataFrame:
+def _contest(
+    df: DataFrame, key: str, order: list[Column], flag: str, repeated: RepeatedKeys,
+    chunk_rows: int,
+) -> DataFrame:
     """Flag all rows but the first of each key, without gathering a key's rows.
 
     Identical rows collapse to one row and a number on the map side, the first
     row of a key is a minimum (combined on the map side too), and the numbers
-    are unfolded again afterwards. ``spread`` unfolds big numbers in chunks of
-    ``chunk_rows`` that are shuffled apart first.
+    are unfolded again afterwards, big ones in chunks that are shuffled apart
+    first.
     """
     names = df.columns
     rank = F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])
     contents = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).withColumn("_rank", rank)
     first = contents.groupBy(F.col(key).alias("_key")).agg(F.min("_rank").alias("_first"))
-    # One row per key, and the caller bounds the keys that come here.
-    judged = contents.join(F.broadcast(first), F.col(key).eqNullSafe(F.col("_key"))).select(
+    if repeated.few:
+        first = F.broadcast(first)  # one row per listed key
+    judged = contents.join(first, F.col(key).eqNullSafe(F.col("_key"))).select(
         *names, "_n", F.col("_rank").eqNullSafe(F.col("_first")).alias("_is_first")
     )
     start = F.lit(0).cast("long")
-    if spread:
+    if repeated.most_copies > chunk_rows:
         step = F.lit(chunk_rows).cast("long")
         chunk_starts = F.sequence(start, F.col("_n") - 1, step)
         judged = judged.withColumn("_from", F.explode(chunk_starts)).repartition("_from", *names)
@@ -85,8 +88,7 @@ def mark_duplicates(
         return settle(df)
     contested = df.join(repeated.lookup, same, "left_semi")
     others = df.join(repeated.lookup, same, "left_anti")
-    spread = repeated.most_copies > limits.group_rows
-    decided = _contest(contested, key, order, flag, limits.group_rows, spread)
+    decided = _contest(contested, key, order, flag, repeated, limits.group_rows)
     return settle(others).unionByName(decided)
 
 

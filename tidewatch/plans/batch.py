@@ -16,7 +16,8 @@ from tidewatch.operators.reports import run_metrics
 from tidewatch.operators.scoring import configured_alerts, score, tag_run
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.sources.feed import read_feed, require_utc
-from tidewatch.sources.sinks import WorkTables, write_metrics, write_outputs
+from tidewatch.sources.sinks import write_metrics, write_outputs
+from tidewatch.sources.work import WorkTables
 
 
 @dataclass(frozen=True)

@@ -26,7 +26,7 @@ from tidewatch.operators.scoring import (
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import CORE_COLUMNS, CORRUPT_COLUMN
 from tidewatch.sources.feed import parse_iso_ts, parse_lines, read_feed
-from tidewatch.sources.sinks import join_path, work_folder
+from tidewatch.sources.work import join_path, work_folder
 from tidewatch.sources.tables import events_as_feed, orders_as_feed
 from tidewatch.streaming.keyed_state import PROVIDER_SETTING, ROCKSDB, start_keyed_stream
 from tidewatch.streaming.micro_batch import read_output, start_stream
@@ -193,7 +193,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         "l_suppkey", F.col("l_shipdate").alias("txn_ts"), "l_quantity"
     )
     flagged = mark_duplicates(
-        lines, "l_suppkey", limits=SkewLimits(group_rows=600, lookup_rows=40)
+        lines, "l_suppkey",
+        limits=SkewLimits(group_rows=600, lookup_rows=40, broadcast_rows=40),
     )
     return flagged.groupBy("l_suppkey", "l_quantity", "is_duplicate").agg(
         F.count(F.lit(1)).alias("n")

@@ -1,14 +1,11 @@
-"""Writing results: Parquet folders, catalog tables, the metrics file, work tables."""
+"""Writing results: Parquet folders, catalog tables, the metrics file."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tidewatch.operators.scoring import project_alerts
+from tidewatch.sources.work import join_path
 
 # Names of the output folders, catalog tables and metrics output.
 OUTPUT_FOLDERS = {"alerts": "alerts", "quarantine": "quarantine", "summary": "dq_summary"}
@@ -18,11 +15,6 @@ TABLE_NAMES = {
 METRICS_FOLDER = "run_metrics.json"
 
 
-def join_path(base: str, *parts: str) -> str:
-    """Path below ``base``, kept as text so that URI schemes survive."""
-    return "/".join([base.rstrip("/"), *parts])
-
-
 def write_outputs(
     base: str, alerts: DataFrame, quarantined: DataFrame, summary: DataFrame
 ) -> dict[str, str]:
@@ -61,46 +53,3 @@ def write_metrics(base: str, metrics: DataFrame) -> str:
     path = join_path(base, METRICS_FOLDER)
     metrics.write.mode("overwrite").json(path)
     return path
-
-
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate data, below the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of this machine.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidewatch-")
-    return join_path(root, f"{name}-{uuid.uuid4().hex}")
-
-
-class WorkTables:
-    """Frames written out and read back, so that what follows reads columns and
-    partitions of a table instead of running the plan again, also after executors
-    were lost."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self._spark = spark
-        self._paths: list[str] = []
-
-    def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-        path = work_folder(self._spark, name)
-        self._paths.append(path)
-        df.write.partitionBy(*partition_by).parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-    def drop(self) -> None:
-        """Delete the tables; frames that read them stop working."""
-        jvm, hadoop = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
-        for path in self._paths:
-            location = jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(hadoop).delete(location, True)
-        self._paths.clear()
-
-
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a frame that several results read in memory, spilling to disk."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

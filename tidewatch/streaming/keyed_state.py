@@ -26,7 +26,7 @@ from tidewatch.operators.reports import batch_counters
 from tidewatch.operators.scoring import configured_alerts, project_alerts, score_derived, tag_run
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
-from tidewatch.sources.sinks import cached, join_path
+from tidewatch.sources.work import cached, join_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"

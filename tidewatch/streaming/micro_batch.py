@@ -23,7 +23,7 @@ from tidewatch.operators.scoring import configured_alerts, project_alerts, score
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
-from tidewatch.sources.sinks import cached, join_path
+from tidewatch.sources.work import cached, join_path
 from tidewatch.streaming.state import StateTables, fold_accounts, fold_payees
 
 # Trigger interval in seconds and files per trigger.

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.schema import CORE_COLUMNS, FEED_SCHEMA
-from tidewatch.sources.sinks import join_path
+from tidewatch.sources.work import join_path
 
 # Columns of the tables that snapshots fold.
 _FOLDED = {
