@@ -114,6 +114,15 @@ def test_snapshots_fold_state(spark, streamed):
     assert paid[("PAYEE", "OLD")] == 2 and paid[("PAYEE", "NEW")] == 1
 
 
+def test_folded_parts_are_deleted(spark, streamed):
+    state = os.path.join(streamed, "state")
+    assert sorted(os.listdir(os.path.join(state, "accounts"))) == ["batch_id=2", "batch_id=3"]
+    assert sorted(os.listdir(os.path.join(state, "keys_snapshot"))) == [
+        "batch_id=1", "batch_id=3"]
+    days = os.listdir(os.path.join(state, "history"))
+    assert "event_date=2026-03-01" in days and "event_date=2025-08-13" in days
+
+
 def test_empty_batch_is_skipped(spark, tmp_path):
     root = str(tmp_path / "root")
     StateTables(spark, root).prepare()

@@ -8,7 +8,7 @@ from tidewatch.functions.rules import register_rule
 from tidewatch.operators.features import derive, heavy_accounts
 from tidewatch.operators.gate import annotate_dq, apply_dq, dq_summary, mark_duplicates, split_dq
 from tidewatch.operators.reports import (
-    alerts_by_band, alerts_by_rule, batch_counters, ranked_alerts, reconcile, run_metrics,
+    alerts_by_band, alerts_by_rule, batch_counters, preview, ranked_alerts, reconcile, run_metrics,
     run_summary, top_alerts, top_batch_alerts,
 )
 from tidewatch.operators.scoring import alerts_only, configured_alerts, project_alerts, score, tag_run

@@ -24,6 +24,7 @@ from tidewatch.operators.scoring import (
     band_bounds, configured_alerts, flag_rules, project_alerts, score, summarise_flags, tag_run,
 )
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
+from tidewatch.plans.batch import BatchRun, run_batch
 from tidewatch.schema import CORE_COLUMNS, CORRUPT_COLUMN
 from tidewatch.sources.feed import parse_iso_ts, parse_lines, read_feed
 from tidewatch.sources.work import join_path, work_folder
@@ -453,6 +454,31 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return reports.batch_counters(annotated, configured_alerts(scored, EVENT_RULES), 0)
 
 
+# ---- batch run: JSON landing to stored outputs -----------------------------
+
+
+def _run(spark: SparkSession, folder: str) -> BatchRun:
+    landing, out = work_folder(spark, "landing"), work_folder(spark, "out")
+    event_feed(spark, folder).write.json(landing)
+    return run_batch(spark, landing, out, DEFAULT_DQ, EVENT_RULES, run_id="run00001")
+
+
+@_register("batch_run_metrics")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _run(spark, folder).metrics.select(
+        "run_id", "reconciliation.*", "alert_count", "alert_rate_pct"
+    )
+
+
+@_register("batch_run_alerts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _run(spark, folder).alerts
+    return stored.select(
+        *_CORE_SHOWN, _time(), _text("triggered_rules"), "risk_score", "risk_band", "run_id",
+        *_FLAGS,
+    )
+
+
 # ---- streaming -------------------------------------------------------------
 
 _SLICES = 4

@@ -324,6 +324,10 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM quarantined) AS quarantined,
                    (SELECT count(*) FROM alerts) AS alerts""",
     }
+    sql["batch_run_metrics"] = sql["run_metrics"]
+    sql["batch_run_alerts"] = (
+        f"{_TO_ALERTS} SELECT {_ALERT}, 'run00001' AS run_id, {_FLAGS} FROM alerts"
+    )
     sql["stream_alerts"] = sql["stream_keyed_alerts"] = sql["alerts"]
     sql["stream_counters"] = f"""{_TO_ALERTS}
         SELECT (SELECT count(*) FROM annotated) AS "rows",

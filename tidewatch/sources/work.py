@@ -28,6 +28,24 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return join_path(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    location, files = _hadoop_path(spark, path)
+    files.delete(location, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path."""
+    location, files = _hadoop_path(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(location)
+            if entry.isDirectory()]
+
+
 class WorkTables:
     """Frames written out and read back, so that what follows reads columns and
     partitions of a table instead of running the plan again, also after executors
@@ -45,10 +63,8 @@ class WorkTables:
 
     def drop(self) -> None:
         """Delete the tables; frames that read them stop working."""
-        jvm, hadoop = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
         for path in self._paths:
-            location = jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(hadoop).delete(location, True)
+            delete_folder(self._spark, path)
         self._paths.clear()
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.schema import CORE_COLUMNS, FEED_SCHEMA
-from tidewatch.sources.work import join_path
+from tidewatch.sources.work import delete_folder, join_path, subfolders
 
 # Columns of the tables that snapshots fold.
 _FOLDED = {
@@ -135,6 +135,19 @@ class StateTables:
         self._put("keys_snapshot", self.keys(after).distinct(), batch_id)
         done = self.spark.range(1).select(F.lit(len(_FOLDED)).alias("tables"))
         self._put("snapshots", done, batch_id)
+        self._prune(self._newest_snapshot(batch_id))
+
+    def _prune(self, as_of: int) -> None:
+        """Delete what the snapshot before the newest has made superfluous.
+
+        A replay of the newest batch still finds that snapshot and all parts since.
+        """
+        outdated = [(table, as_of) for table in _FOLDED]
+        outdated += [(f"{table}_snapshot", as_of - 1) for table in _FOLDED]
+        for table, newest in outdated:
+            for name in subfolders(self.spark, self._path(table)):
+                if int(name.removeprefix("batch_id=")) <= newest:
+                    delete_folder(self.spark, self._path(table, name))
 
 
 def fold_accounts(parts: DataFrame) -> DataFrame:
