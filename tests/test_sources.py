@@ -63,7 +63,9 @@ def test_malformed_lines_are_captured_and_quarantined(spark, landing):
     texts = {row[CORRUPT_COLUMN] for row in captured.collect()}
     assert texts == {LINES["broken"], LINES["bad date"], LINES["quoted number"]}
     plain = annotate_dq(feed, {"checks": DEFAULT_DQ["checks"]})
-    clean, expected = (frame.filter("dq_passed").drop("dq_failures") for frame in (annotated, plain))
+    clean, expected = (
+        frame.filter("dq_passed").drop("dq_failures") for frame in (annotated, plain)
+    )
     assert sorted(map(str, clean.collect())) == sorted(map(str, expected.collect()))
 
 

@@ -11,7 +11,9 @@ from tidewatch.operators.reports import (
     alerts_by_band, alerts_by_rule, batch_counters, preview, ranked_alerts, reconcile, run_metrics,
     run_summary, top_alerts, top_batch_alerts,
 )
-from tidewatch.operators.scoring import alerts_only, configured_alerts, project_alerts, score, tag_run
+from tidewatch.operators.scoring import (
+    alerts_only, configured_alerts, project_alerts, score, tag_run,
+)
 from tidewatch.operators.skew import SkewLimits
 from tidewatch.plans.batch import BatchRun, run_batch
 from tidewatch.plans.settings import session_settings

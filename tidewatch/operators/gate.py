@@ -13,6 +13,10 @@ from tidewatch.functions.checks import compile_checks
 from tidewatch.operators.skew import DEFAULT_LIMITS, RepeatedKeys, SkewLimits, repeated_keys
 
 
+# Copies that one row unfolds to at once.
+_UNFOLDED_ROWS = 100_000
+
+
 def _no_failures() -> Column:
     return F.array().cast("array<string>")
 
@@ -88,7 +92,8 @@ def mark_duplicates(
         return settle(df)
     contested = df.join(repeated.lookup, same, "left_semi")
     others = df.join(repeated.lookup, same, "left_anti")
-    decided = _contest(contested, key, order, flag, repeated, limits.group_rows)
+    chunk_rows = min(limits.group_rows, _UNFOLDED_ROWS)
+    decided = _contest(contested, key, order, flag, repeated, chunk_rows)
     return settle(others).unionByName(decided)
 
 

@@ -48,7 +48,7 @@ def events_as_feed(events: DataFrame) -> DataFrame:
 
 def orders_as_feed(orders: DataFrame) -> DataFrame:
     """Orders as a feed of whole days: long silences and many same-second rows."""
-    customer = F.col("o_custkey")
+    customer, status = F.col("o_custkey"), F.col("o_orderstatus")
     return orders.select(
         _tagged("O", F.col("o_orderkey")).alias("txn_id"),
         _tagged("ACC", customer).alias("account_id"),
@@ -57,8 +57,8 @@ def orders_as_feed(orders: DataFrame) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("txn_ts"),
         F.col("o_totalprice").alias("amount"),
         F.lit("USD").alias("currency"),
-        F.when(F.col("o_orderstatus") == "F", "BRANCH").when(F.col("o_orderstatus") == "O", "ONLINE")
-        .otherwise("WIRE").alias("channel"),
+        F.when(status == "F", "BRANCH").when(status == "O", "ONLINE").otherwise("WIRE")
+        .alias("channel"),
         F.when(_every(customer, 3), "GB").otherwise("US").alias("country"),
         F.when(_every(customer, 7), "crypto").otherwise("grocery").alias("merchant_category"),
     )

@@ -180,8 +180,9 @@ def start_stream(
             run_id=run_id, limits=limits, snapshot_every=snapshot_every,
         )
 
+    feed = stream_feed(spark, landing, capture=capture, max_files=max_files)
     writer = (
-        stream_feed(spark, landing, capture=capture, max_files=max_files).writeStream.foreachBatch(on_batch)
+        feed.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint or join_path(root, "checkpoint"))
     )
     if available_now:

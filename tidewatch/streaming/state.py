@@ -36,6 +36,10 @@ def _ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
 
 
+def _batch_id(folder: str) -> int:
+    return int(folder.removeprefix("batch_id="))
+
+
 @dataclass(frozen=True)
 class StateTables:
     """State below ``root``, a folder that all executors share."""
@@ -71,8 +75,8 @@ class StateTables:
 
     def _newest_snapshot(self, before: int) -> int:
         """Id of the newest complete snapshot; -1 is the empty one made at the start."""
-        done = self._parts("snapshots", _SNAPSHOTS).filter(F.col("batch_id") < before)
-        return done.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+        done = [_batch_id(name) for name in subfolders(self.spark, self._path("snapshots"))]
+        return max((number for number in done if number < before), default=-1)
 
     def _before(self, table: str, batch_id: int) -> DataFrame:
         """The newest complete snapshot and the parts written since."""
@@ -119,9 +123,11 @@ class StateTables:
         row = F.struct(
             F.col("txn_ts").cast("long").alias("epoch"), "txn_ts", "txn_id", "country"
         )
-        self._put("accounts", fold_accounts(clean.select("account_id", row.alias("last"))), batch_id)
+        last = clean.select("account_id", row.alias("last"))
+        self._put("accounts", fold_accounts(last), batch_id)
         one = F.lit(1).cast("long").alias("paid")
-        self._put("payees", fold_payees(clean.select("account_id", "beneficiary_id", one)), batch_id)
+        paid = clean.select("account_id", "beneficiary_id", one)
+        self._put("payees", fold_payees(paid), batch_id)
         self._put("keys", keys.distinct(), batch_id)
 
     def snapshot(self, batch_id: int) -> None:
@@ -146,7 +152,7 @@ class StateTables:
         outdated += [(f"{table}_snapshot", as_of - 1) for table in _FOLDED]
         for table, newest in outdated:
             for name in subfolders(self.spark, self._path(table)):
-                if int(name.removeprefix("batch_id=")) <= newest:
+                if _batch_id(name) <= newest:
                     delete_folder(self.spark, self._path(table, name))
 
 
