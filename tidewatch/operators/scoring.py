@@ -19,6 +19,8 @@ BANDS = ["NONE", "LOW", "MEDIUM", "HIGH", "CRITICAL"]
 DEFAULT_BOUNDS = {"critical": 70, "high": 45, "medium": 20}
 DEFAULT_MIN_BAND = "MEDIUM"
 
+_BOUNDS = "lower_bounds"
+
 
 def band_bounds(rules_config: Mapping[str, Any]) -> dict[str, float]:
     """Configured lower bounds over the defaults; they must not rise downwards."""
@@ -48,13 +50,12 @@ def summarise_flags(
     points = [
         F.when(F.col(rule.flag), F.lit(rule.weight)).otherwise(F.lit(0.0)) for rule in rules
     ]
-    return (
-        flagged.withColumns({
-            "triggered_rules": F.array_compact(F.array(*fired)),
-            "risk_score": reduce(add, points),
-        })
-        .withColumn("risk_band", band_column(F.col("risk_score"), bounds))
-    )
+    scored = flagged.withColumns({
+        "triggered_rules": F.array_compact(F.array(*fired)),
+        "risk_score": reduce(add, points),
+    })
+    band = band_column(F.col("risk_score"), bounds)
+    return scored.select("*", band.alias("risk_band", metadata={_BOUNDS: dict(bounds)}))
 
 
 def score_derived(derived: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
@@ -79,30 +80,30 @@ def score(
 
 
 def alerts_only(scored: DataFrame, min_band: str = DEFAULT_MIN_BAND) -> DataFrame:
-    """Rows of ``min_band`` and above."""
-    if min_band not in BANDS:
-        raise ValueError(f"unknown risk band {min_band!r}; known: {', '.join(BANDS)}")
-    return scored.filter(F.col("risk_band").isin(*BANDS[BANDS.index(min_band):]))
+    """Rows of ``min_band`` and above.
 
-
-def configured_alerts(scored: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
-    """Rows of the configured minimum band and above.
-
-    The bands are bounds on the score, so the score is what is compared: one sum
-    over the rules per row, where the band would repeat it for each of its bounds.
+    The bands are bounds on the score, and :func:`score` notes them with the band
+    column. While that note is there the score is compared instead of the band: a
+    filter moves below the projection and would repeat the rules for every bound.
     """
-    min_band = rules_config.get("min_alert_band", DEFAULT_MIN_BAND)
     if min_band not in BANDS:
         raise ValueError(f"unknown risk band {min_band!r}; known: {', '.join(BANDS)}")
+    bounds = scored.schema["risk_band"].metadata.get(_BOUNDS)
+    if bounds is None or "risk_score" not in scored.columns:
+        return scored.filter(F.col("risk_band").isin(*BANDS[BANDS.index(min_band):]))
     if min_band == "NONE":
         return scored
-    bounds = band_bounds(rules_config)
     points = F.col("risk_score")
     if min_band == "LOW":
         return scored.filter((points > 0) | (points >= F.lit(float(bounds["medium"]))))
     return scored.filter(points >= F.lit(float(bounds[min_band.lower()])))
 
 
+def configured_alerts(scored: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
+    """Rows of the configured minimum band and above."""
+    return alerts_only(scored, rules_config.get("min_alert_band", DEFAULT_MIN_BAND))
+
+
 def tag_run(alerts: DataFrame, run_id: str) -> DataFrame:
     """Stamp the rows with the run that raised them."""
     return alerts.withColumn("run_id", F.lit(run_id))
