@@ -240,6 +240,7 @@ def derive(
     list saves running the plan behind ``df`` for it. ``counted`` names a boolean
     column that tells which rows the payee ordinal counts; by default, all.
     """
+    df = df.drop(*FEATURE_COLUMNS)  # of an earlier run
     if heavy is None:
         heavy = heavy_accounts(df, limits)
     columns = df.columns

@@ -132,6 +132,7 @@ def annotate_dq(
     in an earlier micro-batch; they get the duplicate label too.
     """
     compile_checks(dq_config, df.schema)  # a bad configuration fails before any job runs
+    df = df.drop("dq_failures", "dq_passed")  # of an earlier run
     columns, key, duplicate = df.columns, dq_config.get("unique_key"), None
     if key:
         df = mark_duplicates(df, key, flag="_duplicate", limits=limits)

@@ -55,7 +55,7 @@ def summarise_flags(
         "risk_score": reduce(add, points),
     })
     band = band_column(F.col("risk_score"), bounds)
-    return scored.select("*", band.alias("risk_band", metadata={_BOUNDS: dict(bounds)}))
+    return scored.drop("risk_band").select("*", band.alias("risk_band", metadata={_BOUNDS: dict(bounds)}))
 
 
 def score_derived(derived: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:

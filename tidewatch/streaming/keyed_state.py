@@ -27,6 +27,7 @@ from tidewatch.operators.scoring import configured_alerts, project_alerts, score
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
 from tidewatch.sources.work import cached, join_path
+from tidewatch.streaming.micro_batch import FILES_PER_TRIGGER, TRIGGER_SECONDS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
@@ -209,9 +210,9 @@ def start_keyed_stream(
     rules_config: Mapping[str, Any],
     *,
     available_now: bool = False,
-    max_files: int | None = 1,
+    max_files: int | None = FILES_PER_TRIGGER,
+    trigger_seconds: int = TRIGGER_SECONDS,
     run_id: str = "stream",
-    trigger_seconds: int = 5,
 ) -> StreamingQuery:
     """Start the keyed job; outputs are laid out as those of ``start_stream``."""
     compile_rules(rules_config)

@@ -162,6 +162,7 @@ def start_stream(
     available_now: bool = False,
     capture: bool = False,
     max_files: int | None = FILES_PER_TRIGGER,
+    trigger_seconds: int = TRIGGER_SECONDS,
     run_id: str = "stream",
     limits: SkewLimits = DEFAULT_LIMITS,
     snapshot_every: int = SNAPSHOT_EVERY,
@@ -187,7 +188,7 @@ def start_stream(
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds").start()
+    return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
 
 
 def read_output(spark: SparkSession, root: str, table: str) -> DataFrame:
