@@ -9,7 +9,6 @@ from tidewatch import (
 )
 from tidewatch.operators.scoring import project_alerts, tag_run
 from tidewatch.streaming.keyed_state import PROVIDER_SETTING, ROCKSDB, start_keyed_stream
-from tidewatch.streaming.state import StateTables
 
 GATE = {"unique_key": "txn_id", "checks": []}
 # Every row is stored, and limits are so low that each rule splits the feed.
@@ -52,7 +51,6 @@ def expected(spark, batches):
 @pytest.mark.parametrize("limits", [SkewLimits(), SkewLimits(group_rows=3)])
 def test_tables_of_history(spark, tmp_path, batches, expected, limits):
     root = str(tmp_path / "root")
-    StateTables(spark, root).prepare()
     for number, rows in enumerate(batches):
         process_batch(rows_to_feed(spark, rows), number, root, GATE, RULES, limits=limits,
                       snapshot_every=2)

@@ -39,6 +39,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    location, files = _hadoop_path(spark, path)
+    return files.exists(location)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path."""
     location, files = _hadoop_path(spark, path)

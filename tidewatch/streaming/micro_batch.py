@@ -119,6 +119,7 @@ def process_batch(
     if batch.isEmpty():
         return
     state = StateTables(batch.sparkSession, root)
+    state.prepare()
     key = dq_config.get("unique_key")
     seen = flag_seen_keys(batch, key, state, batch_id) if key else batch.withColumn(
         "_seen", F.lit(False)
@@ -173,7 +174,6 @@ def start_stream(
     has landed and then ends. A restart continues from ``checkpoint``.
     """
     compile_rules(rules_config)
-    StateTables(spark, root).prepare()
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         process_batch(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.schema import CORE_COLUMNS, FEED_SCHEMA
-from tidewatch.sources.work import delete_folder, join_path, subfolders
+from tidewatch.sources.work import delete_folder, folder_exists, join_path, subfolders
 
 # Columns of the tables that snapshots fold.
 _FOLDED = {
@@ -59,6 +59,8 @@ class StateTables:
 
     def prepare(self) -> None:
         """Create the tables, empty, so that the first batch has something to read."""
+        if folder_exists(self.spark, self._path("snapshots", "batch_id=-1")):
+            return
 
         def empty(columns: dict[str, str], *parts: str) -> None:
             frame = self.spark.createDataFrame([], _ddl(columns))
