@@ -19,22 +19,28 @@ _PER_HASH = _HASH_BITS // _BITS
 _LEVELS = _PER_HASH * _HASHES
 
 
-@dataclass
+@dataclass(eq=False)
 class Cell:
-    """Keys between two neighbouring candidate boundaries, with their exact counts."""
+    """Keys between two neighbouring candidate boundaries, with their exact counts.
+
+    ``level`` tells how many digits of the key all its rows share, less one.
+    """
 
     number: int
     level: int
     rows: int
     size: int
+    parent: Cell | None = None
     inside: list[Cell] = field(default_factory=list)
     base: int = -1
 
-    def leaves(self):
-        if self.base < 0:
-            yield self
-        for cell in self.inside:
-            yield from cell.leaves()
+    @property
+    def single_group(self) -> bool:
+        return self.level >= _PER_HASH - 1
+
+    def chain(self) -> list[Cell]:
+        """The cell and all cells around it."""
+        return [self, *(self.parent.chain() if self.parent else [])]
 
 
 @dataclass
@@ -43,7 +49,7 @@ class Layout:
 
     leaves: list[Cell]
     starts: list[int]
-    refined: list[list[Cell]]
+    refined: list[Cell]
 
 
 def _digit(level: int) -> Column:
@@ -51,48 +57,69 @@ def _digit(level: int) -> Column:
     return F.shiftright(F.col(f"k{level // _PER_HASH}"), shift).bitwiseAND(F.lit(_FAN - 1))
 
 
-def _numbered(keys: DataFrame, refined: list[list[Cell]]) -> DataFrame:
+def _numbered(keys: DataFrame, refined: list[Cell]) -> DataFrame:
     """Adds ``cell``, the number of the leaf cell that holds the row's key."""
     keys = keys.withColumn("cell", _digit(0))
-    for cells in refined:
+    for level in sorted({c.level for c in refined}):
         opened = small_frame(
-            keys.sparkSession, [(c.number, c.base) for c in cells], "cell long,base long"
+            keys.sparkSession, [(c.number, c.base) for c in refined if c.level == level],
+            "cell long,base long",
         )
         keys = keys.join(F.broadcast(opened), "cell", "left").withColumn(
-            "cell", F.coalesce(F.col("base") + _digit(cells[0].level + 1), F.col("cell"))
+            "cell", F.coalesce(F.col("base") + _digit(level + 1), F.col("cell"))
         ).drop("base")
     return keys
 
 
-def _counts(keys: DataFrame, refined: list[list[Cell]], only: list[Cell] | None) -> dict:
-    """{cell: (rows, bytes)} of the newest level; at most 1,024 rows per refined cell."""
-    keys = _numbered(keys, refined)
-    if only is not None:
-        low, high = min(c.base for c in only), max(c.base for c in only) + _FAN
-        keys = keys.filter(F.col("cell").between(low, high - 1))
-    sums = keys.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
-    return {row["cell"]: (row["n"], row["b"]) for row in sums.collect()}
+def _count_inside(keys: DataFrame, around: list[Cell]) -> dict[int, tuple[int, int, int]]:
+    """{cell number: (level, rows, bytes)} of the candidates inside ``around``; [] is all keys.
+
+    One aggregation over the rows inside; at most 1,024 sums a cell are collected. Levels
+    at which the rows of a cell do not differ are skipped.
+    """
+    if around:
+        roots = small_frame(
+            keys.sparkSession, [(n,) for n in {c.chain()[-1].number for c in around}], "root long"
+        )
+        keys = keys.join(F.broadcast(roots), _digit(0) == F.col("root"), "left_semi")
+    keys = _numbered(keys, list(dict.fromkeys(c for cell in around for c in cell.chain())))
+    if around:
+        first = min(c.base for c in around)
+        keys = keys.filter(F.col("cell").between(first, max(c.base for c in around) + _FAN - 1))
+    spans = [F.max(f"k{i}") == F.min(f"k{i}") for i in range(_HASHES)]
+    sums = keys.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), F.array(*spans).alias("same")
+    )
+    found = {}
+    for row in sums.collect():
+        level = around[0].level + 1 if around else 0
+        for i in range(level // _PER_HASH, _HASHES):
+            if not row["same"][i]:
+                break
+            level = _PER_HASH * (i + 1) - 1
+        found[row["cell"]] = (level, row["n"], row["b"])
+    return found
+
+
+def _leaves(cells: list[Cell], group: int | None = None):
+    """(leaf, number of the single-group cell around it or None) in key order."""
+    for cell in cells:
+        own = cell.number if group is None and cell.single_group else group
+        if cell.base < 0:
+            yield cell, own
+        else:
+            yield from _leaves(cell.inside, own)
 
 
-def _edges(leaves: list[Cell]) -> list[tuple[int, bool]]:
+def _edges(leaves: list[tuple[Cell, int | None]]) -> list[tuple[int, bool]]:
     """Bytes below each leaf, and whether a group can start there (not inside one group's keys)."""
-    below, out, inside = 0, [], None
+    below, out, before = 0, [], None
     for cell, group in leaves:
-        out.append((below, group is None or group != inside))
-        inside, below = group, below + cell.size
+        out.append((below, group is None or group != before))
+        before, below = group, below + cell.size
     return out
 
 
-def _grouped(cells: list[Cell], group: int | None = None):
-    """Leaves with the number of the single-group cell they lie in, or None above that level."""
-    for cell in cells:
-        if cell.base < 0:
-            yield cell, cell.number if cell.level == _PER_HASH - 1 else group
-        else:
-            own = cell.number if cell.level == _PER_HASH - 1 else group
-            yield from _grouped(cell.inside, own)
-
-
 def histogram_layout(
     keys: DataFrame, shards: int, *, tolerance: float, group_tolerance: float, cell_rows: int
 ) -> Layout:
@@ -103,14 +130,14 @@ def histogram_layout(
     target, or too many rows for one sort task, are refined, so the sums collected
     depend on ``shards`` and on rows / ``cell_rows``.
     """
-    roots = [Cell(n, 0, r, b) for n, (r, b) in sorted(_counts(keys, [], None).items())]
-    refined: list[list[Cell]] = []
+    roots = [Cell(n, *found) for n, found in sorted(_count_inside(keys, []).items())]
+    refined: list[Cell] = []
     number = _FAN
     rows, total = sum(c.rows for c in roots), sum(c.size for c in roots)
     share = total / shards
     most = max(256, min(cell_rows, 4 * rows // _FAN))
     while True:
-        leaves = list(_grouped(roots))
+        leaves = list(_leaves(roots))
         edges = _edges(leaves)
         ends = [below for below, _ in edges] + [total]
         starts, unsettled = [0], {i for i, (c, _) in enumerate(leaves) if c.rows > most}
@@ -136,13 +163,11 @@ def histogram_layout(
         cells = [leaves[i][0] for i in sorted(unsettled) if leaves[i][0].level == min(level)]
         for cell in cells:
             cell.base, number = number, number + _FAN
-        refined.append(cells)
-        found = _counts(keys, refined, cells)
+        refined += cells
+        found = _count_inside(keys, cells)
         for cell in cells:
-            cell.inside = [
-                Cell(n, cell.level + 1, *found[n])
-                for n in range(cell.base, cell.base + _FAN) if n in found
-            ]
+            cell.inside = [Cell(n, *found[n], parent=cell)
+                           for n in range(cell.base, cell.base + _FAN) if n in found]
 
 
 def shard_documents(
