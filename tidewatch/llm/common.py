@@ -22,19 +22,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """A frame of a bounded list that the driver made, such as splitters or a plan.
 
-    ``schema`` is a DDL string. The rows travel as one JSON literal, so no Python
-    runs on executors.
+    ``schema`` is ``name type,name type``; fields within a struct are parted by semicolons.
+    The rows travel as one JSON literal, so no Python runs on executors.
     """
-    names = [part.split()[0] for part in schema.split(",")]
-    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
-    parsed = F.from_json(F.lit(text), f"array<struct<{_ddl(schema)}>>")
+    columns = [part.split(" ", 1) for part in schema.split(",")]
+    text = json.dumps([
+        {name: value for (name, _), value in zip(columns, row, strict=True)} for row in rows
+    ])
+    fields = ",".join(f"{name}:{kind.replace(';', ',')}" for name, kind in columns)
+    parsed = F.from_json(F.lit(text), f"array<struct<{fields}>>")
     return spark.range(1, numPartitions=1).select(F.inline(parsed))
 
 
-def _ddl(schema: str) -> str:
-    return ",".join(f"{part.split()[0]}:{part.split()[1]}" for part in schema.split(","))
-
-
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the counted ``rows`` of ``df`` are few; else leave it to a shuffle join."""
     return F.broadcast(df) if rows <= limit else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import quality_zstd, sharding
+from tidewatch.llm import packing, quality_zstd, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
+        "op2_pattern_packing": packing.op2_pattern_packing,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
     }
 
