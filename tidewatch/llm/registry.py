@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import packing, quality_zstd, sharding
+from tidewatch.llm import mixing, packing, quality_zstd, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,12 @@ def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
         "op2_pattern_packing": packing.op2_pattern_packing,
+        "op4_poisson_mixing": mixing.op4_poisson_mixing,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_poisson_mixing": mixing.OP4_SQL,
+    }
