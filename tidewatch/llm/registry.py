@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, packing, quality_zstd, sharding
+from tidewatch.llm import line_dedup, mixing, packing, quality_zstd, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
         "op2_pattern_packing": packing.op2_pattern_packing,
         "op4_poisson_mixing": mixing.op4_poisson_mixing,
+        "op6_site_line_dedup": line_dedup.op6_site_line_dedup,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
     }
 
@@ -23,4 +24,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_poisson_mixing": mixing.OP4_SQL,
+        "op6_site_line_dedup": line_dedup.OP6_SQL,
     }
