@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import line_dedup, mixing, packing, quality_zstd, sharding
+from tidewatch.llm import decision_list, line_dedup, mixing, packing, quality_zstd, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op4_poisson_mixing": mixing.op4_poisson_mixing,
         "op6_site_line_dedup": line_dedup.op6_site_line_dedup,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
+        "op8_decision_list": decision_list.op8_decision_list,
     }
 
 
