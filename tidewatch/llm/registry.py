@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decision_list, line_dedup, mixing, packing, quality_zstd, sharding
+from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op6_site_line_dedup": line_dedup.op6_site_line_dedup,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
         "op8_decision_list": decision_list.op8_decision_list,
+        "op9_minhash_hamming": near_dup.op9_minhash_hamming,
     }
 
 
