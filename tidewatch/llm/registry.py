@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding
+from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
         "op2_pattern_packing": packing.op2_pattern_packing,
+        "op3_temporal_url_lists": url_lists.op3_temporal_url_lists,
         "op4_poisson_mixing": mixing.op4_poisson_mixing,
         "op6_site_line_dedup": line_dedup.op6_site_line_dedup,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_temporal_url_lists": url_lists.OP3_SQL,
         "op4_poisson_mixing": mixing.OP4_SQL,
         "op6_site_line_dedup": line_dedup.OP6_SQL,
     }
