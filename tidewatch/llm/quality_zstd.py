@@ -10,7 +10,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm.common import table
+from tidewatch.llm.common import crc_fold, table
 
 
 @dataclass(frozen=True)
@@ -133,12 +133,6 @@ def quality_score(model: CompressionModel, text: Column) -> Column:
     return 1 / (1 + F.exp(-(F.lit(model.slope) * difference + F.lit(model.offset))))
 
 
-def crc_fold(column: str, folds: int) -> Column:
-    """CRC-32 of a value's text modulo ``folds``; NULL is in fold -1."""
-    crc = F.crc32(F.col(column).cast("string").cast("binary"))
-    return F.coalesce((crc % folds).cast("int"), F.lit(-1))
-
-
 HELD_OUT = 1
 
 

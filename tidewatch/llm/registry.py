@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, url_lists
+from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Query]:
         "op7_compression_quality": quality_zstd.op7_compression_quality,
         "op8_decision_list": decision_list.op8_decision_list,
         "op9_minhash_hamming": near_dup.op9_minhash_hamming,
+        "op10_nra_topk": topk.op10_nra_topk,
     }
 
 
