@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decision_list, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk, url_lists
+import corpus_pipeline
+from tidewatch.llm import (
+    decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
+    url_lists,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
         "op2_pattern_packing": packing.op2_pattern_packing,
         "op3_temporal_url_lists": url_lists.op3_temporal_url_lists,
         "op4_poisson_mixing": mixing.op4_poisson_mixing,
+        "op5_kneser_ney_language": language.op5_kneser_ney_language,
         "op6_site_line_dedup": line_dedup.op6_site_line_dedup,
         "op7_compression_quality": quality_zstd.op7_compression_quality,
         "op8_decision_list": decision_list.op8_decision_list,
