@@ -21,8 +21,9 @@ COMPONENTS, CHUNKS = 64, 16
 _WIDE = COMPONENTS // CHUNKS
 FARTHEST = 2 * CHUNKS - 1
 PERCENT = 75
-# Members of one key that are compared in one go.
-SLICE = 256
+# Members of one group that are compared in one go: by signature; by full set around one
+# smallest member; and by full set within a key.
+SIGN_SLICE, STAR_SLICE, SET_SLICE = 1024, 256, 512
 
 
 def _arrow(**columns) -> pa.RecordBatch:
@@ -273,11 +274,23 @@ def full_sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str) -> Dat
     )
 
 
-def _sliced(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
-    """Adds ``slices``, the slices of a key's members, and ``slice``, the row's own."""
+def _sliced(rows: DataFrame, keys: list[str], width: int, tables: WorkTables) -> DataFrame:
+    """Adds ``slices``, of about ``width`` members each, and ``slice``, the row's own.
+
+    Sizes are a written table, so the join with them can be split at a hot group.
+    """
+    sizes = tables.write(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
     own = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
-    return rows.join(sizes, key).withColumn(
-        "slices", F.ceil(F.col("n") / SLICE).cast("int")).withColumn("slice", own).drop("n")
+    return rows.join(sizes, keys).withColumn(
+        "slices", F.ceil(F.col("n") / width).cast("int")).withColumn("slice", own).drop("n")
+
+
+def _slice_pairs(sliced: DataFrame) -> DataFrame:
+    """Each row once per slice of its group, as a member of the pair of slices (i, j)."""
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other")
+    kept = [name for name in sliced.columns if name not in ("slice", "slices")]
+    return sliced.select(*kept, F.col("slice").alias("side"), every).select(
+        *kept, "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
 
 
 def _nodes(signed: DataFrame) -> DataFrame:
@@ -323,9 +336,8 @@ def near_duplicates(
     near = tables.write(within_distance(
         stars.join(signs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(signs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")), "near")
-    sizes = tables.write(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "star-sizes")
     sliced = tables.write(
-        _sliced(near.select("a", F.col("b").alias("node")), sizes, "a"), "star-slices")
+        _sliced(near.select("a", F.col("b").alias("node")), ["a"], STAR_SLICE, tables), "star-slices")
     centres = sliced.select("a", "slice").distinct().select("a", "slice", F.col("a").alias("node"))
     links = tables.write(_confirm(
         docs, named, sliced.select("a", "slice", "node").unionByName(centres).select(
@@ -337,18 +349,16 @@ def near_duplicates(
         members.select("key", "node").join(joined, "node", "left").select(
             "key", "node", F.coalesce("component", "node").alias("comp")), "placed")
     unsettled = tables.write(
-        placed.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-        .filter("least < most").select("key", "n"), "unsettled")
-    spread = _sliced(placed, unsettled, "key").select(
-        "key", "node", "comp", F.col("slice").alias("side"),
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other"),
-    ).select("key", "node", "comp", "side", F.least("side", "other").alias("i"),
-             F.greatest("side", "other").alias("j"))
+        placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+        .filter("least < most").select("key"), "unsettled")
+    spread = _slice_pairs(
+        _sliced(tables.write(placed.join(unsettled, "key"), "unsettled-members"), ["key"],
+                SIGN_SLICE, tables))
     left = tables.write(open_members(spread.join(signs, "node")), "open")
+    pairs = _slice_pairs(_sliced(left, ["key", "i", "j"], SET_SLICE, tables).select(
+        F.xxhash64("key", "i", "j").alias("g1"), "node", "slice", "slices"))
     more = tables.write(_confirm(
-        docs, named, left.select(F.col("key").alias("g1"), F.col("i").alias("g2"),
-                                 F.col("j").alias("g3"), "node"),
+        docs, named, pairs.select("g1", F.col("i").alias("g2"), F.col("j").alias("g3"), "node"),
         key=key, text=text, tables=tables), "more-links")
     components = connected_components(links.unionByName(more), tables)
 
