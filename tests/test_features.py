@@ -4,10 +4,13 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import NOON, after, txn
+from pyspark.sql import functions as F
 
 from tidewatch import SkewLimits, derive, heavy_accounts, rows_to_feed
+from tidewatch.functions import money
 from tidewatch.schema import CORE_COLUMNS
 
 TIES = ["txn_ts", "txn_id", "customer_id", "beneficiary_id", "amount", "currency", "channel",
@@ -117,6 +120,44 @@ def test_sums_are_exact(spark):
     assert derived.filter("txn_id = '999'").first().amount_last_day == 100.0
 
 
+WIDE = [
+    ([2e11, 100.0], 2e11 + 100), ([1e20, 1e-12, 1.0], 1e20 + 1), ([4e-7] * 1000, 4e-4),
+    ([1e-12] * 8, 8e-12), ([-3.25, 1e15, -1e15], -3.25), ([1e30, 5.0, 1e29], 1.1e30),
+    ([2.0**70, -(2.0**70), 0.5], 0.5), ([-1e-9, 1e-9, 7.0], 7.0), ([math.inf, 1.0], math.inf),
+    ([-math.inf, 1.0], -math.inf), ([math.inf, -math.inf], math.nan), ([math.nan, 2.0], math.nan),
+    ([None, None], None), ([None, 2.5], 2.5),
+]
+
+
+def same(got, want):
+    if got is None or want is None:
+        return got is want
+    return got == pytest.approx(want, rel=1e-15, nan_ok=True)
+
+
+@pytest.mark.parametrize("amounts,want", WIDE)
+def test_totals_of_any_amounts_on_all_routes(spark, amounts, want):
+    """One day's total, and the next row's after all of them have left the frame."""
+    rows = [txn(f"{i:04d}", "A", after(seconds=i), a) for i, a in enumerate(amounts)]
+    rows.append(txn("later", "A", after(days=3), 0.75))
+    for options in ({"heavy": []}, {"heavy": ["A"]}):
+        derived = derive(rows_to_feed(spark, rows), **options).collect()
+        got = {row.txn_id: row.amount_last_day for row in derived}
+        assert same(got[f"{len(amounts) - 1:04d}"], want) and got["later"] == 0.75
+    total = rows_to_feed(spark, rows[:-1]).agg(money.exact_sum(F.col("amount"))).first()[0]
+    assert same(total, want)
+
+
+@pytest.mark.parametrize("amounts,want", WIDE)
+def test_array_totals_equal_column_totals(amounts, want):
+    present = np.array([a is not None for a in amounts])
+    values = np.array([0.0 if a is None else a for a in amounts])
+    sums = {name: part.sum() for name, part in money.array_parts(values, present).items()}
+    if want is not None:
+        assert same(float(money.array_total(sums)), want)
+    assert (sums["amounts"] == 0) == (want is None)
+
+
 def test_whole_seconds_floor_and_hours_are_utc(spark):
     rows = [txn("1", "A", dt.datetime(1969, 12, 31, 23, 59, 59, 500_000))]
     row = derive(rows_to_feed(spark, rows), heavy=[]).first()

@@ -32,13 +32,14 @@ def failures(spark, rows, config=DEFAULT_DQ, **options):
 
 
 def test_gate_case(spark):
-    rows = [txn("Q1", "ACC7"), txn("Q2", "ACC7", amount=-50.0), txn("Q3", "ACC7", currency="XXX"),
-            txn("Q1", "ACC7")]
+    """One sound row, its later copy, and two rows that each break a check or two."""
+    rows = [txn("k1", "one"), txn("k1", "one", after(minutes=1)),
+            txn("k2", "one", amount=-3.75, channel="PIGEON"), txn("k3", "two", country="F1")]
     clean, quarantined = apply_dq(rows_to_feed(spark, rows), DEFAULT_DQ)
-    assert [r.txn_id for r in clean.collect()] == ["Q1"]
-    assert [list(r.dq_failures) for r in clean.collect()] == [[]]
+    assert [(r.txn_id, r.txn_ts, list(r.dq_failures)) for r in clean.collect()] == [("k1", NOON, [])]
     assert sorted((r.txn_id, list(r.dq_failures)) for r in quarantined.collect()) == [
-        ("Q1", ["duplicate_txn_id"]), ("Q2", ["amount_positive"]), ("Q3", ["currency_valid"])]
+        ("k1", ["duplicate_txn_id"]), ("k2", ["amount_positive", "channel_valid"]),
+        ("k3", ["country_format"])]
 
 
 @pytest.mark.parametrize("change,label", [

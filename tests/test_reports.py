@@ -7,8 +7,8 @@ from conftest import NOON, after, txn
 
 from tidewatch import (
     DEFAULT_DQ, DEFAULT_RULES, alerts_by_band, alerts_by_rule, annotate_dq, apply_dq,
-    batch_counters, ranked_alerts, reconcile, rows_to_feed, run_metrics, run_summary, score,
-    split_dq, top_alerts, top_batch_alerts,
+    batch_counters, ranked_alerts, reconcile, reconcile_gated, rows_to_feed, run_metrics,
+    run_metrics_gated, run_summary, score, split_dq, top_alerts, top_batch_alerts,
 )
 from tidewatch.operators.reports import preview
 from tidewatch.operators.scoring import configured_alerts
@@ -46,6 +46,22 @@ def test_reconcile_of_nothing_and_of_nan(spark):
     assert reconcile(odd, *apply_dq(odd, DEFAULT_DQ)).first().status == "FAIL"
 
 
+@pytest.mark.parametrize("amounts", [[100.0, 2e11], [1e20, 3.0, -7.5], [4e-7] * 300, [1e30, 1.0]])
+def test_reconcile_of_amounts_of_any_size(spark, amounts):
+    source = rows_to_feed(spark, [txn(str(i), "A", NOON, a) for i, a in enumerate(amounts)])
+    annotated = annotate_dq(source, DEFAULT_DQ)
+    by_sides = reconcile(source, *split_dq(annotated)).first()
+    assert (by_sides.status, by_sides.amount_break) == ("PASS", 0.0)
+    assert reconcile_gated(source, annotated).first() == by_sides
+
+
+def test_gated_reports_equal_those_of_the_sides(spark, parts):
+    source, clean, quarantined, alerts = parts
+    annotated = annotate_dq(source, DEFAULT_DQ)
+    assert reconcile_gated(source, annotated).first() == reconcile(source, clean, quarantined).first()
+    assert run_metrics_gated(source, annotated, alerts, "r").first() == run_metrics(*parts, "r").first()
+
+
 def test_metrics_and_summary(spark, parts):
     metrics = run_metrics(*parts, "r1")
     row = metrics.first()

@@ -120,7 +120,7 @@ def test_folded_parts_are_deleted(spark, streamed):
     assert sorted(os.listdir(os.path.join(state, "keys_snapshot"))) == [
         "batch_id=1", "batch_id=3"]
     days = os.listdir(os.path.join(state, "history"))
-    assert "event_date=2026-03-01" in days and "event_date=2025-08-13" in days
+    assert "event_date=2021-09-14" in days and "event_date=2021-02-26" in days
 
 
 def test_empty_batch_is_skipped(spark, tmp_path):

@@ -8,8 +8,8 @@ from tidewatch.functions.rules import register_rule
 from tidewatch.operators.features import derive, heavy_accounts
 from tidewatch.operators.gate import annotate_dq, apply_dq, dq_summary, mark_duplicates, split_dq
 from tidewatch.operators.reports import (
-    alerts_by_band, alerts_by_rule, batch_counters, preview, ranked_alerts, reconcile, run_metrics,
-    run_summary, top_alerts, top_batch_alerts,
+    alerts_by_band, alerts_by_rule, batch_counters, preview, ranked_alerts, reconcile,
+    reconcile_gated, run_metrics, run_metrics_gated, run_summary, top_alerts, top_batch_alerts,
 )
 from tidewatch.operators.scoring import (
     alerts_only, configured_alerts, project_alerts, score, tag_run,
@@ -23,6 +23,7 @@ from tidewatch.sources.feed import (
 )
 from tidewatch.sources.sinks import save_tables, write_metrics, write_outputs
 from tidewatch.sources.work import cached
+from tidewatch.streaming.keyed_state import start_keyed_stream
 from tidewatch.streaming.micro_batch import process_batch, read_output, start_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,52 +1,126 @@
-"""Amounts in forms whose sums do not depend on the order of adding.
+"""Amounts in parts whose sums do not depend on the order of adding.
 
-A double is split into whole units and millionths, two integers. Amounts of
-1e11 and above, infinities and NaN have no such form; totals turn NaN while
-they hold one.
+A finite double below 2^80 is split into four integers: multiples of 2^40, whole units,
+billionths and billionths of these. Sums of the parts are exact, so 1e20 and 1e-12 both
+survive beside each other, and a difference of two running sums is exact as well. Beyond
+2^80 the double itself is added. NaN and infinities are counted, and make a total what
+they make of a sum of doubles, but only of totals they belong to.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
-_MILLION = 1_000_000
-BOUND = 1e11
+LIMIT = float(2**80)
+HIGH = float(2**40)
+_BILLION = 1e9
 
+# Counts of NaN, +inf and -inf share one decimal, a part each. It is NULL for ordinary rows.
+_SHIFT = 10**12
+_ODD = "decimal(38,0)"
 
-def splits(amount: Column) -> Column:
-    """TRUE if the amount is within the exact range (NULL for NULL)."""
-    # NaN is above every number here, so it is out of range as well.
-    return F.abs(amount) < F.lit(BOUND)
+PARTS = ["_amounts", "_high", "_low", "_nano", "_rest", "_huge", "_odd"]
 
 
-def whole(amount: Column) -> Column:
-    """Whole units, rounded down; 0 for an amount that has no exact form."""
-    return F.when(splits(amount), F.floor(amount)).otherwise(F.lit(0)).cast("long")
+def _ordinary(amount: Column) -> Column:
+    """TRUE if the amount has integer parts; NaN is above every number, so it has none."""
+    return F.abs(amount) < F.lit(LIMIT)
 
 
-def millionths(amount: Column) -> Column:
-    """What :func:`whole` leaves, in millionths, rounded to the nearest."""
-    rest = F.floor((amount - F.floor(amount)) * F.lit(float(_MILLION)) + F.lit(0.5))
-    return F.when(splits(amount), rest).otherwise(F.lit(0)).cast("long")
+def parts(amount: Column) -> dict[str, Column]:
+    """What to add up for each row, by the names in :data:`PARTS`."""
+    infinity = float("inf")
+    units = F.floor(amount.cast("double"))
+    high = F.floor(units / F.lit(HIGH))
+    fraction = amount - units
+    nano = F.floor(fraction * F.lit(_BILLION))
+    rest = F.floor((fraction - nano / F.lit(_BILLION)) * F.lit(_BILLION * _BILLION) + F.lit(0.5))
 
+    def part(value: Column) -> Column:
+        return F.when(_ordinary(amount), value).otherwise(F.lit(0)).cast("long")
+
+    # floor() gives a bigint, which holds units below 2^63 only: wider ones are scaled first.
+    wide = F.abs(amount) >= F.lit(float(2**62))
+    high_wide = F.floor(amount / F.lit(HIGH))
+    odd = (
+        F.when(F.isnan(amount), F.lit(1))
+        .when(amount == F.lit(infinity), F.lit(str(_SHIFT)).cast(_ODD))
+        .when(amount == F.lit(-infinity), F.lit(str(_SHIFT**2)).cast(_ODD))
+    )
+    return {
+        "_amounts": amount.isNotNull().cast("long"),
+        "_high": part(F.when(wide, high_wide).otherwise(high)),
+        "_low": part(F.when(wide, amount - high_wide * F.lit(HIGH)).otherwise(
+            units - high * F.lit(HIGH))),
+        "_nano": part(F.when(wide, F.lit(0)).otherwise(nano)),
+        "_rest": part(F.when(wide, F.lit(0)).otherwise(rest)),
+        "_huge": F.when(~_ordinary(amount) & (F.abs(amount) < F.lit(infinity)), amount),
+        "_odd": odd.cast(_ODD),
+    }
 
-def total(whole_sum: Column, millionth_sum: Column, amounts: Column, inexact: Column) -> Column:
-    """Total as a double from sums of the parts and two counts.
 
-    NULL if there were no amounts, NaN if any of them had no exact form.
-    """
-    value = whole_sum.cast("double") + millionth_sum.cast("double") / F.lit(float(_MILLION))
+def total(sums: dict[str, Column]) -> Column:
+    """Total as a double from sums of the parts; NULL if there were no amounts."""
+    value = (
+        (sums["_high"].cast("double") * F.lit(HIGH) + sums["_low"].cast("double"))
+        + (sums["_nano"].cast("double") / F.lit(_BILLION)
+           + sums["_rest"].cast("double") / F.lit(_BILLION * _BILLION))
+        + F.coalesce(sums["_huge"], F.lit(0.0))
+    )
+    odd = F.coalesce(sums["_odd"].cast(_ODD), F.lit(0).cast(_ODD))
+    shift = F.lit(str(_SHIFT)).cast(_ODD)
+    nans, signs = odd % shift, F.floor(odd / shift).cast(_ODD)
+    plus, minus = signs % shift > 0, signs >= shift
     return (
-        F.when(amounts == F.lit(0), F.lit(None).cast("double"))
-        .when(inexact > F.lit(0), F.lit(float("nan")))
-        .otherwise(value)
+        F.when(sums["_amounts"] == F.lit(0), F.lit(None).cast("double"))
+        .when(odd == F.lit(0), value)
+        .when((nans > 0) | (plus & minus), F.lit(float("nan")))
+        .when(plus, F.lit(float("inf")))
+        .otherwise(F.lit(float("-inf")))
     )
 
 
+def sums(amount: Column) -> dict[str, Column]:
+    """Aggregates of the parts over any number of rows."""
+    wide = "decimal(20,0)"
+    return {
+        name: F.sum(value if name in ("_huge", "_odd") else value.cast(wide))
+        for name, value in parts(amount).items()
+    }
+
+
 def exact_sum(amount: Column) -> Column:
     """Aggregate: total of any number of rows, with the same rules as :func:`total`."""
-    wide = "decimal(20,0)"
-    return total(
-        F.sum(whole(amount).cast(wide)), F.sum(millionths(amount).cast(wide)),
-        F.count(amount), F.count_if(~splits(amount)),
-    )
+    added = sums(amount)
+    return total({**added, "_amounts": F.count(amount)})
+
+
+ARRAY_COUNTS = ["amounts", "high", "low", "nano", "rest", "nans", "plus", "minus"]
+
+
+def array_parts(amount: np.ndarray, present: np.ndarray) -> dict[str, np.ndarray]:
+    """The same parts of an array: integers by :data:`ARRAY_COUNTS`, and ``huge``."""
+    ordinary = present & (np.abs(amount) < LIMIT)
+    value = np.where(ordinary, amount, 0.0)
+    units = np.floor(value)
+    high = np.floor(units / HIGH)
+    fraction = value - units
+    nano = np.floor(fraction * _BILLION)
+    rest = np.floor((fraction - nano / _BILLION) * (_BILLION * _BILLION) + 0.5)
+    whole = {
+        "amounts": present, "high": high, "low": units - high * HIGH, "nano": nano, "rest": rest,
+        "nans": present & np.isnan(amount), "plus": present & np.isposinf(amount),
+        "minus": present & np.isneginf(amount),
+    }
+    huge = np.where(present & ~ordinary & np.isfinite(amount), amount, 0.0)
+    return {**{name: part.astype("int64") for name, part in whole.items()}, "huge": huge}
+
+
+def array_total(sums: dict[str, np.ndarray]) -> np.ndarray:
+    """:func:`total` of arrays; NaN stands for NULL where there were no amounts."""
+    value = (sums["high"] * HIGH + sums["low"]) + (
+        sums["nano"] / _BILLION + sums["rest"] / (_BILLION * _BILLION)) + sums["huge"]
+    plus, minus = sums["plus"] > 0, sums["minus"] > 0
+    value = np.where(plus, np.inf, np.where(minus, -np.inf, value))
+    return np.where((sums["nans"] > 0) | (plus & minus), np.nan, value)

@@ -44,22 +44,20 @@ def _rolling(column: str, seconds: int) -> Column:
     line = Window.partitionBy("account_id").orderBy("_at")
     now = F.sum(column).over(line.rangeBetween(Window.unboundedPreceding, 0))
     old = F.sum(column).over(line.rangeBetween(Window.unboundedPreceding, -seconds - 1))
-    return now - F.coalesce(old, F.lit(0))
+    return F.coalesce(now, F.lit(0)) - F.coalesce(old, F.lit(0))
 
 
-_PARTS = ["_rows", "_amounts", "_inexact", "_whole", "_millionths"]
+_PARTS = ["_rows", *money.PARTS]
 
 
 def _parts_of_row() -> dict[str, Column]:
     """What the rolling frames add up: 1 and the parts of the amount."""
-    amount = F.col("amount")
-    return {
-        "_rows": F.lit(1).cast("long"),
-        "_amounts": amount.isNotNull().cast("long"),
-        "_inexact": F.coalesce(~money.splits(amount), F.lit(False)).cast("long"),
-        "_whole": F.coalesce(money.whole(amount), F.lit(0)),
-        "_millionths": F.coalesce(money.millionths(amount), F.lit(0)),
+    parts = money.parts(F.col("amount"))
+    rare = ("_huge", "_odd")  # NULL on ordinary rows, which sums pass over
+    added = {
+        name: part if name in rare else F.coalesce(part, F.lit(0)) for name, part in parts.items()
     }
+    return {"_rows": F.lit(1).cast("long"), **added}
 
 
 def _rolling_parts(df: DataFrame) -> DataFrame:
@@ -68,9 +66,7 @@ def _rolling_parts(df: DataFrame) -> DataFrame:
 
 
 def _amount_last_day() -> Column:
-    return money.total(
-        F.col("_day_whole"), F.col("_day_millionths"), F.col("_day_amounts"), F.col("_day_inexact")
-    )
+    return money.total({part: F.col(f"_day{part}") for part in money.PARTS})
 
 
 # Columns that both routes add to the input.
@@ -166,7 +162,7 @@ def _by_seconds(df: DataFrame, counted: str | None, limits: SkewLimits) -> DataF
     df = _with_slices(df, limits)
     units = df.groupBy("account_id", "_epoch", "_at", "_slice").agg(
         # Decimals: an account's sums may outgrow a bigint here.
-        *[F.sum(value.cast("decimal(20,0)")).alias(part)
+        *[F.sum(value if part in ("_huge", "_odd") else value.cast("decimal(20,0)")).alias(part)
           for part, value in _parts_of_row().items()],
         F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
     )

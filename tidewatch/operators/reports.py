@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.functions.money import exact_sum
+from tidewatch.functions import money
 
 # Largest difference in amount that still reconciles.
 AMOUNT_TOLERANCE = 0.01
@@ -17,58 +18,82 @@ RECONCILE_COLUMNS = [
 ]
 
 
-def _tally(**sides: DataFrame) -> DataFrame:
-    """One row with ``<side>_n`` and ``<side>_sum`` per side, in one aggregation.
+def _sided(df: DataFrame, side: str | Column) -> DataFrame:
+    column = F.lit(side) if isinstance(side, str) else side
+    return df.select(column.alias("side"), "amount")
+
+
+def _tally(stacked: DataFrame, *sides: str) -> DataFrame:
+    """One row with ``<side>_n`` and the sums of each side's amount parts, in one aggregation.
 
     The sides are stacked as (side, amount) rows, so no join is needed to bring
-    their totals together. Sums are exact and then rounded to cents; an amount
-    without an exact form makes its side's sum NaN.
+    their totals together.
     """
-    stacked = reduce(
-        DataFrame.unionByName,
-        [df.select(F.lit(side).alias("side"), "amount") for side, df in sides.items()],
-    )
-    amount = F.col("amount")
 
     def totals(side: str) -> list[Column]:
         here = F.col("side") == side
-        total = exact_sum(F.when(here, amount))
-        return [
-            F.count_if(here).alias(f"{side}_n"),
-            F.coalesce(F.round(total, 2), F.lit(0.0)).alias(f"{side}_sum"),
-        ]
+        parts = money.sums(F.when(here, F.col("amount")))
+        return [F.count_if(here).alias(f"{side}_n"),
+                *[F.coalesce(value, F.lit(0)).alias(side + part) for part, value in parts.items()]]
 
     return stacked.agg(*[column for side in sides for column in totals(side)])
 
 
+def _parts_of(*sides: str) -> dict[str, Column]:
+    return {part: reduce(add, [F.col(side + part) for side in sides]) for part in money.PARTS}
+
+
+def _cents(parts: dict[str, Column]) -> Column:
+    return F.coalesce(F.round(money.total(parts), 2), F.lit(0.0))
+
+
 def _balance(tally: DataFrame, *keep: str) -> DataFrame:
-    count_break = F.col("source_n") - (F.col("clean_n") + F.col("quarantined_n"))
+    """Breaks are taken between exact sums, so sides that tie do so at any size of amount."""
+    source, split = _parts_of("source"), _parts_of("clean", "quarantined")
+    gap = {part: source[part] - split[part] for part in money.PARTS}
     settled = tally.select(
         F.col("source_n").alias("source_count"),
         F.col("clean_n").alias("clean_count"),
         F.col("quarantined_n").alias("quarantined_count"),
-        count_break.alias("count_break"),
-        F.col("source_sum").alias("source_amount"),
-        F.round(F.col("clean_sum") + F.col("quarantined_sum"), 2).alias("split_amount"),
+        (F.col("source_n") - (F.col("clean_n") + F.col("quarantined_n"))).alias("count_break"),
+        _cents(source).alias("source_amount"),
+        _cents(split).alias("split_amount"),
+        # NaN or an infinity on either side leaves no difference, as it does between doubles.
+        F.when(source["_odd"] + split["_odd"] > 0, F.lit(float("nan")))
+        .otherwise(_cents({**gap, "_amounts": F.lit(1)})).alias("amount_break"),
         *keep,
-    ).withColumn("amount_break", F.round(F.col("source_amount") - F.col("split_amount"), 2))
+    )
     # NaN sorts above every number, so a NaN break is never below the tolerance.
     balanced = (F.col("count_break") == 0) & (F.abs("amount_break") < F.lit(AMOUNT_TOLERANCE))
     return settled.withColumn("status", F.when(balanced, F.lit("PASS")).otherwise(F.lit("FAIL")))
 
 
+def _three_sides(source: DataFrame, clean: DataFrame, quarantined: DataFrame) -> DataFrame:
+    return _sided(source, "source").unionByName(_sided(clean, "clean")).unionByName(
+        _sided(quarantined, "quarantined"))
+
+
+def _gated_sides(source: DataFrame, annotated: DataFrame) -> DataFrame:
+    """The same rows from the annotated feed, which holds both sides of the gate."""
+    side = F.when(F.col("dq_passed"), F.lit("clean")).otherwise(F.lit("quarantined"))
+    return _sided(source, "source").unionByName(_sided(annotated, side))
+
+
 def reconcile(source: DataFrame, clean: DataFrame, quarantined: DataFrame) -> DataFrame:
     """One row: counts and amounts of the source against the two sides of the gate."""
-    tally = _tally(source=source, clean=clean, quarantined=quarantined)
+    tally = _tally(_three_sides(source, clean, quarantined), "source", "clean", "quarantined")
     return _balance(tally).select(*RECONCILE_COLUMNS)
 
 
-def run_metrics(
-    source: DataFrame, clean: DataFrame, quarantined: DataFrame, alerts: DataFrame, run_id: str
-) -> DataFrame:
-    """One row: run id, reconciliation (nested), alert count and alert rate in percent."""
-    tally = _tally(source=source, clean=clean, quarantined=quarantined, alerts=alerts)
-    balance = _balance(tally, "alerts_n")
+def reconcile_gated(source: DataFrame, annotated: DataFrame) -> DataFrame:
+    """:func:`reconcile` from the annotated feed, so that the gate runs once."""
+    tally = _tally(_gated_sides(source, annotated), "source", "clean", "quarantined")
+    return _balance(tally).select(*RECONCILE_COLUMNS)
+
+
+def _metrics(sides: DataFrame, alerts: DataFrame, run_id: str) -> DataFrame:
+    stacked = sides.unionByName(_sided(alerts, "alerts"))
+    balance = _balance(_tally(stacked, "source", "clean", "quarantined", "alerts"), "alerts_n")
     rate = 100.0 * F.col("alerts_n") / F.greatest(F.col("clean_count"), F.lit(1))
     return balance.select(
         F.lit(run_id).alias("run_id"),
@@ -78,13 +103,27 @@ def run_metrics(
     )
 
 
+def run_metrics(
+    source: DataFrame, clean: DataFrame, quarantined: DataFrame, alerts: DataFrame, run_id: str
+) -> DataFrame:
+    """One row: run id, reconciliation (nested), alert count and alert rate in percent."""
+    return _metrics(_three_sides(source, clean, quarantined), alerts, run_id)
+
+
+def run_metrics_gated(
+    source: DataFrame, annotated: DataFrame, alerts: DataFrame, run_id: str
+) -> DataFrame:
+    """:func:`run_metrics` from the annotated feed, so that the gate runs once."""
+    return _metrics(_gated_sides(source, annotated), alerts, run_id)
+
+
 def run_summary(metrics: DataFrame) -> DataFrame:
     """The run metrics as ten (measure, value) text rows."""
 
     def count(name: str) -> Column:
         return F.col(f"reconciliation.{name}").cast("string")
 
-    def money(name: str) -> Column:
+    def cents(name: str) -> Column:
         return F.format_number(F.col(f"reconciliation.{name}"), 2)
 
     # Names and order of the measures.
@@ -93,9 +132,9 @@ def run_summary(metrics: DataFrame) -> DataFrame:
         "clean rows": count("clean_count"),
         "quarantined rows": count("quarantined_count"),
         "count break": count("count_break"),
-        "source amount": money("source_amount"),
-        "clean + quarantined": money("split_amount"),
-        "amount break": money("amount_break"),
+        "source amount": cents("source_amount"),
+        "clean + quarantined": cents("split_amount"),
+        "amount break": cents("amount_break"),
         "reconciliation": F.col("reconciliation.status"),
         "alerts raised": F.col("alert_count").cast("string"),
         "alert rate": F.format_string("%.2f%%", F.col("alert_rate_pct")),

@@ -19,8 +19,6 @@ BANDS = ["NONE", "LOW", "MEDIUM", "HIGH", "CRITICAL"]
 DEFAULT_BOUNDS = {"critical": 70, "high": 45, "medium": 20}
 DEFAULT_MIN_BAND = "MEDIUM"
 
-_BOUNDS = "lower_bounds"
-
 
 def band_bounds(rules_config: Mapping[str, Any]) -> dict[str, float]:
     """Configured lower bounds over the defaults; they must not rise downwards."""
@@ -54,8 +52,7 @@ def summarise_flags(
         "triggered_rules": F.array_compact(F.array(*fired)),
         "risk_score": reduce(add, points),
     })
-    band = band_column(F.col("risk_score"), bounds)
-    return scored.drop("risk_band").select("*", band.alias("risk_band", metadata={_BOUNDS: dict(bounds)}))
+    return scored.withColumn("risk_band", band_column(F.col("risk_score"), bounds))
 
 
 def score_derived(derived: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
@@ -79,31 +76,33 @@ def score(
     return score_derived(derive(df, heavy=heavy, limits=limits), rules_config)
 
 
+def _known(min_band: str) -> str:
+    if min_band not in BANDS:
+        raise ValueError(f"unknown risk band {min_band!r}; known: {', '.join(BANDS)}")
+    return min_band
+
+
 def alerts_only(scored: DataFrame, min_band: str = DEFAULT_MIN_BAND) -> DataFrame:
-    """Rows of ``min_band`` and above.
+    """Rows whose ``risk_band`` is ``min_band`` or above, wherever the band came from."""
+    return scored.filter(F.col("risk_band").isin(*BANDS[BANDS.index(_known(min_band)):]))
+
 
-    The bands are bounds on the score, and :func:`score` notes them with the band
-    column. While that note is there the score is compared instead of the band: a
-    filter moves below the projection and would repeat the rules for every bound.
+def configured_alerts(scored: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
+    """Rows of the configured minimum band and above, of a frame scored under the same config.
+
+    The config's bounds are compared with the score instead of the band: a filter moves
+    below the projection and would repeat the rules for every bound of the band. For
+    frames of other origin, or with edited scores, use :func:`alerts_only`.
     """
-    if min_band not in BANDS:
-        raise ValueError(f"unknown risk band {min_band!r}; known: {', '.join(BANDS)}")
-    bounds = scored.schema["risk_band"].metadata.get(_BOUNDS)
-    if bounds is None or "risk_score" not in scored.columns:
-        return scored.filter(F.col("risk_band").isin(*BANDS[BANDS.index(min_band):]))
+    min_band = _known(rules_config.get("min_alert_band", DEFAULT_MIN_BAND))
+    bounds, points = band_bounds(rules_config), F.col("risk_score")
     if min_band == "NONE":
         return scored
-    points = F.col("risk_score")
     if min_band == "LOW":
         return scored.filter((points > 0) | (points >= F.lit(float(bounds["medium"]))))
     return scored.filter(points >= F.lit(float(bounds[min_band.lower()])))
 
 
-def configured_alerts(scored: DataFrame, rules_config: Mapping[str, Any]) -> DataFrame:
-    """Rows of the configured minimum band and above."""
-    return alerts_only(scored, rules_config.get("min_alert_band", DEFAULT_MIN_BAND))
-
-
 def tag_run(alerts: DataFrame, run_id: str) -> DataFrame:
     """Stamp the rows with the run that raised them."""
     return alerts.withColumn("run_id", F.lit(run_id))

@@ -46,25 +46,27 @@ def run_batch(
 
     Two work tables below ``spark.checkpoint.dir`` keep every later step a read
     of columns: the landed feed, so JSON is parsed once, and the gated feed,
-    partitioned by verdict. They are removed when the run succeeds.
+    partitioned by verdict. They are removed when the run ends, also by a failure.
     """
     require_utc(spark)
     compile_rules(rules_config)
     run_id = run_id or uuid.uuid4().hex[:8]
     work = WorkTables(spark)
 
-    source = work.write(read_feed(spark, landing, capture=capture), "landed")
-    annotated = annotate_dq(source, dq_config, limits=limits)
-    clean, quarantined = split_dq(work.write(annotated, "gated", "dq_passed"))
+    try:
+        source = work.write(read_feed(spark, landing, capture=capture), "landed")
+        annotated = annotate_dq(source, dq_config, limits=limits)
+        clean, quarantined = split_dq(work.write(annotated, "gated", "dq_passed"))
 
-    scored = score(clean, rules_config, heavy=heavy_accounts(source, limits))
-    alerts = tag_run(configured_alerts(scored, rules_config), run_id)
-    paths = write_outputs(out, alerts, quarantined, dq_summary(quarantined))
+        scored = score(clean, rules_config, heavy=heavy_accounts(source, limits))
+        alerts = tag_run(configured_alerts(scored, rules_config), run_id)
+        paths = write_outputs(out, alerts, quarantined, dq_summary(quarantined))
 
-    stored = {name: spark.read.parquet(path) for name, path in paths.items()}
-    metrics = run_metrics(source, clean, stored["quarantine"], stored["alerts"], run_id)
-    metrics_path = write_metrics(out, metrics)
-    work.drop()
+        stored = {name: spark.read.parquet(path) for name, path in paths.items()}
+        metrics = run_metrics(source, clean, stored["quarantine"], stored["alerts"], run_id)
+        metrics_path = write_metrics(out, metrics)
+    finally:
+        work.drop()
     return BatchRun(
         run_id=run_id,
         alerts=stored["alerts"],

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import partial
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.config import DEFAULT_DQ, DEFAULT_RULES, with_params
@@ -21,13 +21,14 @@ from tidewatch.operators.gate import (
     annotate_dq, apply_dq, dq_summary, mark_duplicates, quarantine_view, split_dq,
 )
 from tidewatch.operators.scoring import (
-    band_bounds, configured_alerts, flag_rules, project_alerts, score, summarise_flags, tag_run,
+    alerts_only, band_bounds, configured_alerts, flag_rules, project_alerts, score, score_derived, summarise_flags,
+    tag_run,
 )
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.plans.batch import BatchRun, run_batch
 from tidewatch.schema import CORE_COLUMNS, CORRUPT_COLUMN
 from tidewatch.sources.feed import parse_iso_ts, parse_lines, read_feed
-from tidewatch.sources.work import join_path, work_folder
+from tidewatch.sources.work import WorkTables, join_path, work_folder
 from tidewatch.sources.tables import events_as_feed, orders_as_feed
 from tidewatch.streaming.keyed_state import PROVIDER_SETTING, ROCKSDB, start_keyed_stream
 from tidewatch.streaming.micro_batch import read_output, start_stream
@@ -392,9 +393,54 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _kept_gate(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(source, annotated feed as a written table): the gate runs once for all that follows."""
+    source = event_feed(spark, folder)
+    return source, WorkTables(spark).write(annotate_dq(source, DEFAULT_DQ), "gated")
+
+
 @_register("reconcile")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.reconcile(*_gated(spark, folder))
+    return reports.reconcile_gated(*_kept_gate(spark, folder))
+
+
+def wide_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The event feed with amounts of whole trillions for half of the customers and of
+    fractions of a millionth for the others."""
+    number = F.substring("txn_id", 2, 20).cast("long") % 1000 + 1
+    big = F.substring("customer_id", 5, 20).cast("long") % 2 == 0
+    amount = F.when(big, number * F.lit(1e12)).otherwise(number * F.lit(4e-7))
+    return event_feed(spark, folder).withColumn("amount", amount)
+
+
+@_register("rolling_sum_wide")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals far above and far below cents, both exact; small ones shown in billionths."""
+    total = F.col("amount_last_day")
+    shown = F.when(total >= 1.0, total).otherwise(F.round(total * 1e9))
+    return derive(wide_feed(spark, folder)).select(
+        "txn_id", "account_id", _time(), shown.alias("amount_last_day"))
+
+
+@_register("reconcile_wide")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with amounts beyond any ceiling still reconciles if its sides tie."""
+    source = wide_feed(spark, folder)
+    annotated = WorkTables(spark).write(annotate_dq(source, DEFAULT_DQ), "gated")
+    return reports.reconcile_gated(source, annotated).drop("source_amount", "split_amount")
+
+
+# Other bands over the same rules: what is LOW or MEDIUM there is CRITICAL here.
+_SHARP_RULES = {**EVENT_RULES, "risk_bands": {"critical": 30, "high": 20, "medium": 10}}
+
+
+@_register("alerts_mixed_configs")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Critical rows of two scorings with different bands in one frame."""
+    derived = _derived(spark, folder)
+    both = [score_derived(derived, rules) for rules in (EVENT_RULES, _SHARP_RULES)]
+    critical = alerts_only(both[0].unionByName(both[1]), "CRITICAL")
+    return critical.select("txn_id", "account_id", "risk_score", "risk_band")
 
 
 @_register("alerts_by_band")
@@ -426,11 +472,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _report(reports.ranked_alerts(_alerts(spark, folder)))
 
 
-def _metrics(spark: SparkSession, folder: str) -> DataFrame:
-    source, clean, quarantined = _gated(spark, folder)
+def _kept_alerts(
+    spark: SparkSession, folder: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(source, annotated feed, alerts), all from one run of the gate."""
+    source, annotated = _kept_gate(spark, folder)
+    clean, _ = split_dq(annotated)
     scored = score(clean, EVENT_RULES, heavy=heavy_accounts(source))
-    alerts = configured_alerts(scored, EVENT_RULES)
-    return reports.run_metrics(source, clean, quarantined, alerts, "run00001")
+    return source, annotated, configured_alerts(scored, EVENT_RULES)
+
+
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.run_metrics_gated(*_kept_alerts(spark, folder), "run00001")
 
 
 @_register("run_metrics")
@@ -447,11 +500,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register("batch_counters")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    source = event_feed(spark, folder)
-    annotated = annotate_dq(source, DEFAULT_DQ)
-    clean, _ = split_dq(annotated)
-    scored = score(clean, EVENT_RULES, heavy=heavy_accounts(source))
-    return reports.batch_counters(annotated, configured_alerts(scored, EVENT_RULES), 0)
+    _, annotated, alerts = _kept_alerts(spark, folder)
+    return reports.batch_counters(annotated, alerts, 0)
 
 
 # ---- batch run: JSON landing to stored outputs -----------------------------
@@ -493,7 +543,8 @@ def _stream_root(spark: SparkSession, folder: str, start: Callable[..., Streamin
     for number in range(_SLICES):
         begins = F.col("txn_ts") >= F.lit(first + number * step)
         ends = F.col("txn_ts") < F.lit(first + (number + 1) * step)
-        inside = begins if number == _SLICES - 1 else begins & ends
+        # Rows without a time come with the last slice.
+        inside = begins | F.col("txn_ts").isNull() if number == _SLICES - 1 else begins & ends
         feed.filter(inside).write.mode("append").json(landing)
         query = start(
             spark, landing, root, DEFAULT_DQ, EVENT_RULES, available_now=True, max_files=None
@@ -524,3 +575,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     finally:
         spark.conf.set(PROVIDER_SETTING, before)
     return _show_alerts(read_output(spark, root, "alerts"))
+
+
+@_register("stream_top5")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The top alerts that the stream writes with each of its micro-batches."""
+    root = _stream_root(spark, folder, start_stream)
+    top = read_output(spark, root, "top")
+    return _report(top.withColumn("batch_id", F.dense_rank().over(Window.orderBy("batch_id"))))

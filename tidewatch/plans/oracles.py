@@ -49,6 +49,16 @@ feed AS (
   FROM orders
 )"""
 
+# Whole trillions for half of the customers, fractions of a millionth for the others.
+_NUMBER = "(CAST(substr(txn_id, 2) AS BIGINT) % 1000 + 1)"
+_BIG = "CAST(substr(customer_id, 5) AS BIGINT) % 2 = 0"
+_WIDE_FEED = _EVENT_FEED.replace("feed AS (", "narrow AS (", 1) + f""",
+feed AS (
+  SELECT * REPLACE (CASE WHEN {_BIG} THEN {_NUMBER} * CAST(1e12 AS DOUBLE)
+                         ELSE {_NUMBER} * CAST(4e-7 AS DOUBLE) END AS amount)
+  FROM narrow
+)"""
+
 _ONE_ACCOUNT = _ORDER_FEED.replace("'ACC' || o_custkey AS", "'ACC' AS")
 
 # ---- gate ------------------------------------------------------------------
@@ -296,6 +306,38 @@ def oracle_sql() -> dict[str, str]:
             SELECT txn_id, risk_score, 'run00001' AS run_id FROM alerts""",
         "alerts_projected": f"{_TO_ALERTS} SELECT {_ALERT}, 'run00001' AS run_id FROM alerts",
         "reconcile": f"{_TO_GATE},{_BALANCE} SELECT * FROM balance",
+        "rolling_sum_wide": f"""WITH {_WIDE_FEED},
+            timed AS (SELECT *, CAST(epoch_us(txn_ts) // 1000000 AS BIGINT) AS _epoch FROM feed),
+            added AS (
+              SELECT *, sum(CASE WHEN {_BIG} THEN {_NUMBER} END) OVER day AS big,
+                     sum(CASE WHEN NOT {_BIG} THEN {_NUMBER} END) OVER day AS small
+              FROM timed
+              WINDOW day AS (PARTITION BY account_id ORDER BY _epoch
+                             RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW))
+            SELECT txn_id, account_id, {_TIME},
+                   CASE WHEN big IS NULL THEN CAST(small * 400 AS DOUBLE)
+                        ELSE CAST(big * 1000000000000 AS DOUBLE)
+                             + coalesce(CAST(small AS DOUBLE), 0) * CAST(4e-7 AS DOUBLE)
+                   END AS amount_last_day
+            FROM added""",
+        "reconcile_wide": f"""WITH {_WIDE_FEED},{_RANKED},{_ANNOTATED},
+            sides AS (
+              SELECT (SELECT count(*) FROM feed) AS source_count,
+                     (SELECT count(*) FROM clean) AS clean_count,
+                     (SELECT count(*) FROM quarantined) AS quarantined_count,
+                     (SELECT sum({_NUMBER}) FROM feed) AS whole,
+                     (SELECT sum({_NUMBER}) FROM annotated) AS split)
+            SELECT source_count, clean_count, quarantined_count,
+                   source_count - clean_count - quarantined_count AS count_break,
+                   CAST(whole - split AS DOUBLE) AS amount_break,
+                   CASE WHEN source_count = clean_count + quarantined_count AND whole = split
+                        THEN 'PASS' ELSE 'FAIL' END AS status
+            FROM sides""",
+        "alerts_mixed_configs": f"""{_TO_ALERTS}
+            SELECT txn_id, account_id, risk_score, 'CRITICAL' AS risk_band
+            FROM (SELECT txn_id, account_id, risk_score FROM scored WHERE risk_score >= 70
+                  UNION ALL
+                  SELECT txn_id, account_id, risk_score FROM scored WHERE risk_score >= 30)""",
         "alerts_by_band": f"""{_TO_ALERTS}
             SELECT risk_band, count(*) AS "count" FROM alerts GROUP BY risk_band""",
         "alerts_by_rule": _TO_ALERTS + _explode_count(
@@ -333,6 +375,23 @@ def oracle_sql() -> dict[str, str]:
         SELECT (SELECT count(*) FROM annotated) AS "rows",
                (SELECT count(*) FROM quarantined) AS quarantined,
                (SELECT count(*) FROM alerts) AS alerts"""
+    sql["stream_top5"] = f"""{_TO_ALERTS},
+        bounds AS (
+          SELECT epoch_us(min(txn_ts)) AS first,
+                 CAST(round_even((epoch_us(max(txn_ts)) - epoch_us(min(txn_ts))) / 4.0, 0)
+                   AS BIGINT) AS step
+          FROM feed),
+        sliced AS (
+          SELECT a.*, CASE WHEN epoch_us(txn_ts) < first + step THEN 0
+                           WHEN epoch_us(txn_ts) < first + 2 * step THEN 1
+                           WHEN epoch_us(txn_ts) < first + 3 * step THEN 2 ELSE 3 END AS slice
+          FROM alerts a, bounds),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY slice ORDER BY risk_score DESC, txn_id) AS place
+          FROM sliced)
+        SELECT txn_id, account_id, amount, channel, risk_score, risk_band, triggered_rules,
+               CAST(dense_rank() OVER (ORDER BY slice) AS INTEGER) AS batch_id
+        FROM placed WHERE place <= 5"""
     for kind, checks in _CHECKS.items():
         sql[f"dq_{kind}"] = f"""{_TO_FEED}
             SELECT * FROM (SELECT {_CORE}, {_TIME}, {_labels(checks)} AS dq_failures FROM feed)

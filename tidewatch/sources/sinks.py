@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidewatch.operators.scoring import project_alerts
-from tidewatch.sources.work import join_path
+from tidewatch.sources.work import join_path, write_text
 
-# Names of the output folders, catalog tables and metrics output.
+# Names of the output folders, catalog tables and the metrics document.
 OUTPUT_FOLDERS = {"alerts": "alerts", "quarantine": "quarantine", "summary": "dq_summary"}
 TABLE_NAMES = {
     "alerts": "fraud_alerts", "quarantine": "fraud_quarantine", "summary": "fraud_dq_summary",
 }
-METRICS_FOLDER = "run_metrics.json"
+METRICS_FILE = "run_metrics.json"
 
 
 def write_outputs(
@@ -49,7 +49,7 @@ def save_tables(
 
 
 def write_metrics(base: str, metrics: DataFrame) -> str:
-    """Write the one-row metrics frame as JSON."""
-    path = join_path(base, METRICS_FOLDER)
-    metrics.write.mode("overwrite").json(path)
+    """Write the one-row metrics frame as one JSON document next to the outputs."""
+    path = join_path(base, METRICS_FILE)
+    write_text(metrics.sparkSession, path, metrics.toJSON().first() + "\n")
     return path

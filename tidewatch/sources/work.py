@@ -39,6 +39,17 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text as one file, replacing what is there, on whatever file system."""
+    location, files = _hadoop_path(spark, path)
+    files.delete(location, True)
+    out = files.create(location, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     location, files = _hadoop_path(spark, path)
     return files.exists(location)

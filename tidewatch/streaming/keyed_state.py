@@ -1,9 +1,10 @@
 """The stream with state per key in Spark's state store instead of tables.
 
 A micro-batch then costs what its own rows cost, however long the history is:
-one state entry per unique key seen, and per account its last row, a day of
-per-second totals and its payees. The contract on order is that of
-``micro_batch``. Needs the RocksDB state store.
+one state entry per unique key seen, and per account its last row, its payees, and
+per-second totals of a day and the stated lateness. Rows that arrive up to that much
+later than the newest row of their account are judged as ``micro_batch`` judges them;
+later ones against what is kept. Needs the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from tidewatch.functions import money
 from tidewatch.functions.rules import compile_rules
 from tidewatch.operators.features import DAY_SECONDS, HOUR_SECONDS, NO_TIME
 from tidewatch.operators.gate import label_failures, split_dq
-from tidewatch.operators.reports import batch_counters
+from tidewatch.operators.reports import batch_counters, top_batch_alerts
 from tidewatch.operators.scoring import configured_alerts, project_alerts, score_derived, tag_run
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
@@ -34,11 +35,20 @@ PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
 
 _TIES = [name for name in CORE_COLUMNS if name not in ("account_id", "txn_id", "txn_ts")]
 _ROW_ORDER = ["txn_ts", "txn_id", *_TIES]
-_MILLION = 1_000_000
+_SUMS = ["n", *money.ARRAY_COUNTS]
+# How much later than an account's newest row a row may come and still meet all it should.
+LATENESS_SECONDS = 7 * DAY_SECONDS
 
 
 class FirstOfKey(StatefulProcessor):
-    """Flags every row of a key but the first one ever, earliest of its micro-batch."""
+    """Flags every row of a key but the first one ever, earliest of its micro-batch.
+
+    Earliest is what the batch gate says: by time, without a time last, then by the
+    ``ties`` in order, missing values first.
+    """
+
+    def __init__(self, ties: list[str]) -> None:
+        self._ties = ties
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._seen = handle.getValueState("seen", "seen boolean")
@@ -49,7 +59,8 @@ class FirstOfKey(StatefulProcessor):
             if not known:
                 # Hold back the best row so far; all others are settled.
                 pool = chunk if best is None else pd.concat([best, chunk])
-                pool = pool.sort_values(["txn_ts", *_TIES], kind="stable", na_position="last")
+                pool = pool.sort_values(self._ties, kind="stable", na_position="first")
+                pool = pool.sort_values("txn_ts", kind="stable", na_position="last")
                 best, chunk = pool.head(1), pool.iloc[1:]
             yield chunk.assign(is_duplicate=True)
         if not known:
@@ -61,24 +72,24 @@ class FirstOfKey(StatefulProcessor):
 
 
 class AccountHistory(StatefulProcessor):
-    """History columns of an account's clean rows; other rows pass with NULLs.
+    """History columns of an account's clean rows; other rows pass with NULLs."""
 
-    Amounts that are missing or have no exact form add nothing to totals here;
-    the default gate lets none through.
-    """
+    def __init__(self, lateness: int) -> None:
+        self._kept = DAY_SECONDS + lateness
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", "epoch bigint, country string")
         self._day = handle.getValueState(
-            "day", "epoch array<bigint>, n array<bigint>, whole array<bigint>, "
-                   "millionths array<bigint>, country array<string>")
+            "day", "epoch array<bigint>, "
+                   + "".join(f"{name} array<bigint>, " for name in _SUMS)
+                   + "huge array<double>, country array<string>")
         self._paid = handle.getMapState("paid", "payee string", "times bigint")
 
     def _recent(self) -> pd.DataFrame:
-        names = ["epoch", "n", "whole", "millionths", "country"]
-        parts = self._day.get() if self._day.exists() else ([], [], [], [], [])
+        names = ["epoch", *_SUMS, "huge", "country"]
+        parts = self._day.get() if self._day.exists() else [[]] * len(names)
         frame = pd.DataFrame(dict(zip(names, map(list, parts))))
-        return frame.astype({name: "int64" for name in names[:4]})
+        return frame.astype({**{name: "int64" for name in ["epoch", *_SUMS]}, "huge": "float64"})
 
     def _previous(
         self, epoch: np.ndarray, country: pd.Series, recent: pd.DataFrame
@@ -117,27 +128,27 @@ class AccountHistory(StatefulProcessor):
         recent = self._recent()
         epoch = rows["second"].fillna(NO_TIME).to_numpy("int64")
         amount = rows["amount"].to_numpy("float64", na_value=np.nan)
-        amount = np.where(np.abs(amount) < money.BOUND, amount, 0.0)
-        whole = np.floor(amount)
-        fraction = np.floor((amount - whole) * _MILLION + 0.5)
+        present = rows["has_amount"].to_numpy(bool)
         added = pd.DataFrame({
-            "epoch": epoch, "n": 1, "whole": whole.astype("int64"),
-            "millionths": fraction.astype("int64"), "country": rows["country"].to_numpy(),
+            "epoch": epoch, "n": 1, **money.array_parts(amount, present),
+            "country": rows["country"].to_numpy(),
         })
 
         def rolling(name: str, span: int) -> np.ndarray:
-            total = np.zeros(len(epoch), "int64")
+            total = np.zeros(len(epoch), added[name].dtype)
             for part in (recent, added):
-                sums = np.concatenate([[0], np.cumsum(part[name].to_numpy("int64"))])
+                sums = np.concatenate([[0], np.cumsum(part[name].to_numpy(total.dtype))])
                 at = part["epoch"].to_numpy("int64")
                 total += sums[np.searchsorted(at, epoch, "right")]
                 total -= sums[np.searchsorted(at, epoch - span, "left")]
             return total
 
         previous_epoch, previous_country = self._previous(epoch, added["country"], recent)
-        day = rolling("whole", DAY_SECONDS) + rolling("millionths", DAY_SECONDS) / _MILLION
+        day = {name: rolling(name, DAY_SECONDS) for name in [*money.ARRAY_COUNTS, "huge"]}
+        amounts = pd.array(money.array_total(day), dtype=object)
+        amounts[day["amounts"] == 0] = None
         result = rows.assign(
-            txns_last_hour=rolling("n", HOUR_SECONDS), amount_last_day=day,
+            txns_last_hour=rolling("n", HOUR_SECONDS), amount_last_day=amounts,
             prev_country=previous_country, prev_epoch=previous_epoch,
             beneficiary_seq=self._ordinals(rows["beneficiary_id"]),
         )
@@ -145,9 +156,9 @@ class AccountHistory(StatefulProcessor):
         if not self._last.exists() or epoch[-1] >= self._last.get()[0]:
             self._last.update((int(epoch[-1]), added["country"].iloc[-1]))
         merged = pd.concat([recent, added]).groupby("epoch", as_index=False).agg({
-            "n": "sum", "whole": "sum", "millionths": "sum", "country": lambda c: c.iloc[-1],
+            **{name: "sum" for name in [*_SUMS, "huge"]}, "country": lambda c: c.iloc[-1],
         })
-        merged = merged[merged["epoch"] >= merged["epoch"].max() - DAY_SECONDS]
+        merged = merged[merged["epoch"] >= merged["epoch"].max() - self._kept]
         self._day.update(tuple(merged[name].tolist() for name in recent.columns))
         return result
 
@@ -173,17 +184,20 @@ def annotate_keyed(stream: DataFrame, dq_config: Mapping[str, Any]) -> DataFrame
     if not key:
         return label_failures(stream, dq_config)
     schema = T.StructType([*stream.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
+    ties = [name for name in stream.columns if name not in (key, "txn_ts")]
     flagged = stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstOfKey(), outputStructType=schema, outputMode="Append",
+        statefulProcessor=FirstOfKey(ties), outputStructType=schema, outputMode="Append",
         timeMode="None",
     )
     return label_failures(flagged, dq_config, F.col("is_duplicate")).drop("is_duplicate")
 
 
-def derive_keyed(annotated: DataFrame) -> DataFrame:
+def derive_keyed(annotated: DataFrame, lateness: int = LATENESS_SECONDS) -> DataFrame:
     """History columns for an annotated unbounded feed, from state per account."""
     # State processors see no column whose name starts with an underscore.
-    timed = annotated.withColumn("second", F.col("txn_ts").cast("long"))
+    timed = annotated.withColumns({
+        "second": F.col("txn_ts").cast("long"), "has_amount": F.col("amount").isNotNull(),
+    })
     schema = T.StructType([
         *timed.schema.fields,
         T.StructField("txns_last_hour", T.LongType()),
@@ -193,10 +207,10 @@ def derive_keyed(annotated: DataFrame) -> DataFrame:
         T.StructField("beneficiary_seq", T.IntegerType()),
     ])
     stateful = timed.groupBy("account_id").transformWithStateInPandas(
-        statefulProcessor=AccountHistory(), outputStructType=schema, outputMode="Append",
+        statefulProcessor=AccountHistory(lateness), outputStructType=schema, outputMode="Append",
         timeMode="None",
     )
-    return stateful.withColumnRenamed("second", "_epoch").withColumns({
+    return stateful.drop("has_amount").withColumnRenamed("second", "_epoch").withColumns({
         "hours_since_prev": (F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0),
         "txn_hour": F.hour("txn_ts"),
     })
@@ -209,17 +223,20 @@ def start_keyed_stream(
     dq_config: Mapping[str, Any],
     rules_config: Mapping[str, Any],
     *,
+    checkpoint: str | None = None,
     available_now: bool = False,
+    capture: bool = False,
     max_files: int | None = FILES_PER_TRIGGER,
     trigger_seconds: int = TRIGGER_SECONDS,
     run_id: str = "stream",
+    lateness: int = LATENESS_SECONDS,
 ) -> StreamingQuery:
     """Start the keyed job; outputs are laid out as those of ``start_stream``."""
     compile_rules(rules_config)
     if not spark.conf.get(PROVIDER_SETTING).endswith("RocksDBStateStoreProvider"):
         raise ValueError(f"set {PROVIDER_SETTING} to {ROCKSDB}")
-    feed = stream_feed(spark, landing, max_files=max_files)
-    derived = derive_keyed(annotate_keyed(feed, dq_config))
+    feed = stream_feed(spark, landing, max_files=max_files, capture=capture)
+    derived = derive_keyed(annotate_keyed(feed, dq_config), lateness)
     scored = score_derived(derived, rules_config)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -232,13 +249,14 @@ def start_keyed_stream(
             "alerts": alerts,
             "quarantine": held.select(*feed.columns, "dq_failures"),
             "counters": batch_counters(rows, alerts, batch_id).drop("batch_id"),
+            "top": top_batch_alerts(alerts),
         }
         for table, frame in outputs.items():
             frame.write.mode("overwrite").parquet(join_path(root, table, f"batch_id={batch_id}"))
         rows.unpersist()
 
     writer = scored.writeStream.foreachBatch(on_batch).option(
-        "checkpointLocation", join_path(root, "checkpoint")
+        "checkpointLocation", checkpoint or join_path(root, "checkpoint")
     )
     if available_now:
         return writer.trigger(availableNow=True).start()

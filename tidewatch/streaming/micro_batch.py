@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch.functions.rules import compile_rules
 from tidewatch.operators.features import DAY_SECONDS, derive
 from tidewatch.operators.gate import annotate_dq, split_dq
-from tidewatch.operators.reports import batch_counters
+from tidewatch.operators.reports import batch_counters, top_batch_alerts
 from tidewatch.operators.scoring import configured_alerts, project_alerts, score_derived, tag_run
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import CORE_COLUMNS
@@ -142,6 +142,7 @@ def process_batch(
 
         written = batch.sparkSession.read.schema(stored.schema).parquet(put("alerts", stored))
         put("quarantine", quarantined)
+        put("top", top_batch_alerts(written))
         put("counters", batch_counters(annotated, written, batch_id).drop("batch_id"))
         keys = rows.select((F.col(key) if key else F.lit(None)).cast("string").alias("key"))
         state.record(batch_id, new, keys if key else keys.limit(0))
