@@ -150,3 +150,21 @@ def test_late_row_is_judged_against_what_is_known(spark, tmp_path):
 def test_bad_configuration_fails_before_the_stream_starts(spark, tmp_path):
     with pytest.raises(ValueError):
         start_stream(spark, str(tmp_path), str(tmp_path / "root"), DEFAULT_DQ, {})
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, tmp_path):
+    """The stream that stays up takes files as they land, one micro-batch after another."""
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    land(landing, "0.json", BATCHES[0])
+    query = start_stream(spark, landing, root, DEFAULT_DQ, DEFAULT_RULES, trigger_seconds=1)
+    try:
+        query.processAllAvailable()
+        land(landing, "1.json", BATCHES[1])
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    counters = read_output(spark, root, "counters").orderBy("batch_id").collect()
+    assert [row.rows for row in counters if row.rows] == [len(BATCHES[0]), len(BATCHES[1])]
+    top = read_output(spark, root, "top").groupBy("batch_id").count().collect()
+    assert all(row["count"] <= 5 for row in top)
