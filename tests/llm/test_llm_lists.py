@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_frames import awkward, documents, with_clashes
-from tidewatch.llm.mixing import mix_sources, source_rates
+from tidewatch.llm.mixing import example_weights, mix_sources, source_rates
 from tidewatch.llm.url_lists import filter_urls, url_host, url_keys
 
 DAY = dt.date(2024, 1, 1)
@@ -131,3 +131,37 @@ def test_impossible_rates_are_refused_and_empty_tables_pass(spark):
         source_rates(one, weights, 1000.0, source="source", weight="weight")
     assert mix_sources(documents(spark, []), weights).count() == 0
     assert mix_sources(one, weights.limit(0)).count() == 0
+
+
+def test_large_rates_are_drawn_in_parts(spark):
+    """Rates of about 2,400 and 70: every copy, as the sum of draws of at most 50 each."""
+    rows = [(i, "t", None, "rare" if i < 2 else "some", 1) for i in range(42)]
+    weights = spark.createDataFrame([("rare", 5.0), ("some", 3.0)], "source string, weight double")
+    found = mix_sources(documents(spark, rows), weights, seed=5, total=7501.0).collect()
+    want = Counter()
+    for doc_id, _, _, source, _ in rows:
+        rate = {"rare": 5.0 / 8.0 * 7501.0 / 2, "some": 3.0 / 8.0 * 7501.0 / 40}[source]
+        draws = math.ceil(rate / 50)
+        n = sum(poisson(rate / draws, uniform("count5", doc_id, *([k] if k else [])))
+                for k in range(draws))
+        assert abs(n - rate) < 5 * math.sqrt(rate)
+        for copy in range(n):
+            want[(doc_id, copy, uniform("place5", doc_id, copy))] += 1
+    assert Counter((r["doc_id"], r["copy"], r["place"]) for r in found) == want
+    assert max(copy for _, copy, _ in want) > 128
+
+
+def test_copies_of_one_document_fill_several_chunks(spark):
+    weights = spark.createDataFrame([("s", 1.0)], "source string, weight double")
+    one = documents(spark, [(1, "t", None, "s", 1)])
+    copies = sorted(r["copy"] for r in mix_sources(one, weights, total=20_000.0).collect())
+    assert copies == list(range(len(copies))) and abs(len(copies) - 20_000) < 5 * math.sqrt(20_000)
+
+
+def test_a_single_document_of_a_rare_source_does_not_stop_the_query(spark):
+    rows = [(i, "t", None, f"s{i % 20}", 1) for i in range(60_000)] + [(60_000, "t", None, None, 1)]
+    docs = documents(spark, rows)
+    found = mix_sources(docs, example_weights(docs), seed=1).groupBy("source").count().collect()
+    rate = 60_001 / (20 * math.sqrt(3000) + 1)
+    counts = {r[0]: r[1] for r in found}
+    assert rate > 50 and abs(counts[None] - rate) < 5 * math.sqrt(rate)

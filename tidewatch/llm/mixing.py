@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.llm.common import broadcast_if_small, row_struct, table, unit_hash
+from tidewatch.llm.common import broadcast_if_small, table, unit_hash
 
-# Counts beyond this have a chance below 1e-12 for every rate allowed.
+# Counts beyond this have a chance below 1e-12 for every rate of one draw; larger rates are
+# sums of several draws.
 _MOST_COPIES, _MOST_RATE = 128, 50.0
+_CHUNK = 4096  # copies that one array lists
 
 
 def poisson_steps(rate: Column, most: int = _MOST_COPIES) -> Column:
@@ -36,15 +38,34 @@ def poisson_count(steps: Column, uniform: Column) -> Column:
     return F.size(F.filter(steps, lambda total: total <= uniform))
 
 
+def poisson_draws(rate: Column) -> Column:
+    """How many draws of at most 50 each make up a rate; 1 for a rate of NULL or 0."""
+    return F.greatest(F.ceil(rate / F.lit(_MOST_RATE)), F.lit(1).cast("long"))
+
+
+def poisson_total(steps: Column, draws: Column, name: Column, key: Column) -> Column:
+    """The sum of ``draws`` counts at independent uniform numbers of (name, key, draw).
+
+    Sums of independent Poisson counts are Poisson counts of the summed rate, so this is
+    exact for every rate. The first draw's number is of (name, key) alone.
+    """
+    first = poisson_count(steps, unit_hash(name, key)).cast("long")
+    more = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), draws - 1), first,
+        lambda sum_, draw: sum_ + poisson_count(steps, unit_hash(name, key, draw)))
+    return F.when(draws > 1, more).otherwise(first)
+
+
 def source_rates(
     docs: DataFrame, weights: DataFrame, total: float | None, *, source: str, weight: str,
-    size: Column | None = None,
+    size: Column | None = None, most_rate: float | None = _MOST_RATE,
 ) -> DataFrame:
     """(source, rate): mean repetitions of a source's documents that meet the target weights.
 
     A source's target is its share of ``weight`` times ``total`` (all sizes, if not given);
     its rate is target / size. Sources without a positive weight get rate 0; weighted sources
-    that hold nothing are left out, and their weight with them. Rates above 50 are refused.
+    that hold nothing are left out, and their weight with them. Rates above ``most_rate`` are
+    refused; with None, as ``mix_sources`` asks, no rate is.
     """
     size = F.lit(1) if size is None else F.coalesce(size, F.lit(0))
     held = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size.cast("double")).alias("held"))
@@ -58,8 +79,8 @@ def source_rates(
     ).first()
     aim = float(total if total is not None else sums["all"] or 0.0)
     whole = float(sums["w"] or 1.0)
-    if (sums["most"] or 0.0) / whole * aim > _MOST_RATE:
-        raise ValueError(f"a source would be repeated more than {_MOST_RATE:g} times on average")
+    if most_rate is not None and (sums["most"] or 0.0) / whole * aim > most_rate:
+        raise ValueError(f"a source would be repeated more than {most_rate:g} times on average")
     rate = F.when(F.col("held") > 0, F.col("weight") / F.lit(whole) * F.lit(aim) / F.col("held"))
     return joined.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
@@ -72,29 +93,41 @@ def mix_sources(
 
     A document's number of copies inverts a Poisson distribution, whose mean is its source's
     rate, at a uniform number made of (seed, key); the same document gets the same count in
-    every run. Each copy has a ``place``, another uniform number of (seed, key, copy); the
-    result is globally in that order, which is the one exchange that moves texts. A NULL
-    source is a source of its own; NULL keys share one number; repeated rows are counted
-    row by row, with equal results. Existing columns of the two names are replaced.
+    every run. A rate above 50 is cut into equal parts of at most 50, one number each, whose
+    counts add up, so no rate is refused. Each copy has a ``place``, another uniform number
+    of (seed, key, copy); the result is globally in that order, which is the one exchange
+    that moves texts. A NULL source is a source of its own; NULL keys share one number;
+    repeated rows are counted row by row, with equal results. Existing columns of the two
+    names are replaced.
     """
-    rates = source_rates(docs, weights, total, source=source, weight=weight, size=size)
+    rates = source_rates(
+        docs, weights, total, source=source, weight=weight, size=size, most_rate=None)
     kept = [name for name in docs.columns if name not in ("copy", "place")]
+    # Numbered columns rather than one struct, whose pruning fails below two explodes in a row.
+    own = [f"_{number}" for number in range(len(kept))]
     rows = docs.select(
-        row_struct(docs).alias("row"), F.col(source).alias("_source"),
+        *[docs[f"`{name}`"].alias(number) for name, number in zip(kept, own)],
+        F.col(source).alias("_source"),
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"),
     )
-    stepped = rates.select("source", poisson_steps(F.col("rate")).alias("steps"))
+    draws = poisson_draws(F.col("rate"))
+    stepped = rates.select(
+        "source", draws.alias("draws"), poisson_steps(F.col("rate") / draws).alias("steps"))
     rated = rows.join(
         broadcast_if_small(stepped, rates.count()), F.col("_source").eqNullSafe(F.col("source"))
     )
     counted = rated.withColumn(
-        "n", poisson_count(F.col("steps"), unit_hash(F.lit(f"count{seed}"), F.col("_key")))
+        "n", poisson_total(F.col("steps"), F.col("draws"), F.lit(f"count{seed}"), F.col("_key"))
     ).filter(F.col("n") > 0)
-    copies = counted.select(
-        "row", "_key", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy")
+    # In chunks, so that no array grows with the rate.
+    starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_CHUNK).cast("long"))
+    chunks = counted.select(*own, "_key", "n", F.explode(starts).alias("start"))
+    last = F.least(F.col("n"), F.col("start") + _CHUNK) - 1
+    copies = chunks.select(
+        *own, "_key", F.explode(F.sequence(F.col("start"), last)).alias("copy")
     ).withColumn("place", unit_hash(F.lit(f"place{seed}"), F.col("_key"), F.col("copy")))
     return copies.orderBy("place", "_key", "copy").select(
-        *[F.col("row")[name].alias(name) for name in kept], "copy", "place"
+        *[F.col(number).alias(name) for name, number in zip(kept, own)], "copy", "place"
     )
 
 
