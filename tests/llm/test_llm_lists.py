@@ -73,6 +73,21 @@ def test_captures_meet_the_entries_of_their_day(spark):
         assert row["kept"] == (not want or "allow" in want)
 
 
+def test_segments_keep_their_case_and_hosts_do_not(spark):
+    entries = spark.createDataFrame(
+        [("bad", "Example.COM/Promo", DAY, "add"), ("spam", "example.com/promo", at(5), "add"),
+         ("allow", "EXAMPLE.com", at(9), "add"), ("odd", "example.com/Ä/Ö", DAY, "add")],
+        "list string, key string, day date, action string")
+    urls = {"http://example.com/Promo/x": ["bad"], "http://EXAMPLE.com/promo/x": ["spam"],
+            "http://example.com/PROMO": [], "http://example.com/Ä/Ö": []}
+    captures = spark.createDataFrame(
+        [(u, at(d)) for u in urls for d in (0, 6, 9)], "url string, day date")
+    for row in filter_urls(captures, entries).collect():
+        day = (row["day"] - DAY).days
+        want = [n for n in urls[row["url"]] if n == "bad" or day >= 5] + ["allow"] * (day >= 9)
+        assert row["lists"] == sorted(want), row
+
+
 @pytest.mark.parametrize("captures,entries", [(0, 1), (1, 0), (0, 0)])
 def test_empty_lists_and_captures(spark, captures, entries):
     left = spark.createDataFrame([("http://x.com/", DAY)] * captures, "url string, day date")

@@ -46,13 +46,16 @@ def entry_intervals(entries: DataFrame) -> DataFrame:
     ``entries`` has list, key, day and action. An entry is active from the day of its add up
     to, not including, the day of the next remove. Of several actions on one day the remove
     counts; an add while active and a remove while inactive change nothing. Rows with a
-    NULL, or with another action, are left out. Each (list, key) folds to one row a day
+    NULL, or with another action, are left out. Keys are read as ``url_keys`` makes them:
+    hosts in any case, first segments in their own. Each (list, key) folds to one row a day
     before it is ordered, so its window is bounded by the calendar.
     """
+    host = F.substring_index("key", "/", 1)
+    segment = F.col("key").substr(F.char_length(host) + 1, F.char_length("key"))
     days = entries.filter(
         F.col("action").isin("add", "remove") & F.col("list").isNotNull()
         & F.col("key").isNotNull() & F.col("day").isNotNull()
-    ).groupBy("list", F.lower("key").alias("key"), F.col("day").cast("date").alias("day")).agg(
+    ).groupBy("list", F.concat(F.lower(host), segment).alias("key"), F.col("day").cast("date").alias("day")).agg(
         F.bool_and(F.col("action") == "add").alias("active"))
     order = Window.partitionBy("list", "key").orderBy("day")
     changes = days.withColumn("was", F.lag("active", 1, False).over(order)).filter(
