@@ -88,6 +88,23 @@ def test_segments_keep_their_case_and_hosts_do_not(spark):
         assert row["lists"] == sorted(want), row
 
 
+def test_every_parent_domain_is_looked_up(spark):
+    labels = [f"n{i}" for i in range(40)]
+    host = ".".join(labels)
+    parents = {f"p{n}": ".".join(labels[-n:]) for n in range(2, 41)}
+    assert parents["p40"] == host
+    entries = spark.createDataFrame(
+        [(name, key, DAY, "add") for name, key in parents.items()],
+        "list string, key string, day date, action string")
+    captures = spark.createDataFrame([(f"http://{host}/a", DAY)], "url string, day date")
+    row = filter_urls(captures, entries).first()
+    assert row["lists"] == sorted(parents) and not row["kept"]
+    seven = entries.filter("list = 'p7'")
+    assert filter_urls(captures, seven).first()["lists"] == ["p7"]
+    short = spark.createDataFrame([("http://h/a", DAY), ("http://b.h/a", DAY)], "url string, day date")
+    assert all(r["kept"] for r in filter_urls(short, seven).collect())
+
+
 @pytest.mark.parametrize("captures,entries", [(0, 1), (1, 0), (0, 0)])
 def test_empty_lists_and_captures(spark, captures, entries):
     left = spark.createDataFrame([("http://x.com/", DAY)] * captures, "url string, day date")

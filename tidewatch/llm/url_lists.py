@@ -20,16 +20,18 @@ def url_host(url: Column) -> Column:
     return F.when(bare != "", bare)
 
 
-def url_keys(url: Column) -> Column:
+def url_keys(url: Column, most_labels: int | None = _MOST_LABELS) -> Column:
     """What list entries may name: the host, its parent domains, and host + first path segment.
 
-    Of a host with many labels, the whole name and its last six suffixes count.
+    Parent domains have two labels or more and, unless None is given, ``most_labels`` at
+    most. ``filter_urls`` looks up all of them.
     """
     host = url_host(url)
     labels = F.split(host, r"\.")
     size = F.size(labels)
+    most = size if most_labels is None else F.least(size, F.lit(most_labels))
     suffixes = F.transform(
-        F.sequence(F.lit(2), F.least(size, F.lit(_MOST_LABELS))),
+        F.sequence(F.lit(2), most),
         lambda n: F.array_join(F.slice(labels, -n, n), "."))
     segment = F.regexp_extract(F.regexp_extract(url, _PATH, 1), r"^/([^/]+)", 1)
     prefix = F.when(segment != "", F.array(F.concat(host, F.lit("/"), segment)))
@@ -96,8 +98,8 @@ def filter_urls(
 ) -> DataFrame:
     """All columns of ``captures`` plus host, lists (sorted) and kept.
 
-    A capture is held against the entries active on its own day for its host, parent
-    domains, and host with first path segment. It is dropped (``kept`` false) if a list
+    A capture is held against the entries active on its own day for its host, all parent
+    domains of two labels or more, and host with first path segment. It is dropped (``kept`` false) if a list
     names it, unless one of the ``allow`` lists does too. A URL without a host and a
     capture without a day match nothing and are kept. Existing columns of the three names
     are replaced; every row gets its own verdict, repeated rows too.
@@ -110,7 +112,7 @@ def filter_urls(
     names = ("host", "lists", "kept")
     rows = captures.select(
         row_struct(captures).alias("row"), url_host(F.col(url)).alias("_host"),
-        url_keys(F.col(url)).alias("_keys"), F.col(day).cast("date").alias("_day"))
+        url_keys(F.col(url), None).alias("_keys"), F.col(day).cast("date").alias("_day"))
     asked = rows.filter("_host IS NOT NULL AND _day IS NOT NULL").select("_keys", "_day").distinct()
     exploded = asked.select("_keys", "_day", F.explode("_keys").alias("key")).withColumn(
         "day", F.col("_day"))
@@ -141,7 +143,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
 def page_entries(captures: DataFrame) -> DataFrame:
     """Dated entries: a key of length n is added on day 7 n and removed on day 7 n + 90, added
     again on day 7 n + 200; keys go to lists by their length and number of pages."""
-    keys = captures.select(F.explode(url_keys(F.col("url"))).alias("key")).groupBy("key").agg(
+    keys = captures.select(F.explode(url_keys(F.col("url"), None)).alias("key")).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"))
     size = F.char_length("key")
     chosen = keys.filter((size + F.col("n")) % 3 == 0).select(
