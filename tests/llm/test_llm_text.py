@@ -140,6 +140,26 @@ def test_scores_follow_the_labels_and_take_awkward_texts(spark):
     assert kept.columns == ["text", "y"] and kept.filter("y = 1").count() >= 19
 
 
+def test_dictionaries_learn_from_whole_texts(spark):
+    """What tells the sides apart comes after the first 4,500 characters only."""
+    rng = random.Random(4)
+    words = [" ".join(rng.choices("abcdefgh", k=5)).replace(" ", "") for _ in range(400)]
+
+    def text(end):
+        return " ".join(rng.choices(words, k=750))[:4500] + f" {end} ".join(rng.choices(words, k=120))
+
+    rows = [(text("WHOLESOME-ENDING"), 1) for _ in range(80)] + [
+        (text("JUNK#%$*JUNK#%$*"), 0) for _ in range(80)]
+    model = quality_zstd.fit_compression_model(spark.createDataFrame(rows, "text string, label int"))
+    assert b"JUNK#%$*JUNK#%$*" in model.bad and b"JUNK#%$*" not in model.good
+    assert b"WHOLESOME-ENDING" in model.good and b"WHOLESOME" not in model.bad
+    again = [(text("WHOLESOME-ENDING"), 1) for _ in range(20)] + [
+        (text("JUNK#%$*JUNK#%$*"), 0) for _ in range(20)]
+    found = spark.createDataFrame(again, "text string, y int").withColumn(
+        "s", quality_zstd.quality_score(model, F.col("text"))).toPandas()
+    assert ((found["s"] >= 0.5) == (found["y"] == 1)).mean() > 0.9
+
+
 def test_one_sided_and_empty_labels(spark):
     docs = documents(spark)
     for rows, prior in (([], 0.5), ([("good", 1)], 1.0), ([("bad", 0)], 0.0)):

@@ -84,25 +84,26 @@ def _train(pieces: list[bytes], size: int) -> bytes:
 
 def fit_compression_model(
     labelled: DataFrame, *, text: str = "text", label: str = "label", order: Column | None = None,
-    side_rows: int = 1500, curve_rows: int = 6000, piece_chars: int = 2000, pieces: int = 2,
+    side_rows: int = 1500, curve_rows: int = 6000, piece_chars: int = 2000,
     dictionary_bytes: int = 256 * 1024,
 ) -> CompressionModel:
     """Learn from rows (text, label 0 or 1). Rows with another label or no text are left out.
 
     The fit uses a bounded sample in the order of ``order`` (a hash of the text if not given).
     Of the rows whose order is even, ``side_rows`` texts of each label feed the dictionaries
-    with their first ``pieces`` stretches of ``piece_chars`` characters; of the odd ones,
-    ``curve_rows`` texts in their natural mix, compressed whole, fit the curve.
+    over their whole length, in stretches of ``piece_chars`` characters; of the odd ones,
+    ``curve_rows`` texts in their natural mix, compressed whole, fit the curve. The driver
+    holds the texts of both sides.
     """
     order = F.xxhash64(text) if order is None else order
     rows = labelled.select(
         F.col(text).alias("text"), F.col(label).cast("int").alias("label"), order.alias("_order")
     ).filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("label").isin(0, 1))
     even = F.pmod("_order", F.lit(2)) == 0
-    stretches = [F.substring("text", 1 + i * piece_chars, piece_chars) for i in range(pieces)]
     taken = [
-        [piece.encode() for row in _first(rows.filter((F.col("label") == side) & even), side_rows)
-         .select(F.array(*stretches).alias("pieces")).collect() for piece in row["pieces"] if piece]
+        [text[at:at + piece_chars].encode()
+         for (text,) in _first(rows.filter((F.col("label") == side) & even), side_rows)
+         .select("text").collect() for at in range(0, len(text), piece_chars)]
         for side in (0, 1)
     ]
     prior = 0.5 if bool(taken[0]) == bool(taken[1]) else float(bool(taken[1]))
