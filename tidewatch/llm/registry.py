@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidewatch.llm import (
-    decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
+    byte_bpe, decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
     url_lists,
 )
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op8_decision_list": decision_list.op8_decision_list,
         "op9_minhash_hamming": near_dup.op9_minhash_hamming,
         "op10_nra_topk": topk.op10_nra_topk,
+        "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     }
 
 

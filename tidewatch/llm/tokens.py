@@ -22,7 +22,7 @@ _ODD_SPACES = re.compile("[\x1c-\x1f]")
 _MEMO_ENTRIES = 300_000
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = iter(range(256, 512))
@@ -41,7 +41,7 @@ class WordTokens:
 
         self._whole = Tokenizer.from_file(path)
         self._model = self._whole.model
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
