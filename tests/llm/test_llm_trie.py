@@ -1,0 +1,128 @@
+"""The conversation trie against a plain dictionary of prefixes."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tidewatch.llm import conversation_trie as trie
+from tidewatch.sources.work import WorkTables
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+NULLS_FIRST = -2**70
+
+
+def brute(rows, group=trie.GROUP, most=trie.MOST):
+    """Nodes of the rebuilt conversations; rows of one turn must be equal."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((NULLS_FIRST if turn is None else turn, role or "", text or ""))
+    said = {c: [t[1:] for t in sorted(turns)] for c, turns in convs.items()}
+    rebuilt = {}
+    for c, own in said.items():
+        h = zlib.crc32(str(c).encode()) % most
+        first = c - (abs(c) % group) * (1 if c > 0 else -1)
+        rebuilt[c] = tuple(said.get(first, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = defaultdict(int)
+    for path in members:
+        if path:
+            children[path[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for path, held in members.items():
+        own = (len(held) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += own
+    out = []
+    for path, held in members.items():
+        ends = ",".join(str(c) for c in sorted(held) if rebuilt[c] == path)
+        parent = min(members[path[:-1]]) if path else None
+        out.append((min(held), len(path), parent, len(held), children[path], leaves[path],
+                    saved[path], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out)
+
+
+def nodes_of(spark, rows, schema=SCHEMA, extra=None):
+    tables = WorkTables(spark)
+    frame = spark.createDataFrame(rows, schema)
+    if extra:
+        frame = extra(frame)
+    turns = tables.write(trie.numbered_turns(frame, tables=tables), "numbered")
+    rebuilt, convs = trie.share_heads(turns, trie.GROUP, trie.MOST, tables)
+    got = trie.prefix_trie(tables.write(rebuilt, "rebuilt"), convs, tables)
+    assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children",
+                           "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted(tuple(r) for r in got.collect())
+
+
+def feed(seed, convs, vocabulary=3, longest=7):
+    rng = random.Random(seed)
+    rows = []
+    for c in convs:
+        for turn in range(rng.randint(1, longest)):
+            text = rng.choice(["", None, "one", "one two  three", "zwei\tdrei\n"][:vocabulary + 1])
+            rows.append((c, turn, rng.choice(["user", None]), text))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_nodes_equal_a_dictionary_of_prefixes(spark, monkeypatch, seed=1):
+    # Small blocks, so that running sums and lists of ends pass over many of them.
+    monkeypatch.setattr(trie, "BLOCK_BITS", 1 + seed)
+    monkeypatch.setattr(trie, "MANY_CHILDREN", 2)
+    ids = random.Random(seed).sample(range(-60, 400), 150)
+    assert nodes_of(spark, feed(seed, ids)) == brute(feed(seed, ids))
+
+
+def test_awkward_conversations(spark, monkeypatch):
+    monkeypatch.setattr(trie, "BLOCK_BITS", 4)
+    long = [(40, t, "user", f"turn {t % 3}") for t in range(250)]
+    copies = [(c, t, "user", "same words again") for c in range(60, 80) for t in range(5)]
+    odd = [(None, 0, "user", "no conversation"), (7, None, None, None), (7, -5, "user", "x" * 200_000),
+           (7, None, None, None), (100, 3, "user", "a"), (119, 0, "user", "only own first turns"),
+           (2**62, 2**62, "user", "far"), (2**62, -2**62, "user", "near"),
+           # Twice the same row is two turns.
+           (45, 1, "user", "twice"), (45, 1, "user", "twice"), (45, 0, "bot", "é 中")]
+    rows = long + copies + odd
+    assert nodes_of(spark, rows) == brute(rows)
+
+
+def test_a_conversation_can_lose_all_its_turns(spark):
+    # Without their group's first, conversations of at most h turns have none left.
+    rows = [(c, t, "user", "hi") for c in range(1, 20) for t in range(1)]
+    got = nodes_of(spark, rows)
+    assert got == brute(rows) and got[0][1] == 0 and got[0][3] == 19
+    gone = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 > 0]
+    only_root = nodes_of(spark, gone)
+    assert only_root == brute(gone) and len(only_root) == 1
+
+
+def test_empty_tables_and_other_columns(spark):
+    assert nodes_of(spark, []) == []
+    from pyspark.sql import functions as F
+
+    rows = feed(9, range(30))
+    names = ["place", "depth", "h1", "k0", "p0", "words", "first", "n", "_block", "rep", "weight"]
+    clash = lambda df: df.withColumns({n: F.lit("own") for n in names})
+    assert nodes_of(spark, rows, extra=clash) == brute(rows)
+
+
+def test_order_of_rows_does_not_matter(spark):
+    rows = [(3, 1, "user", text) for text in "bca"] + [(23, 1, "user", text) for text in "abc"]
+    assert nodes_of(spark, rows) == nodes_of(spark, rows[::-1])
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    got = sorted(tuple(r) for r in trie.op12_conversation_trie(spark, folder).collect())
+    assert got == brute(rows)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidewatch.llm import (
-    byte_bpe, decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
+    byte_bpe, conversation_trie, decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
     url_lists,
 )
 
@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op9_minhash_hamming": near_dup.op9_minhash_hamming,
         "op10_nra_topk": topk.op10_nra_topk,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+        "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     }
 
 
@@ -37,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_temporal_url_lists": url_lists.OP3_SQL,
         "op4_poisson_mixing": mixing.OP4_SQL,
         "op6_site_line_dedup": line_dedup.OP6_SQL,
+        "op12_conversation_trie": conversation_trie.OP12_SQL,
     }
