@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidewatch.llm import (
-    byte_bpe, conversation_trie, decision_list, language, line_dedup, mixing, near_dup, packing, quality_zstd, sharding, topk,
-    url_lists,
+    byte_bpe, conversation_trie, decision_list, language, line_dedup, mixing, near_dup, packing,
+    phrases, quality_zstd, sharding, topk, url_lists,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
         "op10_nra_topk": topk.op10_nra_topk,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
         "op12_conversation_trie": conversation_trie.op12_conversation_trie,
+        "op13_collocations": phrases.op13_collocations,
     }
 
 
@@ -39,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_poisson_mixing": mixing.OP4_SQL,
         "op6_site_line_dedup": line_dedup.OP6_SQL,
         "op12_conversation_trie": conversation_trie.OP12_SQL,
+        "op13_collocations": phrases.OP13_SQL,
     }
