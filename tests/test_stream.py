@@ -13,7 +13,8 @@ from tidewatch import (
     start_stream,
 )
 from tidewatch.operators.scoring import configured_alerts, project_alerts, tag_run
-from tidewatch.streaming.state import StateTables
+from tidewatch.streaming import micro_batch
+from tidewatch.streaming.state import Commits, StateTables, bucket_of, run_together
 
 
 def land(folder, name, rows):
@@ -53,11 +54,11 @@ def streamed(spark, tmp_path_factory):
     for number, rows in enumerate(BATCHES[:2]):
         land(landing, f"{number}.json", rows)
     start_stream(spark, landing, root, DEFAULT_DQ, DEFAULT_RULES,
-                 available_now=True, snapshot_every=2).awaitTermination()
+                 available_now=True, merge_at=2, buckets=4).awaitTermination()
     for number, rows in enumerate(BATCHES[2:], start=2):
         land(landing, f"{number}.json", rows)
     start_stream(spark, landing, root, DEFAULT_DQ, DEFAULT_RULES,
-                 available_now=True, snapshot_every=2).awaitTermination()
+                 available_now=True, merge_at=2, buckets=4).awaitTermination()
     return root
 
 
@@ -96,31 +97,34 @@ def snapshot_of(spark, root):
     return {t: sorted(map(str, read_output(spark, root, t).collect())) for t in tables}
 
 
-def test_replaying_a_batch_changes_nothing(spark, streamed):
+def test_a_committed_batch_is_left_alone(spark, streamed):
     before = snapshot_of(spark, streamed)
     for number in (2, 3):
         process_batch(rows_to_feed(spark, BATCHES[number]), number, streamed, DEFAULT_DQ,
-                      DEFAULT_RULES, snapshot_every=2)
+                      DEFAULT_RULES, merge_at=2, buckets=4)
     assert snapshot_of(spark, streamed) == before
 
 
-def test_snapshots_fold_state(spark, streamed):
-    state = StateTables(spark, streamed)
-    assert state._newest_snapshot(4) == 3 and state._newest_snapshot(3) == 1
-    folded = state.accounts(4).select("account_id", F.col("last.txn_id").alias("t")).collect()
+def test_merges_fold_state(spark, streamed):
+    state = StateTables(spark, streamed, 4)
+    every = range(state.buckets)
+    folded = state.accounts(every).select("account_id", F.col("last.txn_id").alias("t")).collect()
     assert {r.account_id: r.t for r in folded}["DORM"] == "D2"
     assert len(folded) == len({r.account_id for r in folded})
-    paid = {(r.account_id, r.beneficiary_id): r.paid for r in state.payees(4).collect()}
+    paid = {(r.account_id, r.beneficiary_id): r.paid for r in state.payees(every).collect()}
     assert paid[("PAYEE", "OLD")] == 2 and paid[("PAYEE", "NEW")] == 1
 
 
-def test_folded_parts_are_deleted(spark, streamed):
-    state = os.path.join(streamed, "state")
-    assert sorted(os.listdir(os.path.join(state, "accounts"))) == ["batch_id=2", "batch_id=3"]
-    assert sorted(os.listdir(os.path.join(state, "keys_snapshot"))) == [
-        "batch_id=1", "batch_id=3"]
-    days = os.listdir(os.path.join(state, "history"))
-    assert "event_date=2021-09-14" in days and "event_date=2021-02-26" in days
+def test_merged_parts_are_deleted_when_no_replay_needs_them(spark, streamed):
+    # Batches 1 and 3 fill a level; batch 3 also fills the next one.
+    assert Commits(spark, streamed).ids() == [2, 3]
+    after = Commits(spark, streamed).newest()
+    assert [part.path for part in after.parts["accounts"]] == ["accounts/2-3"]
+    kept = sorted(os.listdir(os.path.join(streamed, "state", "accounts")))
+    assert kept == ["0-2", "0-3", "1-1", "1-3", "2-3"]
+    before = Commits(spark, streamed).newest(before=3)
+    for part in before.parts["keys"] + before.parts["history"]:
+        assert os.path.isdir(os.path.join(streamed, "state", part.path))
 
 
 def test_empty_batch_is_skipped(spark, tmp_path):
@@ -168,3 +172,93 @@ def test_processing_time_trigger_runs_until_stopped(spark, tmp_path):
     assert [row.rows for row in counters if row.rows] == [len(BATCHES[0]), len(BATCHES[1])]
     top = read_output(spark, root, "top").groupBy("batch_id").count().collect()
     assert all(row["count"] <= 5 for row in top)
+
+
+def run_batches(spark, root, batches, **options):
+    for number, rows in enumerate(batches):
+        process_batch(rows_to_feed(spark, rows), number, root, DEFAULT_DQ, DEFAULT_RULES, **options)
+
+
+def test_a_batch_that_dies_between_outputs_is_not_seen(spark, tmp_path, monkeypatch):
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    run_batches(spark, whole, BATCHES[1:3], merge_at=2, buckets=4)
+    run_batches(spark, broken, BATCHES[1:2], merge_at=2, buckets=4)
+    before = snapshot_of(spark, broken)
+
+    def die(*_):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(micro_batch, "batch_counters", die)
+        with pytest.raises(RuntimeError):
+            process_batch(rows_to_feed(spark, BATCHES[2]), 1, broken, DEFAULT_DQ, DEFAULT_RULES)
+        assert os.path.isdir(os.path.join(broken, "alerts", "batch_id=1"))
+        assert snapshot_of(spark, broken) == before
+    # Once more between the merges and the manifest, after parts of the batch were written.
+    with monkeypatch.context() as patch:
+        patch.setattr(Commits, "publish", die)
+        with pytest.raises(RuntimeError):
+            process_batch(rows_to_feed(spark, BATCHES[2]), 1, broken, DEFAULT_DQ, DEFAULT_RULES,
+                          merge_at=2)
+        assert snapshot_of(spark, broken) == before
+    process_batch(rows_to_feed(spark, BATCHES[2]), 1, broken, DEFAULT_DQ, DEFAULT_RULES, merge_at=2)
+    assert snapshot_of(spark, broken) == snapshot_of(spark, whole)
+
+
+def one_day(number, rows=40):
+    """Rows of many accounts within one day, new ones in each batch."""
+    return [txn(f"{number}-{i}", f"a{number}-{i}", after(seconds=number * 60 + i), 5.0)
+            for i in range(rows)]
+
+
+def leave_behind(spark, root, number, rows, **options):
+    """What a micro-batch of clean rows leaves, without its outputs."""
+    state = StateTables(spark, root, number, **options)
+    feed = rows_to_feed(spark, rows)
+    keys = feed.select(F.col("txn_id").alias("key"))
+    run_together(spark, state.record(feed, {row["txn_ts"].date() for row in rows}, keys))
+    state.commit()
+
+
+def test_a_batch_opens_its_own_buckets_only(spark, tmp_path):
+    root, buckets = str(tmp_path / "root"), 16
+    for number in range(3):
+        leave_behind(spark, root, number, one_day(number), merge_at=3, buckets=buckets)
+    state = StateTables(spark, root, 3)
+    assert state.buckets == buckets  # as settled by the first batch
+    probe = spark.createDataFrame([("2-7", "a2-7")], "key string, account string")
+    key, account = probe.select(
+        bucket_of(F.col("key"), buckets), bucket_of(F.col("account"), buckets)).first()
+    keys = state.keys({key}, ["2-7"])
+    assert [row.key for row in keys.collect()] == ["2-7"]
+    assert keys.inputFiles() and all(f"/bucket={key}/" in name for name in keys.inputFiles())
+    assert "EqualTo(key,2-7)" in keys._jdf.queryExecution().executedPlan().toString()
+    past = state.history({account: NOON.date()})
+    assert past.inputFiles() and all(f"/bucket={account}/" in n for n in past.inputFiles())
+    assert "a2-7" in {row.account_id for row in past.collect()}
+    assert state.history({account: after(days=1).date()}).isEmpty()
+
+
+def test_what_a_batch_opens_does_not_grow_with_history(spark, tmp_path):
+    root, merge_at = str(tmp_path / "root"), 2
+    opened, parts = [], []
+    for number in range(9):
+        leave_behind(spark, root, number, one_day(number, 6), merge_at=merge_at, buckets=2)
+        state = StateTables(spark, root, number + 1)
+        opened.append(max(len(state.keys({b}).inputFiles()) for b in range(2)))
+        parts.append(max(map(len, Commits(spark, root).newest().parts.values())))
+    # At most merge_at - 1 parts per level, and levels grow with the logarithm of the batches.
+    assert max(opened) <= 4 and max(parts) <= 4
+    every = range(state.buckets)
+    assert state.keys(every).count() == state.accounts(every).count() == 54
+    assert state.history(dict.fromkeys(every, NOON.date())).count() == 54
+
+
+def test_keys_without_a_value_are_known_too(spark, tmp_path):
+    root = str(tmp_path / "root")
+    gate = {"unique_key": "txn_id", "checks": []}
+    for number in range(3):
+        process_batch(rows_to_feed(spark, [txn(None, "A"), txn(f"x{number}", "A")]), number, root,
+                      gate, DEFAULT_RULES, merge_at=2, buckets=2)
+    held = read_output(spark, root, "quarantine").select("txn_id", "batch_id").collect()
+    assert sorted(map(tuple, held), key=str) == [(None, 1), (None, 2)]

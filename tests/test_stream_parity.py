@@ -56,7 +56,7 @@ def test_tables_of_history(spark, tmp_path, batches, expected, limits):
     root = str(tmp_path / "root")
     for number, rows in enumerate(batches):
         process_batch(rows_to_feed(spark, rows), number, root, GATE, RULES, limits=limits,
-                      snapshot_every=2)
+                      merge_at=2, buckets=3)
     got = read_output(spark, root, "alerts").drop("batch_id")
     assert sorted(map(str, got.collect())) == expected
 

@@ -50,6 +50,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text under another name first, so that readers find all of it or none."""
+    write_text(spark, f"{path}.part", text)
+    location, files = _hadoop_path(spark, path)
+    files.delete(location, False)
+    if not files.rename(_hadoop_path(spark, f"{path}.part")[0], location):
+        raise OSError(f"could not rename {path}.part")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    location, files = _hadoop_path(spark, path)
+    source = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     location, files = _hadoop_path(spark, path)
     return files.exists(location)
@@ -62,6 +81,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
             if entry.isDirectory()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in a folder."""
+    location, files = _hadoop_path(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(location) if entry.isFile()]
+
+
 class WorkTables:
     """Frames written out and read back, so that what follows reads columns and
     partitions of a table instead of running the plan again, also after executors

@@ -29,6 +29,7 @@ from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
 from tidewatch.sources.work import cached, join_path
 from tidewatch.streaming.micro_batch import FILES_PER_TRIGGER, TRIGGER_SECONDS
+from tidewatch.streaming.state import Commits, Manifest
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
@@ -253,6 +254,7 @@ def start_keyed_stream(
         }
         for table, frame in outputs.items():
             frame.write.mode("overwrite").parquet(join_path(root, table, f"batch_id={batch_id}"))
+        Commits(spark, root).publish(Manifest(batch_id))
         rows.unpersist()
 
     writer = scored.writeStream.foreachBatch(on_batch).option(

@@ -24,64 +24,77 @@ from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
 from tidewatch.sources.work import cached, join_path
-from tidewatch.streaming.state import StateTables, fold_accounts, fold_payees
+from tidewatch.streaming.state import (
+    BUCKETS, FEW_KEYS, MERGE_AT, Commits, StateTables, bucket_of, fold_accounts, fold_payees,
+    run_together,
+)
 
 # Trigger interval in seconds and files per trigger.
 TRIGGER_SECONDS = 5
 FILES_PER_TRIGGER = 1
 
-SNAPSHOT_EVERY = 50
-
 
 def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def flag_seen_keys(batch: DataFrame, key: str, state: StateTables, batch_id: int) -> DataFrame:
-    """Add ``_seen``: the row's key occurred in an earlier batch."""
-    wanted = batch.select(F.col(key).cast("string").alias("_wanted")).distinct()
-    known = state.keys(batch_id).join(wanted, _same("key", "_wanted"), "left_semi").distinct()
+def flag_seen_keys(batch: DataFrame, key: str, state: StateTables) -> DataFrame:
+    """Add ``_seen``: the row's key occurred in an earlier batch.
+
+    Only the buckets of the batch's keys are opened; a few keys are asked for by value.
+    """
+    text = F.col(key).cast("string")
+    rows, wanted = batch.agg(
+        F.count(F.lit(1)), F.collect_set(bucket_of(text, state.buckets))).first()
+    few = None
+    if rows <= FEW_KEYS:
+        few = {row[0] for row in batch.select(text).collect()}
+    asked = batch.select(text.alias("_wanted")).distinct()
+    known = state.keys(wanted, few).join(asked, _same("key", "_wanted"), "left_semi").distinct()
     marked = known.select("key", F.lit(True).alias("_known"))
-    joined = batch.join(marked, F.col(key).cast("string").eqNullSafe(F.col("key")), "left")
+    joined = batch.join(marked, text.eqNullSafe(F.col("key")), "left")
     return joined.select(*batch.columns, F.coalesce("_known", F.lit(False)).alias("_seen"))
 
 
 def derive_with_history(
-    new: DataFrame, state: StateTables, batch_id: int, limits: SkewLimits = DEFAULT_LIMITS
-) -> DataFrame:
-    """History columns of a batch's clean rows, as if all earlier rows were there.
+    new: DataFrame, state: StateTables, since: Mapping[int, dt.date],
+    limits: SkewLimits = DEFAULT_LIMITS,
+) -> tuple[DataFrame, DataFrame]:
+    """(History columns of a batch's clean rows, as if all earlier rows were there; a cached
+    frame behind it, to be given up after use).
 
-    The rolling frames need a day of earlier rows, of this batch's accounts only.
-    What lies further back enters as one row per account (previous row) and one
-    count per account and payee (payee ordinal).
+    The rolling frames need a day of earlier rows, of this batch's accounts only: ``since``
+    has the date of the first row per bucket of accounts. What lies further back enters as
+    one row per account (previous row) and one count per account and payee (payee ordinal).
     """
     seconds = F.col("txn_ts").cast("long")
     bounds = new.groupBy("account_id").agg(F.min(seconds).alias("_since")).select(
         F.col("account_id").alias("_account"), "_since"
     )
-    earliest = new.agg(F.min("txn_ts")).first()[0]
-    first_day = earliest.date() - dt.timedelta(days=2) if earliest else dt.date.max
+    days = {bucket: day - dt.timedelta(days=2) for bucket, day in since.items()}
     recent = (
-        state.history(batch_id, first_day)
+        state.history(days)
         .join(bounds, _same("account_id", "_account"))
         .filter(seconds >= F.col("_since") - DAY_SECONDS)
         .select(*CORE_COLUMNS)
     )
-    pool = new.withColumn("_new", F.lit(True)).unionByName(
+    pool = cached(new.withColumn("_new", F.lit(True)).unionByName(
         recent.withColumn("_new", F.lit(False))
-    )
-    derived = derive(pool, counted="_new", limits=limits).filter("_new").drop("_new")
+    ))
+    # No account of a small pool can be heavy; counting the pool also fills the cache.
+    heavy = [] if pool.count() < limits.group_rows else None
+    derived = derive(pool, heavy=heavy, counted="_new", limits=limits).filter("_new").drop("_new")
 
     # An account's last row counts as the previous one only if it lies before the
     # rows of the pool; otherwise the pool itself holds the previous row.
-    last = fold_accounts(state.accounts(batch_id).join(
+    last = fold_accounts(state.accounts(since).join(
         bounds, _same("account_id", "_account"), "left_semi"
     ))
     older = last.join(bounds, _same("account_id", "_account")).filter(
         F.col("last.epoch") < F.col("_since") - DAY_SECONDS
     ).select("_account", F.col("last.epoch").alias("_old_epoch"),
              F.col("last.country").alias("_old_country"))
-    paid = fold_payees(state.payees(batch_id).join(
+    paid = fold_payees(state.payees(since).join(
         bounds, _same("account_id", "_account"), "left_semi"
     )).select(F.col("account_id").alias("_payer"), F.col("beneficiary_id").alias("_payee"), "paid")
 
@@ -97,7 +110,19 @@ def derive_with_history(
             F.col("beneficiary_seq") + F.coalesce("paid", F.lit(0))
         ).cast("int"),
     }).withColumn("hours_since_prev", (F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0))
-    return patched.select(*derived.columns)
+    return patched.select(*derived.columns), pool
+
+
+def _clean_dates(clean: DataFrame, buckets: int) -> tuple[dict[int, dt.date], set[dt.date]]:
+    """(first date per bucket of accounts, all dates) of clean rows; one row per bucket travels.
+
+    A bucket whose rows have no time asks for no history.
+    """
+    day = F.to_date("txn_ts")
+    rows = clean.groupBy(bucket_of(F.col("account_id"), buckets).alias("bucket")).agg(
+        F.min(day).alias("first"), F.collect_set(day).alias("dates")).collect()
+    since = {row["bucket"]: row["first"] or dt.date.max for row in rows}
+    return since, {date for row in rows for date in row["dates"]}
 
 
 def process_batch(
@@ -109,29 +134,33 @@ def process_batch(
     *,
     run_id: str = "stream",
     limits: SkewLimits = DEFAULT_LIMITS,
-    snapshot_every: int = SNAPSHOT_EVERY,
+    merge_at: int = MERGE_AT,
+    buckets: int = BUCKETS,
 ) -> None:
     """Gate and score one micro-batch; write outputs and state below ``root``.
 
-    Everything is written under this batch's id, so running it again after a
-    failure replaces its own output.
+    Outputs and state count once the batch's manifest is there, which comes last. A batch
+    that failed before is written again over its own parts; a committed one is left alone.
     """
-    if batch.isEmpty():
-        return
-    state = StateTables(batch.sparkSession, root)
-    state.prepare()
-    key = dq_config.get("unique_key")
-    seen = flag_seen_keys(batch, key, state, batch_id) if key else batch.withColumn(
-        "_seen", F.lit(False)
-    )
-    rows = cached(seen)
-    annotated = cached(
-        annotate_dq(rows, dq_config, limits=limits, known_duplicate=F.col("_seen")).drop("_seen")
-    )
+    spark = batch.sparkSession
+    rows = cached(batch)
+    frames = [rows]
     try:
+        if rows.isEmpty():
+            return
+        state = StateTables(spark, root, batch_id, merge_at=merge_at, buckets=buckets)
+        if state.committed:
+            return
+        key = dq_config.get("unique_key")
+        seen = flag_seen_keys(rows, key, state) if key else rows.withColumn("_seen", F.lit(False))
+        annotated = cached(annotate_dq(
+            seen, dq_config, limits=limits, known_duplicate=F.col("_seen")).drop("_seen"))
+        frames.append(annotated)
         clean, quarantined = split_dq(annotated)
         new = clean.select(*CORE_COLUMNS)
-        derived = derive_with_history(new, state, batch_id, limits)
+        since, dates = _clean_dates(new, state.buckets)
+        derived, pool = derive_with_history(new, state, since, limits)
+        frames.append(pool)
         alerts = configured_alerts(score_derived(derived, rules_config), rules_config)
         stored = project_alerts(tag_run(alerts, run_id), flags=True)
 
@@ -140,17 +169,20 @@ def process_batch(
             frame.write.mode("overwrite").parquet(path)
             return path
 
-        written = batch.sparkSession.read.schema(stored.schema).parquet(put("alerts", stored))
-        put("quarantine", quarantined)
-        put("top", top_batch_alerts(written))
-        put("counters", batch_counters(annotated, written, batch_id).drop("batch_id"))
+        def put_alerts() -> None:
+            written = spark.read.schema(stored.schema).parquet(put("alerts", stored))
+            put("top", top_batch_alerts(written))
+            put("counters", batch_counters(annotated, written, batch_id).drop("batch_id"))
+
         keys = rows.select((F.col(key) if key else F.lit(None)).cast("string").alias("key"))
-        state.record(batch_id, new, keys if key else keys.limit(0))
-        if (batch_id + 1) % snapshot_every == 0:
-            state.snapshot(batch_id)
+        run_together(spark, [
+            put_alerts, lambda: put("quarantine", quarantined),
+            *state.record(new, dates, keys if key else keys.limit(0)),
+        ])
+        state.commit()
     finally:
-        annotated.unpersist()
-        rows.unpersist()
+        for frame in frames:
+            frame.unpersist()
 
 
 def start_stream(
@@ -167,7 +199,8 @@ def start_stream(
     trigger_seconds: int = TRIGGER_SECONDS,
     run_id: str = "stream",
     limits: SkewLimits = DEFAULT_LIMITS,
-    snapshot_every: int = SNAPSHOT_EVERY,
+    merge_at: int = MERGE_AT,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Start the job over a landing directory.
 
@@ -179,7 +212,7 @@ def start_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         process_batch(
             batch, batch_id, root, dq_config, rules_config,
-            run_id=run_id, limits=limits, snapshot_every=snapshot_every,
+            run_id=run_id, limits=limits, merge_at=merge_at, buckets=buckets,
         )
 
     feed = stream_feed(spark, landing, capture=capture, max_files=max_files)
@@ -193,5 +226,10 @@ def start_stream(
 
 
 def read_output(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Alerts, quarantine or counters of all micro-batches, with their batch_id."""
-    return spark.read.parquet(join_path(root, table))
+    """Alerts, quarantine or counters of all committed micro-batches, with their batch_id.
+
+    Batches commit one after another, so those up to the newest manifest are whole.
+    """
+    newest = Commits(spark, root).ids()
+    written = spark.read.parquet(join_path(root, table))
+    return written.filter(F.col("batch_id") <= F.lit(newest[-1] if newest else -1))
