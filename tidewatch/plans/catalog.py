@@ -555,7 +555,7 @@ def _stream_root(spark: SparkSession, folder: str, start: Callable[..., Streamin
 
 @_register("stream_alerts")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    start = partial(start_stream, merge_at=2)
+    start = partial(start_stream, merge_at=2, buckets=8)
     return _show_alerts(read_output(spark, _stream_root(spark, folder, start), "alerts"))
 
 

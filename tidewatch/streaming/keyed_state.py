@@ -1,10 +1,11 @@
 """The stream with state per key in Spark's state store instead of tables.
 
 A micro-batch then costs what its own rows cost, however long the history is:
-one state entry per unique key seen, and per account its last row, its payees, and
-per-second totals of a day and the stated lateness. Rows that arrive up to that much
-later than the newest row of their account are judged as ``micro_batch`` judges them;
-later ones against what is kept. Needs the RocksDB state store.
+one state entry per unique key seen, and per account its last row, one per payee, and one
+per day with totals per second, for a day and the stated lateness. Keys are dealt into groups
+by hash, so that a task works out many accounts at once instead of calling Python for each.
+Rows that arrive up to the lateness after the newest row of their account are judged as
+``micro_batch`` judges them; later ones against what is kept. Needs the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
 from tidewatch.sources.work import cached, join_path
 from tidewatch.streaming.micro_batch import FILES_PER_TRIGGER, TRIGGER_SECONDS
-from tidewatch.streaming.state import Commits, Manifest
+from tidewatch.streaming.state import Commits, Manifest, bucket_of, run_together
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
@@ -41,13 +42,67 @@ _SUMS = ["n", *money.ARRAY_COUNTS]
 LATENESS_SECONDS = 7 * DAY_SECONDS
 
 
+# Groups that keys are dealt into; fixed for a stream's life, like its shuffle partitions.
+BUCKETS = 128
+_UNDECIDED = -1
+# Epochs of any date and the accounts of a group share one 64-bit number.
+_EPOCH_SPAN = 2**38
+
+
+def _named(values: pd.Series) -> pd.Series:
+    """Values as state keys; a missing one has its own."""
+    return values.map(lambda value: "-" if pd.isna(value) else f"+{value}").astype(object)
+
+
+def _earliest_first(rows: pd.DataFrame, ties: list[str]) -> pd.DataFrame:
+    """Arrival order of the batch gate: by time, without a time last, then by the ``ties``."""
+    rows = rows.sort_values(ties, kind="stable", na_position="first")
+    return rows.sort_values("txn_ts", kind="stable", na_position="last")
+
+
 class FirstOfKey(StatefulProcessor):
     """Flags every row of a key but the first one ever, earliest of its micro-batch.
 
-    Earliest is what the batch gate says: by time, without a time last, then by the
-    ``ties`` in order, missing values first.
+    A group holds many keys. Rows without a key are dealt over all groups: the first of them
+    in each group stays undecided, with a missing flag, for :class:`FirstOfMissing` to settle.
     """
 
+    def __init__(self, key: str, ties: list[str]) -> None:
+        self._key, self._ties = key, ties
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getMapState("seen", "name string", "seen boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        known: dict[str, bool] = {}
+        best = None
+        for chunk in rows:
+            chunk = chunk.assign(name=_named(chunk[self._key]))
+            for name in chunk["name"].unique():
+                if name not in known:
+                    known[name] = self._seen.containsKey((name,))
+            old = chunk["name"].map(known).astype(bool)
+            # Hold back the best row of each new key so far; all others are settled.
+            pool = chunk[~old] if best is None else pd.concat([best, chunk[~old]])
+            pool = _earliest_first(pool, self._ties)
+            repeated = pool["name"].duplicated()
+            best = pool[~repeated]
+            settled = pd.concat([chunk[old], pool[repeated]])
+            if len(settled):
+                yield settled.drop(columns="name").assign(is_duplicate=True)
+        if best is not None and len(best):
+            for name in best["name"]:
+                self._seen.updateValue((name,), (True,))
+            flags = best["name"].map(lambda name: None if name == "-" else False).astype(object)
+            yield best.drop(columns="name").assign(is_duplicate=flags)
+
+    def close(self) -> None:
+        pass
+
+
+class FirstOfMissing(StatefulProcessor):
+    """Settles the undecided rows, at most one per group of :class:`FirstOfKey` ever."""
+
     def __init__(self, ties: list[str]) -> None:
         self._ties = ties
 
@@ -55,114 +110,167 @@ class FirstOfKey(StatefulProcessor):
         self._seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        known, best = self._seen.exists(), None
-        for chunk in rows:
-            if not known:
-                # Hold back the best row so far; all others are settled.
-                pool = chunk if best is None else pd.concat([best, chunk])
-                pool = pool.sort_values(self._ties, kind="stable", na_position="first")
-                pool = pool.sort_values("txn_ts", kind="stable", na_position="last")
-                best, chunk = pool.head(1), pool.iloc[1:]
-            yield chunk.assign(is_duplicate=True)
-        if not known:
+        if key[0] != _UNDECIDED:
+            yield from rows
+            return
+        pool = _earliest_first(pd.concat(list(rows)), self._ties)
+        duplicate = np.ones(len(pool), dtype=bool)
+        if not self._seen.exists():
+            duplicate[0] = False
             self._seen.update((True,))
-            yield best.assign(is_duplicate=False)
+        yield pool.assign(is_duplicate=duplicate)
 
     def close(self) -> None:
         pass
 
 
 class AccountHistory(StatefulProcessor):
-    """History columns of an account's clean rows; other rows pass with NULLs."""
+    """History columns of clean rows; other rows pass with NULLs.
+
+    A group holds many accounts, and all of a micro-batch's rows in it are worked out at once.
+    State has an entry per account (its last row, the days kept), per account and day (totals
+    per second) and per account and payee, so a row rewrites its own day only.
+    """
 
     def __init__(self, lateness: int) -> None:
         self._kept = DAY_SECONDS + lateness
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "epoch bigint, country string")
-        self._day = handle.getValueState(
-            "day", "epoch array<bigint>, "
-                   + "".join(f"{name} array<bigint>, " for name in _SUMS)
-                   + "huge array<double>, country array<string>")
-        self._paid = handle.getMapState("paid", "payee string", "times bigint")
-
-    def _recent(self) -> pd.DataFrame:
-        names = ["epoch", *_SUMS, "huge", "country"]
-        parts = self._day.get() if self._day.exists() else [[]] * len(names)
-        frame = pd.DataFrame(dict(zip(names, map(list, parts))))
-        return frame.astype({**{name: "int64" for name in ["epoch", *_SUMS]}, "huge": "float64"})
-
-    def _previous(
-        self, epoch: np.ndarray, country: pd.Series, recent: pd.DataFrame
-    ) -> tuple[pd.Series, np.ndarray]:
-        """Second and country of the row before each: this batch's, or the state's if later."""
-        never = np.iinfo("int64").min
-        before = np.concatenate([[never], epoch[:-1]])
-        place = np.concatenate([[None], country.to_numpy(object)[:-1]])
-        last_epoch, last_country = (
-            self._last.get() if self._last.exists() else (never, None)
-        )
-        known_epochs = np.concatenate([[never], recent["epoch"].to_numpy("int64")])
-        known_places = np.concatenate([[None], recent["country"].to_numpy(object)])
-        at = np.searchsorted(known_epochs, epoch, "right") - 1
-        known, known_place = known_epochs[at], known_places[at]
-        old = (known == never) & (last_epoch <= epoch)
-        known = np.where(old, last_epoch, known)
-        known_place = np.where(old, last_country, known_place)
-        later = known > before
-        found = np.where(later, known, before)
-        seconds = pd.Series(found, dtype="Int64").mask(found <= NO_TIME)
-        return seconds.array, np.where(later, known_place, place)
-
-    def _ordinals(self, payees: pd.Series) -> pd.Series:
-        """1, 2, ... per payee, continuing the counts of earlier batches."""
-        keys = payees.map(lambda name: "-" if pd.isna(name) else f"+{name}")
-        before = {}
-        for name, times in keys.value_counts().items():
-            known = self._paid.getValue((name,)) if self._paid.containsKey((name,)) else (0,)
-            before[name] = known[0]
-            self._paid.updateValue((name,), (known[0] + int(times),))
-        return keys.groupby(keys).cumcount() + 1 + keys.map(before)
+        self._last = handle.getMapState(
+            "last", "account string", "epoch bigint, country string, days array<bigint>")
+        self._day = handle.getMapState(
+            "day", "account string, day bigint", "epoch array<bigint>, "
+            + "".join(f"{name} array<bigint>, " for name in _SUMS)
+            + "huge array<double>, country array<string>")
+        self._paid = handle.getMapState("paid", "account string, payee string", "times bigint")
+
+    def _known(
+        self, names: list[str], code: np.ndarray, epoch: np.ndarray
+    ) -> tuple[list[tuple | None], pd.DataFrame]:
+        """(last row and days per account, kept seconds that the rows can reach).
+
+        A row later than the account's last one may follow any day kept; others reach theirs
+        and the day before.
+        """
+        columns = ["code", "epoch", *_SUMS, "huge", "country"]
+        parts: list[list] = [[] for _ in columns]
+        lasts = []
+        starts = np.flatnonzero(np.diff(code, prepend=-1))
+        for number, own in enumerate(np.split(epoch, starts[1:])):
+            last = self._last.getValue((names[number],))
+            lasts.append(last)
+            if last is None:
+                continue
+            days = set(last[2])
+            if own[0] >= last[0]:
+                near = np.unique(own // DAY_SECONDS).tolist()
+                days &= {day for at in near for day in (at, at - 1)}
+            for day in sorted(days):
+                held = self._day.getValue((names[number], day))
+                parts[0] += [number] * len(held[0])
+                for part, values in zip(parts[1:], held):
+                    part += list(values)
+        frame = pd.DataFrame(dict(zip(columns, parts)))
+        whole = {name: "int64" for name in ["code", "epoch", *_SUMS]}
+        return lasts, frame.astype({**whole, "huge": "float64"})
+
+    def _ordinals(self, names: list[str], code: np.ndarray, payees: pd.Series) -> np.ndarray:
+        """1, 2, ... per account and payee, continuing the counts of earlier batches."""
+        pair = pd.MultiIndex.from_arrays([code, _named(payees)])
+        number, pairs = pd.factorize(pair)
+        times = np.bincount(number, minlength=len(pairs))
+        before = np.zeros(len(pairs), dtype="int64")
+        for at, (account, payee) in enumerate(pairs):
+            entry = (names[account], payee)
+            known = self._paid.getValue(entry)
+            before[at] = known[0] if known else 0
+            self._paid.updateValue(entry, (int(before[at] + times[at]),))
+        place = pd.Series(number).groupby(number).cumcount().to_numpy()
+        return place + 1 + before[number]
 
     def _advance(self, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["second", *_ROW_ORDER], kind="stable", na_position="first")
-        recent = self._recent()
+        rows = rows.assign(name=_named(rows["account_id"]))
+        rows = rows.sort_values(["name", "second", *_ROW_ORDER], kind="stable", na_position="first")
+        code, found = pd.factorize(rows["name"])
+        names = list(found)
         epoch = rows["second"].fillna(NO_TIME).to_numpy("int64")
+        lasts, recent = self._known(names, code, epoch)
         amount = rows["amount"].to_numpy("float64", na_value=np.nan)
-        present = rows["has_amount"].to_numpy(bool)
         added = pd.DataFrame({
-            "epoch": epoch, "n": 1, **money.array_parts(amount, present),
-            "country": rows["country"].to_numpy(),
+            "code": code, "epoch": epoch, "n": 1,
+            **money.array_parts(amount, rows["has_amount"].to_numpy(bool)),
+            "country": rows["country"].to_numpy(object),
         })
 
+        def place(frame: pd.DataFrame) -> np.ndarray:
+            seconds = np.clip(frame["epoch"].to_numpy("int64"), -_EPOCH_SPAN, _EPOCH_SPAN)
+            return frame["code"].to_numpy("int64") * (4 * _EPOCH_SPAN) + seconds
+
+        here = place(added)
+        spans = {span: [(part, np.searchsorted(at, here - span, "left"),
+                         np.searchsorted(at, here, "right"))
+                        for part, at in ((recent, place(recent)), (added, here))]
+                 for span in (HOUR_SECONDS, DAY_SECONDS)}
+
         def rolling(name: str, span: int) -> np.ndarray:
-            total = np.zeros(len(epoch), added[name].dtype)
-            for part in (recent, added):
-                sums = np.concatenate([[0], np.cumsum(part[name].to_numpy(total.dtype))])
-                at = part["epoch"].to_numpy("int64")
-                total += sums[np.searchsorted(at, epoch, "right")]
-                total -= sums[np.searchsorted(at, epoch - span, "left")]
-            return total
-
-        previous_epoch, previous_country = self._previous(epoch, added["country"], recent)
-        day = {name: rolling(name, DAY_SECONDS) for name in [*money.ARRAY_COUNTS, "huge"]}
+            result = np.zeros(len(here), "int64")
+            for part, first, end in spans[span]:
+                # Sums over all accounts may wrap around; their differences do not mind.
+                sums = np.concatenate([[0], np.cumsum(part[name].to_numpy("int64"))])
+                result += sums[end] - sums[first]
+            return result
+
+        def rolling_huge() -> np.ndarray:
+            result = np.zeros(len(here))
+            for part, first, end in spans[DAY_SECONDS]:
+                value = part["huge"].to_numpy("float64")
+                hits = np.concatenate([[0], np.cumsum(value != 0)])
+                for row in np.flatnonzero(hits[end] > hits[first]):
+                    result[row] += value[first[row]:end[row]].sum()
+            return result
+
+        day = {name: rolling(name, DAY_SECONDS) for name in money.ARRAY_COUNTS}
+        day["huge"] = rolling_huge()
         amounts = pd.array(money.array_total(day), dtype=object)
         amounts[day["amounts"] == 0] = None
-        result = rows.assign(
+        previous_epoch, previous_country = _previous(added, recent, place, lasts)
+        result = rows.drop(columns="name").assign(
             txns_last_hour=rolling("n", HOUR_SECONDS), amount_last_day=amounts,
             prev_country=previous_country, prev_epoch=previous_epoch,
-            beneficiary_seq=self._ordinals(rows["beneficiary_id"]),
+            beneficiary_seq=self._ordinals(names, code, rows["beneficiary_id"]),
         )
-
-        if not self._last.exists() or epoch[-1] >= self._last.get()[0]:
-            self._last.update((int(epoch[-1]), added["country"].iloc[-1]))
-        merged = pd.concat([recent, added]).groupby("epoch", as_index=False).agg({
-            **{name: "sum" for name in [*_SUMS, "huge"]}, "country": lambda c: c.iloc[-1],
-        })
-        merged = merged[merged["epoch"] >= merged["epoch"].max() - self._kept]
-        self._day.update(tuple(merged[name].tolist() for name in recent.columns))
+        self._keep(names, lasts, pd.concat([recent, added]), added)
         return result
 
+    def _keep(
+        self, names: list[str], lasts: list[tuple | None], both: pd.DataFrame, added: pd.DataFrame
+    ) -> None:
+        """Write the days that got rows, each account's last row, and drop days out of reach."""
+        def day_of(frame: pd.DataFrame) -> pd.Series:
+            return frame["epoch"] // DAY_SECONDS
+
+        both = both.assign(day=day_of(both))
+        touched = added[["code"]].assign(day=day_of(added)).drop_duplicates()
+        both = both.merge(touched, on=["code", "day"]).groupby(
+            ["code", "day", "epoch"], as_index=False).agg(
+            {**{name: "sum" for name in [*_SUMS, "huge"]}, "country": _last_value})
+        days: dict[int, set[int]] = {}
+        for (number, day), rows in both.groupby(["code", "day"]):
+            held = tuple(rows[name].tolist() for name in ["epoch", *_SUMS, "huge", "country"])
+            self._day.updateValue((names[number], int(day)), held)
+            days.setdefault(number, set()).add(int(day))
+        newest = added.groupby("code").tail(1)
+        for number, epoch, country in zip(newest["code"], newest["epoch"], newest["country"]):
+            last = lasts[number]
+            if last is not None and last[0] > epoch:
+                epoch, country = last[0], last[1]
+            kept = days[number] | set(last[2] if last else ())
+            gone = {day for day in kept if (day + 1) * DAY_SECONDS <= epoch - self._kept}
+            for day in gone:
+                self._day.removeKey((names[number], day))
+            self._last.updateValue(
+                (names[number],), (int(epoch), country, sorted(kept - gone)))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         clean = []
         for chunk in rows:
@@ -171,33 +279,87 @@ class AccountHistory(StatefulProcessor):
             if len(held):
                 yield held.assign(txns_last_hour=None, amount_last_day=None, prev_country=None,
                                   prev_epoch=None, beneficiary_seq=None)
-        account = pd.concat(clean)
-        if len(account):
-            yield self._advance(account)
+        ready = pd.concat(clean)
+        if len(ready):
+            yield self._advance(ready)
 
     def close(self) -> None:
         pass
 
 
-def annotate_keyed(stream: DataFrame, dq_config: Mapping[str, Any]) -> DataFrame:
-    """The gate on an unbounded feed; duplicates are told by state per unique key."""
+def _last_value(values: pd.Series):
+    return values.iloc[-1]
+
+
+def _previous(
+    added: pd.DataFrame, recent: pd.DataFrame, place, lasts: list[tuple | None]
+) -> tuple[pd.api.extensions.ExtensionArray, np.ndarray]:
+    """Second and country of the row before each: this batch's, or the state's if later."""
+    never = np.iinfo("int64").min
+    code, epoch = added["code"].to_numpy("int64"), added["epoch"].to_numpy("int64")
+    first = np.r_[True, code[1:] != code[:-1]]
+    before = np.where(first, never, np.r_[never, epoch[:-1]])
+    country = added["country"].to_numpy(object)
+    before_place = np.where(first, None, np.r_[np.array([None], object), country[:-1]])
+
+    known_code = np.r_[-1, recent["code"].to_numpy("int64")]
+    known_epoch = np.r_[never, recent["epoch"].to_numpy("int64")]
+    known_place = np.r_[np.array([None], object), recent["country"].to_numpy(object)]
+    at = np.searchsorted(place(recent), place(added), "right")
+    at[known_code[at] != code] = 0
+    known, where = known_epoch[at], known_place[at]
+    last_epoch = np.array([never if last is None else last[0] for last in lasts])[code]
+    last_place = np.array([None if last is None else last[1] for last in lasts], object)[code]
+    old = (known == never) & (last_epoch <= epoch)
+    known, where = np.where(old, last_epoch, known), np.where(old, last_place, where)
+    later = known > before
+    found = np.where(later, known, before)
+    seconds = pd.Series(found, dtype="Int64").mask(found <= NO_TIME)
+    return seconds.array, np.where(later, where, before_place)
+
+
+def annotate_keyed(
+    stream: DataFrame, dq_config: Mapping[str, Any], buckets: int = BUCKETS
+) -> DataFrame:
+    """The gate on an unbounded feed; duplicates are told by state per unique key.
+
+    Keys are dealt into ``buckets`` groups. Rows without one are dealt by their content, and
+    one of them per group takes part in a second comparison.
+    """
     key = dq_config.get("unique_key")
     if not key:
         return label_failures(stream, dq_config)
-    schema = T.StructType([*stream.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
+    dealt = stream.withColumn("deal", F.when(
+        F.col(key).isNull(), bucket_of(F.struct(*stream.columns), buckets)
+    ).otherwise(bucket_of(F.col(key), buckets)))
+    schema = T.StructType([*dealt.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
     ties = [name for name in stream.columns if name not in (key, "txn_ts")]
-    flagged = stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstOfKey(ties), outputStructType=schema, outputMode="Append",
-        timeMode="None",
-    )
-    return label_failures(flagged, dq_config, F.col("is_duplicate")).drop("is_duplicate")
+
+    def flagged(rows: DataFrame, processor: StatefulProcessor) -> DataFrame:
+        return rows.groupBy("deal").transformWithStateInPandas(
+            statefulProcessor=processor, outputStructType=schema, outputMode="Append",
+            timeMode="None")
+
+    first = flagged(dealt, FirstOfKey(key, ties))
+    asked = first.withColumn(
+        "deal", F.when(F.col("is_duplicate").isNull(), F.lit(_UNDECIDED)).otherwise(F.col("deal")))
+    settled = flagged(asked, FirstOfMissing(ties)).drop("deal")
+    return label_failures(settled, dq_config, F.col("is_duplicate")).drop("is_duplicate")
 
 
-def derive_keyed(annotated: DataFrame, lateness: int = LATENESS_SECONDS) -> DataFrame:
-    """History columns for an annotated unbounded feed, from state per account."""
+def derive_keyed(
+    annotated: DataFrame, lateness: int = LATENESS_SECONDS, buckets: int = BUCKETS
+) -> DataFrame:
+    """History columns for an annotated unbounded feed, from state per account.
+
+    Accounts are dealt into ``buckets`` groups; rows that failed the gate, which have no
+    history, into any of them by their content.
+    """
     # State processors see no column whose name starts with an underscore.
     timed = annotated.withColumns({
         "second": F.col("txn_ts").cast("long"), "has_amount": F.col("amount").isNotNull(),
+        "deal": F.when(F.col("dq_passed"), bucket_of(F.col("account_id"), buckets)).otherwise(
+            bucket_of(F.struct(*annotated.columns), buckets)),
     })
     schema = T.StructType([
         *timed.schema.fields,
@@ -207,11 +369,11 @@ def derive_keyed(annotated: DataFrame, lateness: int = LATENESS_SECONDS) -> Data
         T.StructField("prev_epoch", T.LongType()),
         T.StructField("beneficiary_seq", T.IntegerType()),
     ])
-    stateful = timed.groupBy("account_id").transformWithStateInPandas(
+    stateful = timed.groupBy("deal").transformWithStateInPandas(
         statefulProcessor=AccountHistory(lateness), outputStructType=schema, outputMode="Append",
         timeMode="None",
     )
-    return stateful.drop("has_amount").withColumnRenamed("second", "_epoch").withColumns({
+    return stateful.drop("has_amount", "deal").withColumnRenamed("second", "_epoch").withColumns({
         "hours_since_prev": (F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0),
         "txn_hour": F.hour("txn_ts"),
     })
@@ -231,13 +393,14 @@ def start_keyed_stream(
     trigger_seconds: int = TRIGGER_SECONDS,
     run_id: str = "stream",
     lateness: int = LATENESS_SECONDS,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Start the keyed job; outputs are laid out as those of ``start_stream``."""
     compile_rules(rules_config)
     if not spark.conf.get(PROVIDER_SETTING).endswith("RocksDBStateStoreProvider"):
         raise ValueError(f"set {PROVIDER_SETTING} to {ROCKSDB}")
     feed = stream_feed(spark, landing, max_files=max_files, capture=capture)
-    derived = derive_keyed(annotate_keyed(feed, dq_config), lateness)
+    derived = derive_keyed(annotate_keyed(feed, dq_config, buckets), lateness, buckets)
     scored = score_derived(derived, rules_config)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -246,14 +409,20 @@ def start_keyed_stream(
         alerts = project_alerts(
             tag_run(configured_alerts(clean, rules_config), run_id), flags=True
         )
+        rows.count()  # fill the cache once, before the outputs read it side by side
         outputs = {
             "alerts": alerts,
             "quarantine": held.select(*feed.columns, "dq_failures"),
             "counters": batch_counters(rows, alerts, batch_id).drop("batch_id"),
             "top": top_batch_alerts(alerts),
         }
-        for table, frame in outputs.items():
+
+        def put(table: str, frame: DataFrame) -> None:
             frame.write.mode("overwrite").parquet(join_path(root, table, f"batch_id={batch_id}"))
+
+        run_together(spark, [
+            lambda table=table, frame=frame: put(table, frame) for table, frame in outputs.items()
+        ])
         Commits(spark, root).publish(Manifest(batch_id))
         rows.unpersist()
 
