@@ -81,11 +81,12 @@ def test_chunks_hold_every_phrase_once():
             joined = [s for c in chunks for s in (
                 c.split()[:-1 - phrases.OVERLAP] if c.endswith(b";") else c.split()[:-1])]
             assert joined == symbols
+            held = b"\n".join(chunks).split()
             grams = phrases._Grams(
-                ["xx"] * len(chunks), [c.decode() for c in chunks],
+                ["xx"] * len(chunks), phrases.codes_of(words.of(held)),
                 np.ones(len(chunks), np.int64), words)
             found = Counter(
-                tuple(grams.symbols[at:at + n])
+                tuple(held[at:at + n])
                 for n in range(1, 5) for at in grams.starts(n).nonzero()[0])
             want = plain_counts([(text, "xx")])["xx"][1]
             assert found == Counter({tuple(w.encode() for w in p): c for p, c in want.items()})

@@ -42,13 +42,20 @@ _PLAIN = bytes(
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MEMO_ENTRIES = 400_000
 _BATCH_BYTES = 2**22
+# Bytes of chunks that are worked out at once.
+_RUN_BYTES = 2**23
+# Codes of words: 32 bits of their hash, beyond those of the three marks.
+_CODES = np.uint64(2**32 - 3)
 
 
 class _Words(dict):
-    """Symbol -> 64-bit hash, remembered up to a bounded number of symbols."""
+    """Symbol -> 64-bit hash, remembered up to a bounded number of symbols; marks have 0 to 2."""
+
+    def __init__(self) -> None:
+        super().__init__({_BREAK: 0, _TRIGGERED: 1, _LAST: 2})
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word) or 3
         if len(self) < _MEMO_ENTRIES:
             self[word] = value
         return value
@@ -57,6 +64,11 @@ class _Words(dict):
         return np.fromiter(map(self.__getitem__, symbols), dtype=np.uint64, count=len(symbols))
 
 
+def codes_of(hashes: np.ndarray) -> np.ndarray:
+    """32 bits per symbol, enough to find out which phrases may be frequent."""
+    return np.where(hashes < 3, hashes, hashes % _CODES + np.uint64(3)).astype(np.uint32)
+
+
 def symbols_of(text: str | None) -> list[bytes]:
     """Words in lower case (A-Z) and one mark per end of a piece."""
     return (text or "").encode().translate(_PLAIN).replace(_BREAK, b" . ").split()
@@ -120,20 +132,19 @@ def _ahead(values: np.ndarray, places: int) -> np.ndarray:
 class _Grams:
     """The symbols of a run of chunks and, for each place, which phrases start there."""
 
-    def __init__(self, langs: list[str], chunks: list[str], weights: np.ndarray,
+    def __init__(self, langs: list[str], codes: np.ndarray, weights: np.ndarray,
                  words: _Words) -> None:
-        self.symbols = "\n".join(chunks).encode().split()
-        hashes = words.of(self.symbols)
-        triggered = hashes == words[_TRIGGERED]
-        closing = triggered | (hashes == words[_LAST])
+        triggered = codes == 1
+        closing = triggered | (codes == 2)
         sizes = np.diff(np.flatnonzero(closing), prepend=-1)
         self.given = weights
         self.weights = np.repeat(weights, sizes)
-        seeds = words.of([name.encode() for name in langs])
         self.rows = np.repeat(np.arange(len(langs)), sizes)
-        self._seeds = mix(np.repeat(seeds, sizes))
-        self._hashes = hashes
-        self._word = ~(closing | (hashes == words[_BREAK]))
+        seeds = {name: words[name.encode()] for name in set(langs)}
+        of_rows = np.fromiter(map(seeds.__getitem__, langs), np.uint64, len(langs))
+        self._seeds = np.repeat(mix(of_rows), sizes)
+        self._codes = codes.astype(np.uint64)
+        self._word = codes > 2
         # What starts within a closing trigger is counted in the next chunk.
         self._start = self._word.copy()
         for ahead in range(1, OVERLAP + 1):
@@ -150,11 +161,13 @@ class _Grams:
         """Places where a phrase of ``n`` words is counted."""
         return self._start & self.within(n)
 
-    def keys(self, n: int) -> np.ndarray:
-        """A 64-bit key of the language and the ``n`` symbols from each place on."""
+    def keys(self, n: int, symbols: np.ndarray | None = None) -> np.ndarray:
+        """A 64-bit key of the language and the ``n`` symbols from each place on, by their codes
+        or the given numbers."""
+        symbols = self._codes if symbols is None else symbols
         total = self._seeds + np.uint64(n)
         for i in range(n):
-            total = total * _STEP + _ahead(self._hashes, i)
+            total = total * _STEP + _ahead(symbols, i)
         return mix(total)
 
 
@@ -190,21 +203,46 @@ def _filter_of(keys: DataFrame) -> Broadcast:
     return keys.sparkSession.sparkContext.broadcast(bits)
 
 
+def _with_codes(chunks: DataFrame) -> DataFrame:
+    """Add ``codes``, so that what looks for frequent phrases need not read text again."""
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for batch in batches:
+            codes = [codes_of(words.of(chunk.as_py().encode().split())).tobytes()
+                     for chunk in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(codes, pa.binary())],
+                names=[*batch.schema.names, "codes"])
+
+    return chunks.select("lang", "chunk", "weight").mapInArrow(
+        apply, "lang string, chunk string, weight long, codes binary")
+
+
 def _over_chunks(
-    chunks: DataFrame, schema: str, make: Callable[[_Grams, list[str]], Iterator[pa.RecordBatch]]
+    chunks: DataFrame, schema: str,
+    make: Callable[[_Grams, pa.Table, _Words], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
     """``make`` applied to runs of chunks of a few megabytes."""
+    def run(parts: list[pa.RecordBatch], words: _Words) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts)
+        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), dtype=np.uint32)
+        weights = rows["weight"].to_numpy().astype(np.int64)
+        yield from make(_Grams(rows["lang"].to_pylist(), codes, weights, words), rows, words)
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words, waiting, size = _Words(), [], 0
         for batch in batches:
-            step = max(1, batch.num_rows * _BATCH_BYTES // max(batch.nbytes, 1))
+            step = max(1, batch.num_rows * _RUN_BYTES // max(batch.nbytes, 1))
             for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                langs = part.column(0).to_pylist()
-                weights = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-                yield from make(_Grams(langs, part.column(1).to_pylist(), weights, words), langs)
+                waiting.append(batch.slice(at, step))
+                size += waiting[-1].nbytes
+                if size >= _RUN_BYTES:
+                    yield from run(waiting, words)
+                    waiting, size = [], 0
+        if waiting:
+            yield from run(waiting, words)
 
-    return chunks.select("lang", "chunk", "weight").mapInArrow(apply, schema)
+    return chunks.mapInArrow(apply, schema)
 
 
 def _added(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,9 +260,9 @@ def frequent_keys(
 ) -> DataFrame:
     """Keys of the phrases of ``n`` words that occur ``least`` times, and of few others.
 
-    A key stands for all phrases that share its 64 bits, so it misses none.
+    A key stands for all phrases whose words share codes, so it misses none.
     """
-    def make(grams: _Grams, _: list[str]) -> Iterator[pa.RecordBatch]:
+    def make(grams: _Grams, rows: pa.Table, words: _Words) -> Iterator[pa.RecordBatch]:
         at = grams.starts(n)
         if shorter is not None:
             frequent = _Filter(shorter.value).holds(grams.keys(n - 1)) & grams.within(n - 1)
@@ -233,7 +271,8 @@ def frequent_keys(
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.view(np.int64)), pa.array(total)], names=["key", "weight"])
 
-    counted = _over_chunks(chunks, "key long, weight long", make)
+    counted = _over_chunks(
+        chunks.select("lang", "weight", "codes"), "key long, weight long", make)
     return counted.groupBy("key").agg(F.sum("weight").alias("weight")).filter(
         F.col("weight") >= least).select("key")
 
@@ -251,22 +290,23 @@ def phrase_counts(
             frequent_keys(chunks, n, least, filters[-1] if filters else None), f"frequent-{n}")
         filters.append(_filter_of(keys))
 
-    def make(grams: _Grams, langs: list[str]) -> Iterator[pa.RecordBatch]:
-        words = np.bincount(grams.rows[grams.starts(1)], minlength=len(langs)) * grams.given
+    def make(grams: _Grams, rows: pa.Table, words: _Words) -> Iterator[pa.RecordBatch]:
+        langs = rows["lang"].to_pylist()
+        symbols = "\n".join(rows["chunk"].to_pylist()).encode().split()
+        hashes = words.of(symbols)
+        sizes = np.bincount(grams.rows[grams.starts(1)], minlength=len(langs)) * grams.given
         sums: dict[str, int] = {}
-        for name, weight in zip(langs, words.tolist()):
+        for name, weight in zip(langs, sizes.tolist()):
             sums[name] = sums.get(name, 0) + weight
         found = [(name, 0, b"", weight) for name, weight in sums.items()]
         for n in range(1, longest + 1):
-            at = grams.starts(n)
-            keys = grams.keys(n)
-            at &= _Filter(filters[n - 1].value).holds(keys)
+            at = grams.starts(n) & _Filter(filters[n - 1].value).holds(grams.keys(n))
             places = at.nonzero()[0]
             # Keys gather a phrase's rows within this run only; Spark adds up the phrases.
-            _, first, weights = _added(keys[places], grams.weights[places])
+            _, first, weights = _added(grams.keys(n, hashes)[places], grams.weights[places])
             for place, weight in zip(places[first].tolist(), weights.tolist()):
                 found.append((langs[grams.rows[place]], n,
-                              b" ".join(grams.symbols[place:place + n]), weight))
+                              b" ".join(symbols[place:place + n]), weight))
         columns = list(zip(*found)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([
             pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
@@ -351,7 +391,8 @@ def collocations(
     text of any length is parsed whole; one without a trigger is one chunk.
     """
     tables = tables or WorkTables(docs.sparkSession)
-    chunks = tables.write(dictionary_of(docs, text=text, lang=lang, spacing=spacing), "chunks")
+    chunks = tables.write(
+        _with_codes(dictionary_of(docs, text=text, lang=lang, spacing=spacing)), "chunks")
     counts = tables.write(phrase_counts(chunks, least, tables), "phrases")
     best = scored(cut_counts(counts)).groupBy("lang", "phrase", "a").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("best"))
