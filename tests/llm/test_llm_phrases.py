@@ -83,7 +83,7 @@ def test_chunks_hold_every_phrase_once():
             assert joined == symbols
             held = b"\n".join(chunks).split()
             grams = phrases._Grams(
-                ["xx"] * len(chunks), phrases.codes_of(words.of(held)),
+                ["xx"] * len(chunks), words.of(held),
                 np.ones(len(chunks), np.int64), words)
             found = Counter(
                 tuple(held[at:at + n])

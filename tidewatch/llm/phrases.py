@@ -44,8 +44,6 @@ _MEMO_ENTRIES = 400_000
 _BATCH_BYTES = 2**22
 # Bytes of chunks that are worked out at once.
 _RUN_BYTES = 2**23
-# Codes of words: 32 bits of their hash, beyond those of the three marks.
-_CODES = np.uint64(2**32 - 3)
 
 
 class _Words(dict):
@@ -55,7 +53,7 @@ class _Words(dict):
         super().__init__({_BREAK: 0, _TRIGGERED: 1, _LAST: 2})
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word) or 3
+        value = max(xxhash.xxh3_64_intdigest(word), 3)
         if len(self) < _MEMO_ENTRIES:
             self[word] = value
         return value
@@ -64,11 +62,6 @@ class _Words(dict):
         return np.fromiter(map(self.__getitem__, symbols), dtype=np.uint64, count=len(symbols))
 
 
-def codes_of(hashes: np.ndarray) -> np.ndarray:
-    """32 bits per symbol, enough to find out which phrases may be frequent."""
-    return np.where(hashes < 3, hashes, hashes % _CODES + np.uint64(3)).astype(np.uint32)
-
-
 def symbols_of(text: str | None) -> list[bytes]:
     """Words in lower case (A-Z) and one mark per end of a piece."""
     return (text or "").encode().translate(_PLAIN).replace(_BREAK, b" . ").split()
@@ -143,7 +136,7 @@ class _Grams:
         seeds = {name: words[name.encode()] for name in set(langs)}
         of_rows = np.fromiter(map(seeds.__getitem__, langs), np.uint64, len(langs))
         self._seeds = np.repeat(mix(of_rows), sizes)
-        self._codes = codes.astype(np.uint64)
+        self._codes = codes
         self._word = codes > 2
         # What starts within a closing trigger is counted in the next chunk.
         self._start = self._word.copy()
@@ -152,22 +145,22 @@ class _Grams:
 
     def within(self, n: int) -> np.ndarray:
         """Places where ``n`` words stand in a row."""
-        held = self._word
+        held = self._word.copy()
         for i in range(1, n):
-            held = held & _ahead(self._word, i)
+            held &= _ahead(self._word, i)
         return held
 
     def starts(self, n: int) -> np.ndarray:
         """Places where a phrase of ``n`` words is counted."""
         return self._start & self.within(n)
 
-    def keys(self, n: int, symbols: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit key of the language and the ``n`` symbols from each place on, by their codes
-        or the given numbers."""
-        symbols = self._codes if symbols is None else symbols
-        total = self._seeds + np.uint64(n)
+    def keys(self, n: int, places: np.ndarray | None = None) -> np.ndarray:
+        """A 64-bit key of the language and the ``n`` symbols from each (listed) place on."""
+        seeds = self._seeds if places is None else self._seeds[places]
+        total = seeds + np.uint64(n)
         for i in range(n):
-            total = total * _STEP + _ahead(symbols, i)
+            ahead = _ahead(self._codes, i) if places is None else self._codes[places + i]
+            total = total * _STEP + ahead
         return mix(total)
 
 
@@ -204,15 +197,17 @@ def _filter_of(keys: DataFrame) -> Broadcast:
 
 
 def _with_codes(chunks: DataFrame) -> DataFrame:
-    """Add ``codes``, so that what looks for frequent phrases need not read text again."""
+    """Add ``codes``, the symbols' hashes, so that later steps need not split text again."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            codes = [codes_of(words.of(chunk.as_py().encode().split())).tobytes()
-                     for chunk in batch.column(1)]
+            codes = words.of("\n".join(batch.column(1).to_pylist()).encode().split())
+            ends = np.flatnonzero((codes == 1) | (codes == 2)) + 1
+            offsets = np.concatenate([[0], ends * 8]).astype(np.int64)
+            held = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(codes, pa.binary())],
-                names=[*batch.schema.names, "codes"])
+                [*batch.columns, held.cast(pa.binary())], names=[*batch.schema.names, "codes"])
 
     return chunks.select("lang", "chunk", "weight").mapInArrow(
         apply, "lang string, chunk string, weight long, codes binary")
@@ -220,14 +215,14 @@ def _with_codes(chunks: DataFrame) -> DataFrame:
 
 def _over_chunks(
     chunks: DataFrame, schema: str,
-    make: Callable[[_Grams, pa.Table, _Words], Iterator[pa.RecordBatch]],
+    make: Callable[[_Grams, pa.Table], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
     """``make`` applied to runs of chunks of a few megabytes."""
     def run(parts: list[pa.RecordBatch], words: _Words) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts)
-        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), dtype=np.uint32)
+        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), dtype=np.uint64)
         weights = rows["weight"].to_numpy().astype(np.int64)
-        yield from make(_Grams(rows["lang"].to_pylist(), codes, weights, words), rows, words)
+        yield from make(_Grams(rows["lang"].to_pylist(), codes, weights, words), rows)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, waiting, size = _Words(), [], 0
@@ -260,14 +255,17 @@ def frequent_keys(
 ) -> DataFrame:
     """Keys of the phrases of ``n`` words that occur ``least`` times, and of few others.
 
-    A key stands for all phrases whose words share codes, so it misses none.
+    A key stands for all phrases that share its 64 bits, so it misses none.
     """
-    def make(grams: _Grams, rows: pa.Table, words: _Words) -> Iterator[pa.RecordBatch]:
+    def make(grams: _Grams, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         at = grams.starts(n)
         if shorter is not None:
-            frequent = _Filter(shorter.value).holds(grams.keys(n - 1)) & grams.within(n - 1)
+            frequent = grams.within(n - 1)
+            inner = frequent.nonzero()[0]
+            frequent[inner] = _Filter(shorter.value).holds(grams.keys(n - 1, inner))
             at &= frequent & _ahead(frequent, 1)
-        keys, _, total = _added(grams.keys(n)[at], grams.weights[at])
+        places = at.nonzero()[0]
+        keys, _, total = _added(grams.keys(n, places), grams.weights[places])
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.view(np.int64)), pa.array(total)], names=["key", "weight"])
 
@@ -290,23 +288,30 @@ def phrase_counts(
             frequent_keys(chunks, n, least, filters[-1] if filters else None), f"frequent-{n}")
         filters.append(_filter_of(keys))
 
-    def make(grams: _Grams, rows: pa.Table, words: _Words) -> Iterator[pa.RecordBatch]:
+    def make(grams: _Grams, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         langs = rows["lang"].to_pylist()
-        symbols = "\n".join(rows["chunk"].to_pylist()).encode().split()
-        hashes = words.of(symbols)
+        # Symbols stand one blank or line end apart, so a phrase is a stretch of the text.
+        text = "\n".join([*rows["chunk"].to_pylist(), ""]).encode()
+        data = np.frombuffer(text, dtype=np.uint8)
+        ends = np.flatnonzero((data == 32) | (data == 10))
+        begins = np.concatenate([[0], ends[:-1] + 1])
         sizes = np.bincount(grams.rows[grams.starts(1)], minlength=len(langs)) * grams.given
         sums: dict[str, int] = {}
         for name, weight in zip(langs, sizes.tolist()):
             sums[name] = sums.get(name, 0) + weight
         found = [(name, 0, b"", weight) for name, weight in sums.items()]
         for n in range(1, longest + 1):
-            at = grams.starts(n) & _Filter(filters[n - 1].value).holds(grams.keys(n))
-            places = at.nonzero()[0]
+            places = grams.starts(n).nonzero()[0]
+            keys = grams.keys(n, places)
+            held = _Filter(filters[n - 1].value).holds(keys)
             # Keys gather a phrase's rows within this run only; Spark adds up the phrases.
-            _, first, weights = _added(grams.keys(n, hashes)[places], grams.weights[places])
-            for place, weight in zip(places[first].tolist(), weights.tolist()):
-                found.append((langs[grams.rows[place]], n,
-                              b" ".join(symbols[place:place + n]), weight))
+            _, first, weights = _added(keys[held], grams.weights[places[held]])
+            firsts = places[held][first]
+            for row, begin, end, weight in zip(
+                grams.rows[firsts].tolist(), begins[firsts].tolist(),
+                ends[firsts + n - 1].tolist(), weights.tolist(),
+            ):
+                found.append((langs[row], n, text[begin:end], weight))
         columns = list(zip(*found)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([
             pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
