@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from tidewatch.llm import (
     byte_bpe, conversation_trie, decision_list, language, line_dedup, mixing, near_dup, packing,
     phrases, quality_zstd, sharding, topk, url_lists,
@@ -17,7 +16,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
-        "pipeline": corpus_pipeline.run,
         "op1_histogram_sharding": sharding.op1_histogram_sharding,
         "op2_pattern_packing": packing.op2_pattern_packing,
         "op3_temporal_url_lists": url_lists.op3_temporal_url_lists,
