@@ -181,6 +181,39 @@ def test_top_equals_brute_force(spark, monkeypatch, rows, wide, most, k):
     assert sorted(map(tuple, found.collect())) == brute_top(vectors, queries, k)
 
 
+def test_lists_are_read_until_outsiders_cannot_qualify():
+    """Some lists are never read to their ends, and few scores are resolved."""
+    rng = np.random.default_rng(1)
+    vectors = np.floor(20 * rng.standard_normal((500, 12))).astype(np.float32)
+    vectors[:, 1:] = np.floor(vectors[:, 1:] / 10)
+    ids = np.arange(500)
+    found, read, resolved = topk.search(ids, vectors, ids[:10], vectors[:10], 5)
+    pairs = [(int(i), v.astype(int).tolist()) for i, v in zip(ids, vectors)]
+    want = sorted((q, i, s) for q, _, i, s in brute_top(pairs, pairs[:10], 5))
+    assert sorted(zip(*(found[c].tolist() for c in ("query_id", "vec_id", "score")))) == want
+    assert read < 0.75 * vectors.size * 10 and resolved < 0.1 * 500 * 10
+
+
+def test_the_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    frame = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    ids = frame["vec_id"].to_numpy()
+    steps = np.floor(64 * np.stack(frame["embedding"]).astype(float)).astype(np.int64)
+    want = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = steps @ steps[q]
+        order = [i for i in np.lexsort((ids, -scores)) if i != q][:20]
+        want += [(ids[q], n + 1, ids[i], scores[i]) for n, i in enumerate(order)]
+    found = topk.op10_nra_topk(spark, folder).collect()
+    assert sorted(map(tuple, found)) == sorted(tuple(map(int, row)) for row in want)
+
+
+def test_components_too_large_for_exact_scores_are_refused(spark):
+    frame = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        frame.select(topk.whole_steps(frame["embedding"], 64)).collect()
+
+
 def test_unusable_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, -0.51]), (1, None), (2, [nan, 1.0]), (3, [1.0, None]), (4, [inf, 0.0]),

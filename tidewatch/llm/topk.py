@@ -8,87 +8,132 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewatch.llm.common import table
 
-# Shares of each list that are read before bounds are compared again.
-_DEPTHS = (0.5, 0.7, 0.85)
-# Once this share of a block's candidates is left, or less, their scores are resolved.
-_FEW = 0.02
-_BLOCK = 1024
+# Lists are read in this many steps, all to the same depth; bounds are compared after each.
+_STEPS = 16
+# Once at most this share of a block's vectors is left for a query, their scores are resolved.
+_FEW = 1 / 16
+_BLOCK = 2048
 
 
 def whole_steps(vector: Column, scale: int) -> Column:
     """floor(scale * x) of each component; NULL for a vector that is NULL or holds a component
-    that is NULL, NaN or infinite."""
+    that is NULL, NaN or infinite. A step beyond 2^62 is an error, for it has no exact long."""
     good = F.forall(vector, lambda x: F.coalesce(
         ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
-    return F.when(good, F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
+    step = lambda x: x.cast("double") * scale
+    refused = F.raise_error(F.lit("a component is too large for exact scores")).cast("bigint")
+    return F.when(good, F.transform(vector, lambda x: F.when(
+        F.abs(step(x)) < float(2**62), F.floor(step(x))).otherwise(refused)))
 
 
 def _number_type(vectors: np.ndarray, queries: np.ndarray) -> type:
     """The smallest type in which every sum of products is exact."""
     most = vectors.shape[1] * float(np.abs(vectors).max(initial=0)) * float(
         np.abs(queries).max(initial=0))
+    if most >= 2**62:
+        raise ValueError("components are too large for scores of 64 bits")
     return np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
 
 
-class _Best:
-    """The k best (score, id) of each query so far, ties to the smaller id."""
-
-    def __init__(self, queries: int, k: int) -> None:
-        self.k = k
-        self.query = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0, dtype=np.int64)
-        self.id = np.empty(0, dtype=np.int64)
-        self.floor = np.full(queries, -np.inf)
-
-    def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        query = np.concatenate([self.query, query])
-        score, ids = np.concatenate([self.score, score]), np.concatenate([self.id, ids])
-        order = np.lexsort((ids, -score, query))
-        query, score, ids = query[order], score[order], ids[order]
-        starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else query
-        rank = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
-        kept = rank < self.k
-        self.query, self.score, self.id = query[kept], score[kept], ids[kept]
-        full = rank == self.k - 1
-        self.floor[query[full]] = score[full]
-
-
-def _aggregate(
-    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: _Best
-) -> None:
-    """Reads one block's lists, a list per component, until outsiders cannot qualify.
-
-    A query reads a component's list from its high end where its own component is
-    positive, from its low end where that is negative. What was read is known; the rest
-    of a list lies between where reading stands and its other end, which bounds every
-    score from both sides. Candidates whose upper bound is below the k-th best lower
-    bound, or below the k-th best score of earlier blocks, are out.
+class SortedLists:
+    """The vectors of one block as a list of (value, place) per component, in ascending order."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.vectors = ids, vectors
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.places = np.ascontiguousarray(order.T)
+        self.values = np.take_along_axis(vectors.T, self.places, axis=1)
+        # Twice the distance of each entry from the middle of its list.
+        rank = np.empty(vectors.shape, dtype=np.int32)
+        np.put_along_axis(rank, order, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
+        self.from_middle = 2 * rank - np.int32(len(ids) - 1)
+        self.entries_read = self.resolved = 0
+
+    def _read(self, rising: np.ndarray, falling: np.ndarray, start: int, end: int):
+        """Places and values of the entries ``start`` to ``end``, from the end each list is read."""
+        size = len(self.ids)
+        back = slice(size - end, size - start)
+        return (np.concatenate([self.places[rising, back][:, ::-1], self.places[falling, start:end]]),
+                np.concatenate([self.values[rising, back][:, ::-1], self.values[falling, start:end]]))
+
+    def best(
+        self, query_id: int, query: np.ndarray, k: int, floor: float = -np.inf
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, ids) of the ``k`` best of this block at or above ``floor``, the query's own
+        id left out.
+
+        Every list with a weight is read in turn, from its high end where the query's
+        component is positive, else from its low end. A vector's known products add up as
+        they are read; an entry not yet read lies between the last one read and the list's
+        other end. So each vector has a lower and an upper bound, and one that no list has
+        shown yet is bounded by the last entries alone. Vectors whose upper bound is below
+        the k-th best lower bound, or below ``floor``, are out. Reading ends when few vectors are
+        left or the lists end; only those left have their scores resolved.
+        """
+        size = len(self.ids)
+        rising, falling = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        lists = np.concatenate([rising, falling])
+        weights, turn = query[lists], np.sign(query).astype(np.int32)
+        ends = np.zeros_like(query)
+        ends[rising], ends[falling] = self.values[rising, 0], self.values[falling, -1]
+        ends, last = ends * query, np.zeros_like(query)
+        left = self.ids != query_id
+        whole = np.issubdtype(query.dtype, np.integer)
+        known = np.zeros(size, dtype=query.dtype if whole else np.float64)
+        start = 0
+        for step in range(1, _STEPS + 1) if len(lists) and left.sum() > k else ():
+            end = size * step // _STEPS
+            if end == start:
+                continue
+            places, values = self._read(rising, falling, start, end)
+            products, start = values * weights[:, None], end
+            self.entries_read += products.size
+            if whole:
+                np.add.at(known, places.ravel(), products.ravel())
+            else:
+                known += np.bincount(places.ravel(), products.ravel(), size)
+            last[lists] = products[:, -1]
+            if 2 * step < _STEPS and last.sum() >= floor:
+                continue  # nothing is ruled out while a vector not seen yet could still qualify
+            some = np.flatnonzero(left)
+            seen = self.from_middle[some] * turn > size - 1 - 2 * end
+            shown = seen.astype(query.dtype) @ np.stack([ends, last], axis=1)
+            if len(some) >= k:
+                lower = known[some] - shown[:, 0] + ends.sum()
+                floor = max(floor, np.partition(lower, len(some) - k)[len(some) - k])
+            left[some] = known[some] - shown[:, 1] + last.sum() >= floor
+            if left.sum() <= max(k, _FEW * size):
+                break
+        some = np.flatnonzero(left)
+        self.resolved += len(some)
+        scores = (self.vectors[some] @ query).astype(np.int64)
+        order = np.lexsort((self.ids[some], -scores))[:k]
+        return scores[order], self.ids[some[order]]
+
+
+def search(
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
+) -> tuple[dict[str, np.ndarray], int, int]:
+    """The ``k`` best of each query, how many entries of lists were read, and scores resolved.
+
+    Vectors come block by block, so that the k-th best of earlier blocks bounds later ones.
     """
-    up, down = np.maximum(queries, 0).T, np.minimum(queries, 0).T
-    lists = np.sort(vectors, axis=0)
-    last = len(ids) - 1
-    alive = ids[:, None] != query_ids[None, :]
-    for depth in _DEPTHS if np.isfinite(best.floor).any() else ():
-        read = int(depth * last)
-        high, low = lists[last - read], lists[read]
-        upper = np.maximum(vectors, high) @ up + np.minimum(vectors, low) @ down
-        floor = best.floor
-        if last >= best.k:
-            lower = (np.where(vectors >= high, vectors, lists[0]) @ up
-                     + np.where(vectors <= low, vectors, lists[last]) @ down)
-            lower = np.where(alive, lower.astype(np.float64), -np.inf)
-            floor = np.maximum(floor, np.partition(lower, len(ids) - best.k, axis=0)[len(ids) - best.k])
-        alive &= upper >= floor
-        if alive.mean() <= _FEW:
-            break
-    candidate, query = np.nonzero(alive)
-    if len(candidate) > _FEW * alive.size:
-        scores = (vectors @ queries.T)[candidate, query]
-    else:
-        scores = np.einsum("ij,ij->i", vectors[candidate], queries[query])
-    scores = scores.astype(np.int64)
-    good = scores >= best.floor[query]
-    best.add(query[good], scores[good], ids[candidate[good]])
+    scores = [np.empty(0, dtype=np.int64)] * len(queries)
+    found = [np.empty(0, dtype=np.int64)] * len(queries)
+    read = resolved = 0
+    for at in range(0, len(ids), _BLOCK):
+        block = SortedLists(ids[at:at + _BLOCK], vectors[at:at + _BLOCK])
+        for i, query in enumerate(queries):
+            floor = scores[i][k - 1] if len(scores[i]) >= k else -np.inf
+            new, own = block.best(query_ids[i], query, k, floor)
+            new, own = np.concatenate([scores[i], new]), np.concatenate([found[i], own])
+            order = np.lexsort((own, -new))[:k]
+            scores[i], found[i] = new[order], own[order]
+        read, resolved = read + block.entries_read, resolved + block.resolved
+    sizes = [len(own) for own in found]
+    empty = np.empty(0, dtype=np.int64)
+    return {"query_id": np.repeat(query_ids, sizes), "vec_id": np.concatenate([empty, *found]),
+            "score": np.concatenate([empty, *scores])}, read, resolved
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -109,32 +154,28 @@ def _search(k: int):
         ids = group.column("id").to_numpy()
         queries, vectors = matrix[asks], matrix[~asks]
         kind = _number_type(vectors, queries)
-        queries, vectors = queries.astype(kind), vectors.astype(kind)
-        query_ids, own = ids[asks], ids[~asks]
-        best = _Best(len(queries), k)
-        for at in range(0, len(own) if len(queries) else 0, _BLOCK):
-            _aggregate(own[at:at + _BLOCK], vectors[at:at + _BLOCK], query_ids, queries, best)
-        return pa.table({
-            "query_id": pa.array(query_ids[best.query], pa.int64()),
-            "vec_id": pa.array(best.id, pa.int64()), "score": pa.array(best.score, pa.int64()),
-        })
+        found, _, _ = search(ids[~asks], vectors.astype(kind), ids[asks], queries.astype(kind), k)
+        return pa.table({name: pa.array(column, pa.int64()) for name, column in found.items()})
 
     return run
 
 
 def top_inner_products(
     vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id", vector: str = "v",
-    candidate_rows: int = 8192, query_rows: int = 1024,
+    candidate_rows: int = 8192, query_rows: int = 2048,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best vectors of each query, all if fewer.
 
     ``vector`` columns are arrays of whole numbers; scores are exact inner products, ties go
     to the smaller id, and a query's own id is no candidate. The query set meets all
     vectors block by block: every pair of a query part and a vector part is one task with
-    at most about ``query_rows`` and ``candidate_rows`` rows, which keeps its k best; the
-    parts' best are merged per query. Rows with a NULL id or vector take no part; repeated
-    rows are candidates each; queries of one id count as one. Shorter vectors are filled
-    up with zeros. Sums of products have to fit 64 bits.
+    at most about ``query_rows`` and ``candidate_rows`` rows. The task sorts its vectors into
+    one list per component, reads these for each query and keeps its k best; the parts' best
+    are merged per query. Rows with a NULL id or vector take no part; repeated rows are
+    candidates each; equal queries of one id count as one, and an id with several vectors
+    asks with each, its answers ranked together. Shorter vectors are filled up with zeros.
+    Empty tables give no rows; other columns are ignored, whatever their names. Components
+    whose sums of products could pass 62 bits are an error.
     """
 
     def numbered(df: DataFrame, parts: int, name: str) -> DataFrame:
