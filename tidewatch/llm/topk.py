@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidewatch.llm.common import table
 
 # Lists are read in this many steps, all to the same depth; bounds are compared after each.
-_STEPS = 16
+_STEPS = 8
 # Once at most this share of a block's vectors is left for a query, their scores are resolved.
 _FEW = 1 / 16
 _BLOCK = 2048
+# Queries of a block that read side by side.
+_TOGETHER = 256
 
 
 def whole_steps(vector: Column, scale: int) -> Column:
@@ -36,79 +38,79 @@ def _number_type(vectors: np.ndarray, queries: np.ndarray) -> type:
 
 
 class SortedLists:
-    """The vectors of one block as a list of (value, place) per component, in ascending order."""
+    """The vectors of one block as a list per component, and each vector's rank in the lists."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
         order = np.argsort(vectors, axis=0, kind="stable")
-        self.places = np.ascontiguousarray(order.T)
-        self.values = np.take_along_axis(vectors.T, self.places, axis=1)
-        # Twice the distance of each entry from the middle of its list.
-        rank = np.empty(vectors.shape, dtype=np.int32)
-        np.put_along_axis(rank, order, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
-        self.from_middle = 2 * rank - np.int32(len(ids) - 1)
+        self.lists = np.take_along_axis(vectors, order, axis=0)
+        self.rank = np.empty(vectors.shape, dtype=np.int32)
+        np.put_along_axis(self.rank, order, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
         self.entries_read = self.resolved = 0
 
-    def _read(self, rising: np.ndarray, falling: np.ndarray, start: int, end: int):
-        """Places and values of the entries ``start`` to ``end``, from the end each list is read."""
-        size = len(self.ids)
-        back = slice(size - end, size - start)
-        return (np.concatenate([self.places[rising, back][:, ::-1], self.places[falling, start:end]]),
-                np.concatenate([self.values[rising, back][:, ::-1], self.values[falling, start:end]]))
-
-    def best(
-        self, query_id: int, query: np.ndarray, k: int, floor: float = -np.inf
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, ids) of the ``k`` best of this block at or above ``floor``, the query's own
-        id left out.
-
-        Every list with a weight is read in turn, from its high end where the query's
-        component is positive, else from its low end. A vector's known products add up as
-        they are read; an entry not yet read lies between the last one read and the list's
-        other end. So each vector has a lower and an upper bound, and one that no list has
-        shown yet is bounded by the last entries alone. Vectors whose upper bound is below
-        the k-th best lower bound, or below ``floor``, are out. Reading ends when few vectors are
-        left or the lists end; only those left have their scores resolved.
+    def qualify(
+        self, query_ids: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query numbers, scores, ids) of the vectors that reading could not rule out.
+
+        Every query reads all lists it has a weight for, a step at a time and from the high end
+        where its component is positive, else from the low end; queries read side by side.
+        A vector's known products add up as they are read; an entry not yet read lies
+        between the last one read and the list's other end. So each vector has a lower and an
+        upper bound, and one that no list has shown yet is bounded by the last entries alone.
+        Vectors whose upper bound is below the k-th best lower bound, or below the query's
+        ``floor``, are out. A query stops reading when few vectors are left or its lists end;
+        only the scores of those left are resolved. Its own id is no candidate.
         """
-        size = len(self.ids)
-        rising, falling = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        lists = np.concatenate([rising, falling])
-        weights, turn = query[lists], np.sign(query).astype(np.int32)
-        ends = np.zeros_like(query)
-        ends[rising], ends[falling] = self.values[rising, 0], self.values[falling, -1]
-        ends, last = ends * query, np.zeros_like(query)
-        left = self.ids != query_id
-        whole = np.issubdtype(query.dtype, np.integer)
-        known = np.zeros(size, dtype=query.dtype if whole else np.float64)
+        size, kind = len(self.ids), queries.dtype
+        number = np.arange(len(queries))
+        left = query_ids[:, None] != self.ids[None, :]
+        known = np.zeros(left.shape, dtype=kind)
+        floor = floor.copy()
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         start = 0
-        for step in range(1, _STEPS + 1) if len(lists) and left.sum() > k else ():
-            end = size * step // _STEPS
+        for step in range(_STEPS + 1):
+            # Queries with few vectors left, or at the end of their lists, are resolved.
+            done = (left.sum(axis=1) <= max(k, _FEW * size)) | (step == _STEPS)
+            if done.any():
+                query, place = np.divmod(np.flatnonzero(left[done]), size)
+                scores = np.einsum("ij,ij->i", queries[done][query], self.vectors[place])
+                found.append((number[done][query], scores.astype(np.int64), self.ids[place]))
+                self.resolved += len(place)
+                keep = ~done
+                number, queries, left = number[keep], queries[keep], left[keep]
+                known, floor = known[keep], floor[keep]
+            end = size * (step + 1) // _STEPS
+            if not len(queries):
+                break
             if end == start:
                 continue
-            places, values = self._read(rising, falling, start, end)
-            products, start = values * weights[:, None], end
-            self.entries_read += products.size
-            if whole:
-                np.add.at(known, places.ravel(), products.ravel())
-            else:
-                known += np.bincount(places.ravel(), products.ravel(), size)
-            last[lists] = products[:, -1]
-            if 2 * step < _STEPS and last.sum() >= floor:
-                continue  # nothing is ruled out while a vector not seen yet could still qualify
-            some = np.flatnonzero(left)
-            seen = self.from_middle[some] * turn > size - 1 - 2 * end
-            shown = seen.astype(query.dtype) @ np.stack([ends, last], axis=1)
-            if len(some) >= k:
-                lower = known[some] - shown[:, 0] + ends.sum()
-                floor = max(floor, np.partition(lower, len(some) - k)[len(some) - k])
-            left[some] = known[some] - shown[:, 1] + last.sum() >= floor
-            if left.sum() <= max(k, _FEW * size):
-                break
-        some = np.flatnonzero(left)
-        self.resolved += len(some)
-        scores = (self.vectors[some] @ query).astype(np.int64)
-        order = np.lexsort((self.ids[some], -scores))[:k]
-        return scores[order], self.ids[some[order]]
+            up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+            high = (self.rank >= size - end) & (self.rank < size - start)
+            low = (self.rank >= start) & (self.rank < end)
+            known += up @ np.where(high, self.vectors, 0).T + down @ np.where(low, self.vectors, 0).T
+            self.entries_read += int(np.count_nonzero(queries)) * (end - start)
+            start = end
+            last_high, last_low = up * self.lists[size - end], down * self.lists[end - 1]
+            if 2 * (step + 1) < _STEPS and (
+                    (last_high.sum(axis=1) + last_low.sum(axis=1)) >= floor).all():
+                continue  # nothing is ruled out while vectors not seen yet could qualify
+            unread_high = (self.rank < size - end).astype(kind).T
+            unread_low = (self.rank >= end).astype(kind).T
+            upper = known + last_high @ unread_high + last_low @ unread_low
+            if size > k:
+                lower = known + (up * self.lists[0]) @ unread_high + (
+                    down * self.lists[-1]) @ unread_low
+                lower[query_ids[number][:, None] == self.ids[None, :]] = _least(kind)
+                best = np.partition(lower, size - k, axis=1)[:, size - k]
+                floor = np.maximum(floor, best)
+            left &= upper >= floor[:, None]
+        columns = [np.concatenate(column) for column in zip(*found, strict=True)]
+        return columns[0], columns[1], columns[2]
+
+
+def _least(kind: np.dtype) -> float:
+    return np.iinfo(kind).min if np.issubdtype(kind, np.integer) else -np.inf
 
 
 def search(
@@ -118,22 +120,25 @@ def search(
 
     Vectors come block by block, so that the k-th best of earlier blocks bounds later ones.
     """
-    scores = [np.empty(0, dtype=np.int64)] * len(queries)
-    found = [np.empty(0, dtype=np.int64)] * len(queries)
+    held = [np.empty(0, dtype=np.int64)] * 3
+    floor = np.full(len(queries), _least(queries.dtype), dtype=queries.dtype)
     read = resolved = 0
     for at in range(0, len(ids), _BLOCK):
         block = SortedLists(ids[at:at + _BLOCK], vectors[at:at + _BLOCK])
-        for i, query in enumerate(queries):
-            floor = scores[i][k - 1] if len(scores[i]) >= k else -np.inf
-            new, own = block.best(query_ids[i], query, k, floor)
-            new, own = np.concatenate([scores[i], new]), np.concatenate([found[i], own])
-            order = np.lexsort((own, -new))[:k]
-            scores[i], found[i] = new[order], own[order]
+        new = [held]
+        for first in range(0, len(queries), _TOGETHER):
+            some = slice(first, first + _TOGETHER)
+            number, score, own = block.qualify(query_ids[some], queries[some], k, floor[some])
+            new.append([number + first, score, own])
+        query, score, own = (np.concatenate(column) for column in zip(*new, strict=True))
+        order = np.lexsort((own, -score, query))
+        query, score, own = query[order], score[order], own[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        held = [column[place < k] for column in (query, score, own)]
+        full = place == k - 1
+        floor[query[full]] = score[full]
         read, resolved = read + block.entries_read, resolved + block.resolved
-    sizes = [len(own) for own in found]
-    empty = np.empty(0, dtype=np.int64)
-    return {"query_id": np.repeat(query_ids, sizes), "vec_id": np.concatenate([empty, *found]),
-            "score": np.concatenate([empty, *scores])}, read, resolved
+    return {"query_id": query_ids[held[0]], "vec_id": held[2], "score": held[1]}, read, resolved
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
