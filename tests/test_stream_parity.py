@@ -120,3 +120,19 @@ def test_a_late_row_meets_the_rows_that_were_known(spark, tmp_path):
     keyed_run(spark, landing, root)
     rules = {r.txn_id: list(r.triggered_rules) for r in read_output(spark, root, "alerts").collect()}
     assert "structuring" in rules["late"]
+
+
+@pytest.mark.parametrize("merge_at", [2, 16])
+def test_a_late_row_finds_its_previous_row_behind_newer_ones(spark, tmp_path, merge_at):
+    """Days after its previous row, days before the rows that came first."""
+    root = str(tmp_path / "root")
+    known = [[txn("a1", "amy", country="GB"), txn("b1", "bob", after(days=9))],
+             [txn("a2", "amy", after(days=9)), txn("b2", "bob", after(days=10))]]
+    late = [txn("a3", "amy", after(days=4), country="US"), txn("a4", "amy", after(days=4, minutes=5)),
+            txn("b3", "bob", after(days=2))]
+    for number, rows in enumerate([*known, late]):
+        process_batch(rows_to_feed(spark, rows), number, root, GATE, RULES, merge_at=merge_at, buckets=3)
+    fired = {row.txn_id: "dormant_reactivation" in row.triggered_rules
+             for row in read_output(spark, root, "alerts").collect()}
+    assert fired == {"a1": False, "b1": False, "a2": True, "b2": True,
+                     "a3": True, "a4": False, "b3": False}

@@ -534,18 +534,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 _SLICES = 4
 
 
-def _stream_root(spark: SparkSession, folder: str, start: Callable[..., StreamingQuery]) -> str:
-    """Stream the event feed as it lands, a time slice at a time, one restart each."""
+def _stream_root(
+    spark: SparkSession, folder: str, start: Callable[..., StreamingQuery],
+    delay: Column | None = None,
+) -> str:
+    """Stream the event feed as it lands, a time slice at a time, one restart each.
+
+    ``delay`` is the number of slices by which a row comes late.
+    """
     landing, root = work_folder(spark, "landing"), work_folder(spark, "stream")
     feed = event_feed(spark, folder)
     first, last = feed.agg(F.min("txn_ts"), F.max("txn_ts")).first()
-    step = (last - first) / _SLICES
+    step, newest = (last - first) / _SLICES, F.lit(_SLICES - 1)
+    # Rows without a time come with the last slice.
+    due = newest
+    for number in reversed(range(1, _SLICES)):
+        due = F.when(F.col("txn_ts") < F.lit(first + number * step), number - 1).otherwise(due)
+    arrives = due if delay is None else F.least(due + delay, newest)
     for number in range(_SLICES):
-        begins = F.col("txn_ts") >= F.lit(first + number * step)
-        ends = F.col("txn_ts") < F.lit(first + (number + 1) * step)
-        # Rows without a time come with the last slice.
-        inside = begins | F.col("txn_ts").isNull() if number == _SLICES - 1 else begins & ends
-        feed.filter(inside).write.mode("append").json(landing)
+        feed.filter(arrives == number).write.mode("append").json(landing)
         query = start(
             spark, landing, root, DEFAULT_DQ, EVENT_RULES, available_now=True, max_files=None
         )
@@ -559,6 +566,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _show_alerts(read_output(spark, _stream_root(spark, folder, start), "alerts"))
 
 
+@_register("stream_late_rows")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream where every fifth row is a slice late and every eleventh two: each is judged by
+    what had arrived."""
+    number = F.substring("txn_id", 2, 20).cast("long")
+    delay = F.when(number % 11 == 0, 2).when(number % 5 == 0, 1).otherwise(0)
+    return _show_alerts(read_output(spark, _stream_root(spark, folder, start_stream, delay), "alerts"))
+
+
 @_register("stream_counters")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     counters = read_output(spark, _stream_root(spark, folder, start_stream), "counters")

@@ -179,6 +179,49 @@ _ORDERS_TO_ALERTS = (
     f"WITH {_ORDER_FEED},{_RANKED},{_ANNOTATED},{_DERIVED},{_scored(_DEFAULT_RULES)}\n"
 )
 
+# Rows in four slices of time, some a slice or two late; each row meets those of its own and of
+# earlier slices.
+_LATE = f"""
+bounds AS (
+  SELECT epoch_us(min(txn_ts)) AS first,
+         CAST(round_even((epoch_us(max(txn_ts)) - epoch_us(min(txn_ts))) / 4.0, 0)
+           AS BIGINT) AS step
+  FROM feed),
+arriving AS (
+  SELECT feed.*, least(3,
+    CASE WHEN epoch_us(txn_ts) < first + step THEN 0
+         WHEN epoch_us(txn_ts) < first + 2 * step THEN 1
+         WHEN epoch_us(txn_ts) < first + 3 * step THEN 2 ELSE 3 END
+    + CASE WHEN CAST(substr(txn_id, 2) AS BIGINT) % 11 = 0 THEN 2
+           WHEN CAST(substr(txn_id, 2) AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END) AS slice
+  FROM feed, bounds),{_RANKED.replace("FROM feed", "FROM arriving").replace(
+      "ORDER BY txn_ts", "ORDER BY slice, txn_ts")},{_ANNOTATED},
+timed AS (SELECT *, CAST(epoch_us(txn_ts) // 1000000 AS BIGINT) AS _epoch FROM clean),
+recent AS (
+  SELECT r.txn_id, count(*) FILTER (WHERE h._epoch >= r._epoch - 3600) AS txns_last_hour,
+         sum(h.amount) AS amount_last_day
+  FROM timed r JOIN timed h ON h.account_id = r.account_id AND h.slice <= r.slice
+   AND h._epoch BETWEEN r._epoch - 86400 AND r._epoch
+  GROUP BY r.txn_id),
+paid AS (
+  SELECT r.txn_id, count(*) AS beneficiary_seq
+  FROM timed r JOIN timed h ON h.account_id = r.account_id
+   AND h.beneficiary_id IS NOT DISTINCT FROM r.beneficiary_id
+   AND (h.slice < r.slice OR (h.slice = r.slice AND (h.txn_ts < r.txn_ts
+        OR (h.txn_ts = r.txn_ts AND h.txn_id <= r.txn_id))))
+  GROUP BY r.txn_id),
+placed AS (
+  SELECT r.txn_id, h.country AS prev_country, h._epoch AS prev_epoch,
+         row_number() OVER (PARTITION BY r.txn_id ORDER BY h.txn_ts DESC, h.txn_id DESC) AS place
+  FROM timed r JOIN timed h ON h.account_id = r.account_id AND h.slice <= r.slice
+   AND (h.txn_ts < r.txn_ts OR (h.txn_ts = r.txn_ts AND h.txn_id < r.txn_id))),
+derived AS (
+  SELECT timed.*, txns_last_hour, amount_last_day, beneficiary_seq, prev_country, prev_epoch,
+         hour(txn_ts) AS txn_hour,
+         CAST(_epoch - prev_epoch AS DOUBLE) / CAST(3600 AS DOUBLE) AS hours_since_prev
+  FROM timed JOIN recent USING (txn_id) JOIN paid USING (txn_id)
+  LEFT JOIN (SELECT * FROM placed WHERE place = 1) USING (txn_id))"""
+
 # ---- shown columns ---------------------------------------------------------
 
 _CORE = ("txn_id, account_id, customer_id, beneficiary_id, amount, currency, channel, country, "
@@ -371,6 +414,8 @@ def oracle_sql() -> dict[str, str]:
         f"{_TO_ALERTS} SELECT {_ALERT}, 'run00001' AS run_id, {_FLAGS} FROM alerts"
     )
     sql["stream_alerts"] = sql["stream_keyed_alerts"] = sql["alerts"]
+    sql["stream_late_rows"] = (
+        f"WITH {_EVENT_FEED},{_LATE},{_scored(_EVENT_RULES)} SELECT {_ALERT} FROM alerts")
     sql["stream_counters"] = f"""{_TO_ALERTS}
         SELECT (SELECT count(*) FROM annotated) AS "rows",
                (SELECT count(*) FROM quarantined) AS quarantined,

@@ -2,8 +2,8 @@
 
 Contract: alerts equal those of a batch run over all files when every account's
 rows arrive in time order and rows of one second arrive in one micro-batch. A
-late row is judged against what is known when it arrives; verdicts already
-written are not revised.
+late row is judged against what is known when it arrives, however far back that
+lies; verdicts already written are not revised.
 """
 
 from __future__ import annotations
@@ -56,6 +56,28 @@ def flag_seen_keys(batch: DataFrame, key: str, state: StateTables) -> DataFrame:
     return joined.select(*batch.columns, F.coalesce("_known", F.lit(False)).alias("_seen"))
 
 
+def _before_late_rows(pool: DataFrame, overtaken: DataFrame, state: StateTables) -> DataFrame:
+    """(_account, last): the last known row before the pool of accounts that were ``overtaken``,
+    which have known rows in the pool or after it.
+
+    If one of these lies before the batch's first row, that is the previous row already; the
+    history of the others is opened from its first date on, in their buckets alone.
+    """
+    seconds = F.col("txn_ts").cast("long")
+    known = pool.filter("NOT _new").groupBy(F.col("account_id").alias("_owner")).agg(
+        F.min(seconds).alias("_first"))
+    late = overtaken.join(known, _same("_account", "_owner"), "left").filter(
+        F.coalesce(F.col("_first") >= F.col("_since"), F.lit(True))).select("_account", "_since")
+    wanted = late.agg(F.collect_set(bucket_of(F.col("_account"), state.buckets))).first()[0]
+    rows = state.history({bucket: dt.date.min for bucket in wanted})
+    row = F.struct(seconds.alias("epoch"), "txn_ts", "txn_id", "country")
+    return (
+        rows.join(late, _same("account_id", "_account"))
+        .filter(seconds < F.col("_since") - DAY_SECONDS)
+        .groupBy("_account").agg(F.max(row).alias("last"))
+    )
+
+
 def derive_with_history(
     new: DataFrame, state: StateTables, since: Mapping[int, dt.date],
     limits: SkewLimits = DEFAULT_LIMITS,
@@ -66,6 +88,7 @@ def derive_with_history(
     The rolling frames need a day of earlier rows, of this batch's accounts only: ``since``
     has the date of the first row per bucket of accounts. What lies further back enters as
     one row per account (previous row) and one count per account and payee (payee ordinal).
+    Only for accounts whose rows come late, behind that one row, is older history searched.
     """
     seconds = F.col("txn_ts").cast("long")
     bounds = new.groupBy("account_id").agg(F.min(seconds).alias("_since")).select(
@@ -86,14 +109,15 @@ def derive_with_history(
     derived = derive(pool, heavy=heavy, counted="_new", limits=limits).filter("_new").drop("_new")
 
     # An account's last row counts as the previous one only if it lies before the
-    # rows of the pool; otherwise the pool itself holds the previous row.
+    # rows of the pool; otherwise the pool itself holds the previous row, or the batch is late.
     last = fold_accounts(state.accounts(since).join(
         bounds, _same("account_id", "_account"), "left_semi"
-    ))
-    older = last.join(bounds, _same("account_id", "_account")).filter(
-        F.col("last.epoch") < F.col("_since") - DAY_SECONDS
-    ).select("_account", F.col("last.epoch").alias("_old_epoch"),
-             F.col("last.country").alias("_old_country"))
+    )).join(bounds, _same("account_id", "_account"))
+    reach = F.col("_since") - DAY_SECONDS
+    before = last.filter(F.col("last.epoch") < reach).select("_account", "last").unionByName(
+        _before_late_rows(pool, last.filter(F.col("last.epoch") >= reach), state))
+    older = before.select("_account", F.col("last.epoch").alias("_old_epoch"),
+                          F.col("last.country").alias("_old_country"))
     paid = fold_payees(state.payees(since).join(
         bounds, _same("account_id", "_account"), "left_semi"
     )).select(F.col("account_id").alias("_payer"), F.col("beneficiary_id").alias("_payee"), "paid")
