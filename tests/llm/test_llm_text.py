@@ -96,10 +96,30 @@ def test_no_language_is_learned_from_nothing(spark):
     assert row.first()["d"]["lang"] == "und"
 
 
-def test_too_many_languages_are_refused(spark):
-    rows = [(i, "text", f"l{i}", None, None) for i in range(5)]
-    with pytest.raises(ValueError):
-        language.train_language_model(documents(spark, rows), most_languages=4)
+def test_any_number_of_languages(spark):
+    """Seventy languages in groups of 64 are told apart, and like a single group tells them."""
+    rows = [(i, f"{chr(0x4E00 + i)}{chr(0x4E01 + i)} " * 9, f"l{i:02}", None, None) for i in range(70)]
+    docs = documents(spark, rows)
+    models = [language.train_language_model(docs, together=n) for n in (64, 100)]
+    assert len(models[0].names) == 70 and len(models[0].parts) == 2 and not models[1].parts
+    codes = language.Codes().of([rows[3][1], rows[69][1]])[0]
+    assert np.allclose(*[m.log_probabilities(codes) for m in models], atol=1e-6)
+    found = docs.select("lang", language.detect(models[0])("text").alias("d")).collect()
+    assert all(r["d"]["lang"] == r["lang"] for r in found)
+
+
+def test_stretches_carry_what_comes_before(monkeypatch):
+    texts = ["Ab  c!! d\U00020041 e\n\n\n\n\nfgh \u0130x ", None, "", "zz\x01z", "... ..", "  a"]
+    reader = language.Codes()
+    whole = [reader.of([t or ""])[0].tolist() for t in texts]
+    for size in (1, 2, 3, 5, 100):
+        monkeypatch.setattr(language, "_STRETCH", size)
+        codes = [[] for _ in texts]
+        for rows, parts, heads in language._stretches(texts):
+            found, owner, _ = reader.of(parts, heads)
+            for code, part in zip(found.tolist(), owner.tolist()):
+                codes[rows[part]].append(code)
+        assert codes == whole
 
 
 # ---- quality ----------------------------------------------------------------
