@@ -131,7 +131,8 @@ def test_a_late_row_finds_its_previous_row_behind_newer_ones(spark, tmp_path, me
     late = [txn("a3", "amy", after(days=4), country="US"), txn("a4", "amy", after(days=4, minutes=5)),
             txn("b3", "bob", after(days=2))]
     for number, rows in enumerate([*known, late]):
-        process_batch(rows_to_feed(spark, rows), number, root, GATE, RULES, merge_at=merge_at, buckets=3)
+        process_batch(rows_to_feed(spark, rows), number, root, GATE, RULES,
+                      merge_at=merge_at, buckets=3, search_late=True)
     fired = {row.txn_id: "dormant_reactivation" in row.triggered_rules
              for row in read_output(spark, root, "alerts").collect()}
     assert fired == {"a1": False, "b1": False, "a2": True, "b2": True,

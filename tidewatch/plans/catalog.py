@@ -572,7 +572,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     what had arrived."""
     number = F.substring("txn_id", 2, 20).cast("long")
     delay = F.when(number % 11 == 0, 2).when(number % 5 == 0, 1).otherwise(0)
-    return _show_alerts(read_output(spark, _stream_root(spark, folder, start_stream, delay), "alerts"))
+    start = partial(start_stream, search_late=True)
+    return _show_alerts(read_output(spark, _stream_root(spark, folder, start, delay), "alerts"))
 
 
 @_register("stream_counters")

@@ -2,8 +2,8 @@
 
 Contract: alerts equal those of a batch run over all files when every account's
 rows arrive in time order and rows of one second arrive in one micro-batch. A
-late row is judged against what is known when it arrives, however far back that
-lies; verdicts already written are not revised.
+late row is judged against what is known when it arrives, with ``search_late``
+however far back that lies; verdicts already written are not revised.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def _before_late_rows(pool: DataFrame, overtaken: DataFrame, state: StateTables)
 
 def derive_with_history(
     new: DataFrame, state: StateTables, since: Mapping[int, dt.date],
-    limits: SkewLimits = DEFAULT_LIMITS,
+    limits: SkewLimits = DEFAULT_LIMITS, search_late: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(History columns of a batch's clean rows, as if all earlier rows were there; a cached
     frame behind it, to be given up after use).
@@ -88,7 +88,8 @@ def derive_with_history(
     The rolling frames need a day of earlier rows, of this batch's accounts only: ``since``
     has the date of the first row per bucket of accounts. What lies further back enters as
     one row per account (previous row) and one count per account and payee (payee ordinal).
-    Only for accounts whose rows come late, behind that one row, is older history searched.
+    With ``search_late`` older history is searched for accounts whose rows come late, behind
+    that one row; else such a row has no previous one.
     """
     seconds = F.col("txn_ts").cast("long")
     bounds = new.groupBy("account_id").agg(F.min(seconds).alias("_since")).select(
@@ -114,8 +115,10 @@ def derive_with_history(
         bounds, _same("account_id", "_account"), "left_semi"
     )).join(bounds, _same("account_id", "_account"))
     reach = F.col("_since") - DAY_SECONDS
-    before = last.filter(F.col("last.epoch") < reach).select("_account", "last").unionByName(
-        _before_late_rows(pool, last.filter(F.col("last.epoch") >= reach), state))
+    before = last.filter(F.col("last.epoch") < reach).select("_account", "last")
+    if search_late:
+        before = before.unionByName(
+            _before_late_rows(pool, last.filter(F.col("last.epoch") >= reach), state))
     older = before.select("_account", F.col("last.epoch").alias("_old_epoch"),
                           F.col("last.country").alias("_old_country"))
     paid = fold_payees(state.payees(since).join(
@@ -160,6 +163,7 @@ def process_batch(
     limits: SkewLimits = DEFAULT_LIMITS,
     merge_at: int = MERGE_AT,
     buckets: int = BUCKETS,
+    search_late: bool = False,
 ) -> None:
     """Gate and score one micro-batch; write outputs and state below ``root``.
 
@@ -183,7 +187,7 @@ def process_batch(
         clean, quarantined = split_dq(annotated)
         new = clean.select(*CORE_COLUMNS)
         since, dates = _clean_dates(new, state.buckets)
-        derived, pool = derive_with_history(new, state, since, limits)
+        derived, pool = derive_with_history(new, state, since, limits, search_late)
         frames.append(pool)
         alerts = configured_alerts(score_derived(derived, rules_config), rules_config)
         stored = project_alerts(tag_run(alerts, run_id), flags=True)
@@ -225,6 +229,7 @@ def start_stream(
     limits: SkewLimits = DEFAULT_LIMITS,
     merge_at: int = MERGE_AT,
     buckets: int = BUCKETS,
+    search_late: bool = False,
 ) -> StreamingQuery:
     """Start the job over a landing directory.
 
@@ -237,6 +242,7 @@ def start_stream(
         process_batch(
             batch, batch_id, root, dq_config, rules_config,
             run_id=run_id, limits=limits, merge_at=merge_at, buckets=buckets,
+            search_late=search_late,
         )
 
     feed = stream_feed(spark, landing, capture=capture, max_files=max_files)
