@@ -64,7 +64,7 @@ def test_model_equals_plain_kneser_ney(spark):
 
 def test_long_texts_are_scored_whole():
     reader = language.Codes()
-    model = language.LanguageModel(["l"], [], np.array([-2.0]), 20)
+    model = language.LanguageModel(["l"], [], np.array([-2.0]))
     model.levels = [language.Level(np.empty(0, np.uint32), np.empty((0, 1)), np.empty(0, np.uint32),
                                    np.empty((0, 1))) for _ in range(4)]
     entropy, lettered = model.cross_entropies(["ab " * 400_000, None, "", "12 3"], reader)
@@ -108,8 +108,29 @@ def test_any_number_of_languages(spark):
     assert all(r["d"]["lang"] == r["lang"] for r in found)
 
 
+def test_more_codes_than_any_fixed_number_of_slots(spark):
+    """Over 2^20 distinct codes, each answered as plain dictionaries answer it."""
+    rng = random.Random(5)
+    text = "".join(rng.choices([chr(0x4E00 + i) for i in range(9000)], k=1_100_000))
+    model = language.train_language_model(documents(spark, [(1, text, "zz", None, None)]))
+    assert len(model.levels[3].codes) > 2**20
+    grams = brute_model([text])
+    alphabet = round(float(np.exp(-model.base[0])))
+    codes = language.Codes().of([text[500:503] + "\u4e01\u4e02\u9fa5"])[0][-3:]
+    want = [np.log(brute_probability(grams, alphabet, c)) for c in codes.tolist()]
+    assert np.allclose(model.log_probabilities(codes)[:, 0], want, atol=1e-4)
+
+
+def test_letters_beyond_the_first_plane_stay_apart():
+    reader = language.Codes()
+    one, other, symbol, gap = (reader.of([t])[0].tolist() for t in (
+        "a\U00020041b", "a\U00020100b", "a\U0001f600b", "a b"))
+    assert len(one) == 4 and len(set(one) & set(other)) == 2 and symbol == gap
+    assert reader.of(["\U00020041", "\U0001f600"])[2].tolist() == [True, False]
+
+
 def test_stretches_carry_what_comes_before(monkeypatch):
-    texts = ["Ab  c!! d\U00020041 e\n\n\n\n\nfgh \u0130x ", None, "", "zz\x01z", "... ..", "  a"]
+    texts = ["Ab  c!! d\U00020041 e\n\n\n\n\nfgh \u0130x ", "\U00020041\U00020100b\U0001f600\U0001f601c", None, "", "zz\x01z", "... ..", "  a"]
     reader = language.Codes()
     whole = [reader.of([t or ""])[0].tolist() for t in texts]
     for size in (1, 2, 3, 5, 100):
