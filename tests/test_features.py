@@ -9,7 +9,7 @@ import pytest
 from conftest import NOON, after, txn
 from pyspark.sql import functions as F
 
-from tidewatch import SkewLimits, derive, heavy_accounts, rows_to_feed
+from tidewatch import SkewLimits, amount_bins, derive, heavy_accounts, rows_to_feed
 from tidewatch.functions import money
 from tidewatch.schema import CORE_COLUMNS
 
@@ -125,7 +125,9 @@ WIDE = [
     ([1e-12] * 8, 8e-12), ([-3.25, 1e15, -1e15], -3.25), ([1e30, 5.0, 1e29], 1.1e30),
     ([2.0**70, -(2.0**70), 0.5], 0.5), ([-1e-9, 1e-9, 7.0], 7.0), ([math.inf, 1.0], math.inf),
     ([-math.inf, 1.0], -math.inf), ([math.inf, -math.inf], math.nan), ([math.nan, 2.0], math.nan),
-    ([None, None], None), ([None, 2.5], 2.5),
+    ([None, None], None), ([None, 2.5], 2.5), ([4e-19] * 1200, 4.8e-16), ([1e300, 5.0, -1e300], 5.0),
+    ([1e42, 5e24, -1e42], 5e24), ([5e-324, 1e-300, -1e-300], 5e-324), ([1.7e308, -1.7e308, -2.5], -2.5),
+    ([1e308, 1e308], math.inf), ([1e30, 1e-30, -1e30], 1e-30), ([-1e40, 1e25], -1e40 + 1e25),
 ]
 
 
@@ -144,15 +146,56 @@ def test_totals_of_any_amounts_on_all_routes(spark, amounts, want):
         derived = derive(rows_to_feed(spark, rows), **options).collect()
         got = {row.txn_id: row.amount_last_day for row in derived}
         assert same(got[f"{len(amounts) - 1:04d}"], want) and got["later"] == 0.75
-    total = rows_to_feed(spark, rows[:-1]).agg(money.exact_sum(F.col("amount"))).first()[0]
+    total = money.exact_total(rows_to_feed(spark, rows[:-1])).first()[0]
     assert same(total, want)
 
 
+def test_amounts_that_left_the_frame_leave_nothing_behind(spark):
+    """Whatever was added before: a total is that of its own day."""
+    amounts = [1e42, 5e24, 4e-19, 1e300, 0.25, 2.0**-1074, 1e25]
+    rows = [txn(str(i), "A", after(days=3 * i), a) for i, a in enumerate(amounts)]
+    for options in ({"heavy": []}, {"heavy": ["A"]}):
+        got = {r.txn_id: r.amount_last_day for r in derive(rows_to_feed(spark, rows), **options).collect()}
+        assert [got[str(i)] for i in range(len(amounts))] == amounts
+
+
+def test_units_of_every_bin_give_amounts_back(spark):
+    """Each power of two and its neighbours, as the one amount of a total."""
+    powers = [2.0**e for e in range(-1074, 1024)]
+    amounts = powers + [np.nextafter(p, 0) for p in powers] + [-p * 1.7 for p in powers[1:-1]]
+    amounts = [float(a) for a in amounts if a and math.isfinite(a)]
+    amount, bin_ = F.col("a"), money.wide_bin(F.col("a"))
+    wide = spark.createDataFrame([(a,) for a in amounts], "a double").filter(bin_.isNotNull())
+    pair = F.struct(bin_.alias("bin"), money.wide_units(amount, bin_).alias("units"))
+    found = wide.select("a", bin_.alias("bin"), money.wide_total(F.array(pair)).alias("total")).collect()
+    assert len(found) > 5500 and all(row.a == row.total for row in found)
+    assert {row.bin for row in found} <= set(money.BINS)
+
+
+def test_wide_totals_are_rounded_sums_in_any_order(spark):
+    rng = random.Random(11)
+    amounts = [rng.choice([-1, 1]) * rng.uniform(1, 10) * 10.0**rng.randint(25, 90) for _ in range(400)]
+    amounts += [-a for a in amounts[:395]]
+    frame = spark.createDataFrame([(a, rng.random()) for a in amounts], "a double, r double")
+    totals = {money.exact_total(frame.repartition(n, "r"), "a").first()[0] for n in (1, 3, 7)}
+    assert len(totals) == 1 and totals.pop() == pytest.approx(math.fsum(amounts), rel=1e-15)
+
+
+def test_an_ordinary_feed_has_no_bins(spark):
+    feed = rows_to_feed(spark, [txn(str(i), "A", NOON, a) for i, a in enumerate(
+        [0.0, 0.005, 19.99, 1e20, None, math.nan, math.inf, 1e-12])])
+    assert amount_bins(feed) == []
+    assert amount_bins(feed.limit(0)) == []
+    assert len(amount_bins(rows_to_feed(spark, [txn("1", "A", NOON, 1e30), txn("2", "A", NOON, 4e-19)]))) == 2
+
+
 @pytest.mark.parametrize("amounts,want", WIDE)
 def test_array_totals_equal_column_totals(amounts, want):
     present = np.array([a is not None for a in amounts])
     values = np.array([0.0 if a is None else a for a in amounts])
-    sums = {name: part.sum() for name, part in money.array_parts(values, present).items()}
+    parts = money.array_parts(values, present)
+    sums = {name: part.sum() for name, part in parts.items()}
+    sums["huge"] = money.huge_total(parts["huge"])
     if want is not None:
         assert same(float(money.array_total(sums)), want)
     assert (sums["amounts"] == 0) == (want is None)

@@ -4,6 +4,7 @@ import math
 
 import pytest
 from conftest import NOON, after, txn
+from pyspark.sql import functions as F
 
 from tidewatch import (
     DEFAULT_DQ, DEFAULT_RULES, alerts_by_band, alerts_by_rule, annotate_dq, apply_dq,
@@ -46,7 +47,8 @@ def test_reconcile_of_nothing_and_of_nan(spark):
     assert reconcile(odd, *apply_dq(odd, DEFAULT_DQ)).first().status == "FAIL"
 
 
-@pytest.mark.parametrize("amounts", [[100.0, 2e11], [1e20, 3.0, -7.5], [4e-7] * 300, [1e30, 1.0]])
+@pytest.mark.parametrize("amounts", [[100.0, 2e11], [1e20, 3.0, -7.5], [4e-7] * 300, [1e30, 1.0],
+                                     [1e25 * 10 ** (i % 8) for i in range(400)], [1e300, -1e300, 4e-19]])
 def test_reconcile_of_amounts_of_any_size(spark, amounts):
     source = rows_to_feed(spark, [txn(str(i), "A", NOON, a) for i, a in enumerate(amounts)])
     annotated = annotate_dq(source, DEFAULT_DQ)
@@ -55,6 +57,14 @@ def test_reconcile_of_amounts_of_any_size(spark, amounts):
     assert reconcile_gated(source, annotated).first() == by_sides
 
 
+def test_reconcile_finds_a_break_beside_huge_amounts(spark):
+    source = rows_to_feed(spark, [txn("1", "A", NOON, 1e300), txn("2", "A", NOON, 7.5)])
+    clean, quarantined = source, source.limit(0)
+    row = reconcile(source, clean.withColumn("amount", F.when(F.col("txn_id") == "2", 5.0)
+                                             .otherwise(F.col("amount"))), quarantined).first()
+    assert (row.amount_break, row.status) == (2.5, "FAIL")
+
+
 def test_gated_reports_equal_those_of_the_sides(spark, parts):
     source, clean, quarantined, alerts = parts
     annotated = annotate_dq(source, DEFAULT_DQ)

@@ -5,7 +5,7 @@ from tidewatch.config import (
 )
 from tidewatch.functions.checks import register_check
 from tidewatch.functions.rules import register_rule
-from tidewatch.operators.features import derive, heavy_accounts
+from tidewatch.operators.features import amount_bins, derive, heavy_accounts
 from tidewatch.operators.gate import annotate_dq, apply_dq, dq_summary, mark_duplicates, split_dq
 from tidewatch.operators.reports import (
     alerts_by_band, alerts_by_rule, batch_counters, preview, ranked_alerts, reconcile,

@@ -47,33 +47,44 @@ def _rolling(column: str, seconds: int) -> Column:
     return F.coalesce(now, F.lit(0)) - F.coalesce(old, F.lit(0))
 
 
-_PARTS = ["_rows", *money.PARTS]
+def _wide_part(bin_: int) -> str:
+    return f"_wide_{bin_}".replace("-", "m")
 
 
-def _parts_of_row() -> dict[str, Column]:
-    """What the rolling frames add up: 1 and the parts of the amount."""
-    parts = money.parts(F.col("amount"))
-    rare = ("_huge", "_odd")  # NULL on ordinary rows, which sums pass over
-    added = {
-        name: part if name in rare else F.coalesce(part, F.lit(0)) for name, part in parts.items()
+def _is_rare(part: str) -> bool:
+    """NULL on ordinary rows, which sums pass over."""
+    return part == "_odd" or part.startswith("_wide")
+
+
+def _parts_of_row(bins: list[int]) -> dict[str, Column]:
+    """What the rolling frames add up: 1, the parts of the amount, and wide amounts by bin."""
+    amount = F.col("amount")
+    parts = {
+        name: part if _is_rare(name) else F.coalesce(part, F.lit(0))
+        for name, part in money.parts(amount).items()
     }
-    return {"_rows": F.lit(1).cast("long"), **added}
+    own = money.wide_bin(amount)
+    wide = {_wide_part(bin_): F.when(own == bin_, money.wide_units(amount, own)) for bin_ in bins}
+    return {"_rows": F.lit(1).cast("long"), **parts, **wide}
+
+
+def _day_columns(bins: list[int]) -> list[str]:
+    return [f"_day{part}" for part in [*money.PARTS, *map(_wide_part, bins)]]
 
 
-def _rolling_parts(df: DataFrame) -> DataFrame:
-    day = {f"_day{part}": _rolling(part, DAY_SECONDS) for part in _PARTS[1:]}
+def _rolling_parts(df: DataFrame, bins: list[int]) -> DataFrame:
+    day = {name: _rolling(name.removeprefix("_day"), DAY_SECONDS) for name in _day_columns(bins)}
     return df.withColumns({"txns_last_hour": _rolling("_rows", HOUR_SECONDS), **day})
 
 
-def _amount_last_day() -> Column:
-    return money.total({part: F.col(f"_day{part}") for part in money.PARTS})
+def _amount_last_day(bins: list[int]) -> Column:
+    wide = money.wide_array({bin_: F.col(f"_day{_wide_part(bin_)}") for bin_ in bins})
+    return money.total({part: F.col(f"_day{part}") for part in money.PARTS}, wide)
 
 
-# Columns that both routes add to the input.
-_ROUTE_COLUMNS = [
-    "prev_country", "prev_epoch", "txns_last_hour", *[f"_day{part}" for part in _PARTS[1:]],
-    "beneficiary_seq",
-]
+def _route_columns(bins: list[int]) -> list[str]:
+    """Columns that both routes add to the input."""
+    return ["prev_country", "prev_epoch", "txns_last_hour", *_day_columns(bins), "beneficiary_seq"]
 
 
 def _tie_breaks(df: DataFrame) -> list[str]:
@@ -84,7 +95,7 @@ def _paid(counted: str | None) -> Column:
     return F.col(counted).cast("int") if counted else F.lit(1)
 
 
-def _by_windows(df: DataFrame, counted: str | None) -> DataFrame:
+def _by_windows(df: DataFrame, counted: str | None, bins: list[int]) -> DataFrame:
     order = ["_at", *_tie_breaks(df)]
     account = Window.partitionBy("account_id").orderBy(*order)
     payee = Window.partitionBy("account_id", "beneficiary_id").orderBy(*order).rowsBetween(
@@ -96,11 +107,11 @@ def _by_windows(df: DataFrame, counted: str | None) -> DataFrame:
         "prev_country": F.lag("country").over(account),
         "prev_epoch": F.lag("_epoch").over(account),
     })
-    rolled = _rolling_parts(previous.withColumns(_parts_of_row()))
+    rolled = _rolling_parts(previous.withColumns(_parts_of_row(bins)), bins)
     ranked = rolled.withColumn(
         "beneficiary_seq", F.sum(_paid(counted)).over(payee).cast("int")
     )
-    return ranked.select(*df.columns, *_ROUTE_COLUMNS)
+    return ranked.select(*df.columns, *_route_columns(bins))
 
 
 # Slices of one account-second, and sampled rows per slice that place them.
@@ -155,26 +166,27 @@ def _matches(columns: dict[str, str]) -> Column:
     return reduce(and_, pairs)
 
 
-def _by_seconds(df: DataFrame, counted: str | None, limits: SkewLimits) -> DataFrame:
+def _by_seconds(
+    df: DataFrame, counted: str | None, limits: SkewLimits, bins: list[int]
+) -> DataFrame:
     """The same columns for heavy accounts; no window spans an account's rows."""
     ties = _tie_breaks(df)
     columns = df.columns
     df = _with_slices(df, limits)
     units = df.groupBy("account_id", "_epoch", "_at", "_slice").agg(
         # Decimals: an account's sums may outgrow a bigint here.
-        *[F.sum(value if part in ("_huge", "_odd") else value.cast("decimal(20,0)")).alias(part)
-          for part, value in _parts_of_row().items()],
+        *[F.sum(value if _is_rare(part) else value.cast("decimal(20,0)")).alias(part)
+          for part, value in _parts_of_row(bins).items()],
         F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
     )
     line = Window.partitionBy("account_id").orderBy("_at", "_slice")
     timeline = _rolling_parts(units.withColumns({
         "_before_country": F.lag("_last.country").over(line),
         "_before_epoch": F.lag("_epoch").over(line),
-    })).select(
+    }), bins).select(
         F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"),
         F.col("_slice").alias("_s"), "_before_country", "_before_epoch",
-        F.col("txns_last_hour").cast("long").alias("txns_last_hour"),
-        *[f"_day{part}" for part in _PARTS[1:]],
+        F.col("txns_last_hour").cast("long").alias("txns_last_hour"), *_day_columns(bins),
     )
     earlier = (
         Window.partitionBy("account_id", "beneficiary_id").orderBy("_epoch", "_slice")
@@ -212,7 +224,7 @@ def _by_seconds(df: DataFrame, counted: str | None, limits: SkewLimits) -> DataF
         F.when(leads, F.col("_before_country")).otherwise(F.col("_peer_country"))
         .alias("prev_country"),
         F.when(leads, F.col("_before_epoch")).otherwise(F.col("_epoch")).alias("prev_epoch"),
-        "txns_last_hour", *[f"_day{part}" for part in _PARTS[1:]],
+        "txns_last_hour", *_day_columns(bins),
         (F.col("_paid_before") + F.col("_payee_place")).cast("int").alias("beneficiary_seq"),
     )
 
@@ -222,10 +234,16 @@ def heavy_accounts(feed: DataFrame, limits: SkewLimits = DEFAULT_LIMITS) -> list
     return heavy_keys(feed, "account_id", limits)
 
 
+def amount_bins(feed: DataFrame) -> list[int]:
+    """Bins of a feed's amounts that are too large or too small for the ordinary parts."""
+    return money.wide_bins(feed)
+
+
 def derive(
     df: DataFrame,
     *,
     heavy: list | None = None,
+    bins: list[int] | None = None,
     counted: str | None = None,
     limits: SkewLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -233,28 +251,31 @@ def derive(
 
     ``heavy`` lists the accounts for the compact route; when None they are
     counted on ``df`` itself. Counting them on the raw source and passing the
-    list saves running the plan behind ``df`` for it. ``counted`` names a boolean
+    list saves running the plan behind ``df`` for it. The same holds for ``bins``, what
+    :func:`amount_bins` says of ``df`` or of a feed that has all its rows. ``counted`` names a boolean
     column that tells which rows the payee ordinal counts; by default, all.
     """
     df = df.drop(*FEATURE_COLUMNS)  # of an earlier run
     if heavy is None:
         heavy = heavy_accounts(df, limits)
+    if bins is None:
+        bins = amount_bins(df)
     columns = df.columns
     timed = df.withColumn("_epoch", F.col("txn_ts").cast("timestamp").cast("long")).withColumn(
         "_at", F.coalesce("_epoch", F.lit(NO_TIME))
     )
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
-        featured = _by_windows(others, counted).unionByName(
-            _by_seconds(hot, counted, limits)
+        featured = _by_windows(others, counted, bins).unionByName(
+            _by_seconds(hot, counted, limits, bins)
         )
     else:
-        featured = _by_windows(timed, counted)
+        featured = _by_windows(timed, counted, bins)
     return featured.select(
         *columns,
         "_epoch",
         "txns_last_hour",
-        _amount_last_day().alias("amount_last_day"),
+        _amount_last_day(bins).alias("amount_last_day"),
         "prev_country",
         "prev_epoch",
         ((F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0)).alias("hours_since_prev"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -24,43 +25,63 @@ def _sided(df: DataFrame, side: str | Column) -> DataFrame:
 
 
 def _tally(stacked: DataFrame, *sides: str) -> DataFrame:
-    """One row with ``<side>_n`` and the sums of each side's amount parts, in one aggregation.
+    """One row with ``<side>_n``, the sums of each side's amount parts, and ``wide``: sums of
+    wide amounts per bin, an array of at most ``len(money.BINS)``.
 
     The sides are stacked as (side, amount) rows, so no join is needed to bring
-    their totals together.
+    their totals together. Ordinary rows are one group, combined on the map side.
     """
 
     def totals(side: str) -> list[Column]:
         here = F.col("side") == side
         parts = money.sums(F.when(here, F.col("amount")))
         return [F.count_if(here).alias(f"{side}_n"),
-                *[F.coalesce(value, F.lit(0)).alias(side + part) for part, value in parts.items()]]
+                *[value.alias(side + part) for part, value in parts.items()],
+                F.sum(F.when(here, money.wide_units(F.col("amount"), F.col("bin")))).alias(f"{side}_wide")]
 
-    return stacked.agg(*[column for side in sides for column in totals(side)])
+    def added(side: str) -> list[Column]:
+        return [F.coalesce(F.sum(name), F.lit(0)).alias(name)
+                for name in [f"{side}_n", *[side + part for part in money.PARTS]]]
+
+    by_bin = stacked.withColumn("bin", money.wide_bin(F.col("amount"))).groupBy("bin").agg(
+        *[column for side in sides for column in totals(side)])
+    wide = F.struct("bin", *[
+        F.coalesce(f"{side}_wide", F.lit(0)).cast(money.WIDE).alias(side) for side in sides])
+    return by_bin.agg(
+        *[column for side in sides for column in added(side)],
+        F.collect_list(F.when(F.col("bin").isNotNull(), wide)).alias("wide"))
+
+
+def _wide_of(units: Callable[[Column], Column]) -> Column:
+    return F.transform("wide", lambda item: F.struct(
+        item["bin"].alias("bin"), units(item).cast(money.WIDE).alias("units")))
 
 
 def _parts_of(*sides: str) -> dict[str, Column]:
     return {part: reduce(add, [F.col(side + part) for side in sides]) for part in money.PARTS}
 
 
-def _cents(parts: dict[str, Column]) -> Column:
-    return F.coalesce(F.round(money.total(parts), 2), F.lit(0.0))
+def _cents(parts: dict[str, Column], wide: Column) -> Column:
+    return F.coalesce(F.round(money.total(parts, wide), 2), F.lit(0.0))
 
 
 def _balance(tally: DataFrame, *keep: str) -> DataFrame:
     """Breaks are taken between exact sums, so sides that tie do so at any size of amount."""
     source, split = _parts_of("source"), _parts_of("clean", "quarantined")
     gap = {part: source[part] - split[part] for part in money.PARTS}
+    source_wide = _wide_of(lambda item: item["source"])
+    split_wide = _wide_of(lambda item: item["clean"] + item["quarantined"])
+    gap_wide = _wide_of(lambda item: item["source"] - (item["clean"] + item["quarantined"]))
     settled = tally.select(
         F.col("source_n").alias("source_count"),
         F.col("clean_n").alias("clean_count"),
         F.col("quarantined_n").alias("quarantined_count"),
         (F.col("source_n") - (F.col("clean_n") + F.col("quarantined_n"))).alias("count_break"),
-        _cents(source).alias("source_amount"),
-        _cents(split).alias("split_amount"),
+        _cents(source, source_wide).alias("source_amount"),
+        _cents(split, split_wide).alias("split_amount"),
         # NaN or an infinity on either side leaves no difference, as it does between doubles.
         F.when(source["_odd"] + split["_odd"] > 0, F.lit(float("nan")))
-        .otherwise(_cents({**gap, "_amounts": F.lit(1)})).alias("amount_break"),
+        .otherwise(_cents({**gap, "_amounts": F.lit(1)}, gap_wide)).alias("amount_break"),
         *keep,
     )
     # NaN sorts above every number, so a NaN break is never below the tolerance.

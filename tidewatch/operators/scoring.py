@@ -66,6 +66,7 @@ def score(
     rules_config: Mapping[str, Any],
     *,
     heavy: list | None = None,
+    bins: list[int] | None = None,
     limits: SkewLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """History columns, a flag per enabled rule, rule list, score and band.
@@ -73,7 +74,7 @@ def score(
     Rows that skipped the gate are accepted; NULL accounts then share one history.
     """
     compile_rules(rules_config)  # a bad configuration fails before any job runs
-    return score_derived(derive(df, heavy=heavy, limits=limits), rules_config)
+    return score_derived(derive(df, heavy=heavy, bins=bins, limits=limits), rules_config)
 
 
 def _known(min_band: str) -> str:

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.rules import compile_rules
-from tidewatch.operators.features import heavy_accounts
+from tidewatch.operators.features import amount_bins, heavy_accounts
 from tidewatch.operators.gate import annotate_dq, dq_summary, split_dq
 from tidewatch.operators.reports import run_metrics
 from tidewatch.operators.scoring import configured_alerts, score, tag_run
@@ -58,7 +58,8 @@ def run_batch(
         annotated = annotate_dq(source, dq_config, limits=limits)
         clean, quarantined = split_dq(work.write(annotated, "gated", "dq_passed"))
 
-        scored = score(clean, rules_config, heavy=heavy_accounts(source, limits))
+        scored = score(clean, rules_config, heavy=heavy_accounts(source, limits),
+                       bins=amount_bins(source))
         alerts = tag_run(configured_alerts(scored, rules_config), run_id)
         paths = write_outputs(out, alerts, quarantined, dq_summary(quarantined))
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch.config import DEFAULT_DQ, DEFAULT_RULES, with_params
 from tidewatch.functions.rules import compile_rules
 from tidewatch.operators import reports
-from tidewatch.operators.features import FEATURE_COLUMNS, derive, heavy_accounts
+from tidewatch.operators.features import FEATURE_COLUMNS, amount_bins, derive, heavy_accounts
 from tidewatch.operators.gate import (
     annotate_dq, apply_dq, dq_summary, mark_duplicates, quarantine_view, split_dq,
 )
@@ -81,7 +81,7 @@ def _gated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
 
 def _derived(spark: SparkSession, folder: str) -> DataFrame:
     source, clean, _ = _gated(spark, folder)
-    return derive(clean, heavy=heavy_accounts(source))
+    return derive(clean, heavy=heavy_accounts(source), bins=amount_bins(source))
 
 
 def _scored(
@@ -89,13 +89,14 @@ def _scored(
 ) -> DataFrame:
     source = event_feed(spark, folder)
     clean, _ = apply_dq(source, DEFAULT_DQ, limits=limits)
-    return score(clean, EVENT_RULES, heavy=heavy_accounts(source, limits))
+    return score(
+        clean, EVENT_RULES, heavy=heavy_accounts(source, limits), bins=amount_bins(source))
 
 
 def _scored_orders(spark: SparkSession, folder: str) -> DataFrame:
     source = order_feed(spark, folder)
     clean, _ = apply_dq(source, DEFAULT_DQ)
-    return score(clean, DEFAULT_RULES, heavy=heavy_accounts(source))
+    return score(clean, DEFAULT_RULES, heavy=heavy_accounts(source), bins=amount_bins(source))
 
 
 def _alerts(spark: SparkSession, folder: str) -> DataFrame:
@@ -299,7 +300,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """Ninety days of silence, on the orders feed that spans years."""
     source = order_feed(spark, folder)
     clean, _ = apply_dq(source, DEFAULT_DQ)
-    derived = derive(clean, heavy=heavy_accounts(source))
+    derived = derive(clean, heavy=heavy_accounts(source), bins=amount_bins(source))
     return _rule_hits(derived, DEFAULT_RULES, "dormant_reactivation")
 
 
@@ -361,7 +362,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     of its days is one second shared by several rows."""
     source = order_feed(spark, folder).withColumn("account_id", F.lit("ACC"))
     clean, _ = apply_dq(source, DEFAULT_DQ)
-    scored = score(clean, DEFAULT_RULES, heavy=["ACC"], limits=SkewLimits(group_rows=3))
+    scored = score(clean, DEFAULT_RULES, heavy=["ACC"], bins=amount_bins(source),
+                   limits=SkewLimits(group_rows=3))
     return _show_scored(scored)
 
 
@@ -478,7 +480,7 @@ def _kept_alerts(
     """(source, annotated feed, alerts), all from one run of the gate."""
     source, annotated = _kept_gate(spark, folder)
     clean, _ = split_dq(annotated)
-    scored = score(clean, EVENT_RULES, heavy=heavy_accounts(source))
+    scored = score(clean, EVENT_RULES, heavy=heavy_accounts(source), bins=amount_bins(source))
     return source, annotated, configured_alerts(scored, EVENT_RULES)
 
 

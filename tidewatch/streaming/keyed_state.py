@@ -226,7 +226,7 @@ class AccountHistory(StatefulProcessor):
                 value = part["huge"].to_numpy("float64")
                 hits = np.concatenate([[0], np.cumsum(value != 0)])
                 for row in np.flatnonzero(hits[end] > hits[first]):
-                    result[row] += value[first[row]:end[row]].sum()
+                    result[row] = money.huge_total([result[row], *value[first[row]:end[row]]])
             return result
 
         day = {name: rolling(name, DAY_SECONDS) for name in money.ARRAY_COUNTS}
@@ -251,9 +251,10 @@ class AccountHistory(StatefulProcessor):
 
         both = both.assign(day=day_of(both))
         touched = added[["code"]].assign(day=day_of(added)).drop_duplicates()
+        huge = money.huge_total if both["huge"].any() else "sum"
         both = both.merge(touched, on=["code", "day"]).groupby(
             ["code", "day", "epoch"], as_index=False).agg(
-            {**{name: "sum" for name in [*_SUMS, "huge"]}, "country": _last_value})
+            {**{name: "sum" for name in _SUMS}, "huge": huge, "country": _last_value})
         days: dict[int, set[int]] = {}
         for (number, day), rows in both.groupby(["code", "day"]):
             held = tuple(rows[name].tolist() for name in ["epoch", *_SUMS, "huge", "country"])
