@@ -5,10 +5,14 @@ import hashlib
 import math
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from llm_frames import awkward, documents, with_clashes
+from tidewatch.llm import mixing, url_lists
 from tidewatch.llm.mixing import example_weights, mix_sources, source_rates
 from tidewatch.llm.url_lists import filter_urls, url_host, url_keys
 
@@ -197,3 +201,34 @@ def test_a_single_document_of_a_rare_source_does_not_stop_the_query(spark):
     rate = 60_001 / (20 * math.sqrt(3000) + 1)
     counts = {r[0]: r[1] for r in found}
     assert rate > 50 and abs(counts[None] - rate) < 5 * math.sqrt(rate)
+
+
+def same_as_sql(spark, folder, query, sql, name, rows):
+    """Query and SQL over one table; floats to twelve digits."""
+    pq.write_table(pa.Table.from_pylist(rows), f"{folder}/{name}.parquet")
+    found = query(spark, str(folder)).toPandas()
+    with duckdb.connect() as base:
+        base.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        want = base.execute(sql).df()[found.columns.tolist()]
+
+    def plain(frame):
+        return sorted(map(repr, frame.round(12).astype(object).values.tolist()))
+
+    assert plain(found) == plain(want) and len(found)
+    return found
+
+
+def test_sql_looks_up_parents_of_any_number_of_labels(spark, tmp_path):
+    """Hosts of up to twelve labels, so that entries for parents of seven and more decide."""
+    rows = [{"page_id": i, "url": f"http://{'.'.join(f'n{(i + j) % 3}' for j in range(2 + i % 11))}.org/a{i % 4}/x"}
+            for i in range(150)]
+    found = same_as_sql(spark, tmp_path, url_lists.op3_temporal_url_lists, url_lists.OP3_SQL, "pages", rows)
+    assert not found["kept"].all() and found["kept"].any()
+
+
+def test_sql_lists_counts_beyond_forty(spark, tmp_path):
+    """A source of one document among 2,000 of another has a rate near 44."""
+    rows = [{"doc_id": i, "text": "t", "lang": "xx", "source": "rare" if i % 2001 == 0 else "big", "n_chars": 1}
+            for i in range(2001)]
+    found = same_as_sql(spark, tmp_path, mixing.op4_poisson_mixing, mixing.OP4_SQL, "documents", rows)
+    assert found["copy"].max() >= 40

@@ -154,7 +154,8 @@ def _uniform(*parts: str) -> str:
     return f"CAST(('0x' || substr(md5({text}), 1, 12)) AS BIGINT) / {float(2**48)!r}"
 
 
-_LEVELS = 40
+# Counts that the SQL lists: beyond them lies less than 2^-48 of any rate up to 50.
+_LEVELS = 160
 
 OP4_SQL = f"""
 WITH held AS (SELECT source, CAST(count(*) AS DOUBLE) AS held FROM documents GROUP BY source),

@@ -179,8 +179,9 @@ WITH captures AS (
          SELECT page_id, day, host AS key FROM captures WHERE host IS NOT NULL
          UNION ALL
          SELECT page_id, day, array_to_string(string_split(host, '.')[-n:], '.')
-         FROM captures, range(2, {_MOST_LABELS + 1}) t(n)
-         WHERE host IS NOT NULL AND n <= len(string_split(host, '.'))
+         FROM (SELECT page_id, day, host,
+                      unnest(range(2, len(string_split(host, '.')) + 1)) AS n
+               FROM captures WHERE host IS NOT NULL)
          UNION ALL
          SELECT page_id, day, host || '/' || segment FROM captures
          WHERE host IS NOT NULL AND segment <> '')),
