@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import SkewLimits, amount_bins, derive, heavy_accounts, rows_to_feed
 from tidewatch.functions import money
+from tidewatch.operators import features
 from tidewatch.schema import CORE_COLUMNS
 
 TIES = ["txn_ts", "txn_id", "customer_id", "beneficiary_id", "amount", "currency", "channel",
@@ -235,3 +236,19 @@ def test_input_columns_pass_through(spark):
     for heavy in ([], ["A"]):
         derived = derive(feed, heavy=heavy)
         assert derived.columns[:11] == [*CORE_COLUMNS, "note"] and derived.first().note == "kept"
+
+
+def test_slices_are_found_by_halving(spark):
+    """The place of a key among any number of split points, without a comparison per point."""
+    for length in (0, 1, 2, 3, 127, 128, 999, 1001):
+        points = [(None if i < 1 else i // 2 * 2, "b") for i in range(length)]
+        keys = [(at, text) for at in (None, 0, 1, 2, 63, 64, 500, 998, 5000) for text in ("a", "b")]
+        rows = spark.createDataFrame(
+            [(*key, points) for key in keys], "a int, b string, _points array<struct<a:int,b:string>>")
+        key = F.struct("a", "b")
+        every = F.size(F.filter("_points", lambda point: point <= key))
+        found = features._points_passed(key)
+        assert rows.filter(found != every).count() == 0
+    assert "filter" not in str(found)
+    missing = rows.select(F.lit(None).cast("array<struct<a:int,b:string>>").alias("_points"), "a", "b")
+    assert {row[0] for row in missing.select(found).collect()} == {0}

@@ -152,12 +152,23 @@ def _with_slices(df: DataFrame, limits: SkewLimits) -> DataFrame:
     points = (
         shared.filter(F.col("_share") < F.col("_slices"))
         .groupBy("_a", "_e", "_share").agg(F.min("_key").alias("_key"))
-        .groupBy("_a", "_e").agg(F.collect_list("_key").alias("_points"))
+        .groupBy("_a", "_e").agg(F.sort_array(F.collect_list("_key")).alias("_points"))
     )
-    passed = F.filter("_points", lambda point: point <= key)
     return df.join(F.broadcast(points), here, "left").select(
-        *df.columns, F.coalesce(F.size(passed), F.lit(0)).alias("_slice")
-    )
+        *df.columns, _points_passed(key).alias("_slice"))
+
+
+def _points_passed(key: Column) -> Column:
+    """How many of the sorted ``_points`` are at most ``key``, by halving; none without points."""
+    steps = [1 << place for place in reversed(range(_MAX_SLICES.bit_length()))]
+
+    def halve(held: Column, step: Column) -> Column:
+        point = F.get("_points", held["passed"] + step - 1)
+        passed = F.when(point <= held["key"], held["passed"] + step).otherwise(held["passed"])
+        return F.struct(passed.alias("passed"), held["key"].alias("key"))
+
+    start = F.struct(F.lit(0).alias("passed"), key.alias("key"))
+    return F.aggregate(F.array(*map(F.lit, steps)), start, halve, lambda held: held["passed"])
 
 
 def _matches(columns: dict[str, str]) -> Column:
