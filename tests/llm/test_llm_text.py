@@ -80,6 +80,24 @@ def test_held_out_languages(spark):
     assert (out["lang_pred"] == out["lang"]).mean() > 0.98
 
 
+def test_calibration_covers_every_row(spark):
+    """Bounds of rejection from all rows, each scored by a model of the other folds."""
+    docs = documents(spark).filter("text IS NOT NULL AND lang IS NOT NULL").withColumn(
+        "fold", F.pmod(F.xxhash64("doc_id", "text"), F.lit(8)))
+    model = language.train_language_model(docs)
+    own, reader = {name: [] for name in model.names}, language.Codes()
+    for fold in range(8):
+        counts = language.count_codes(docs.filter(F.col("fold") != fold), text="text", lang="lang")
+        trial = language._built(counts, 64)
+        rows = [(r["text"], r["lang"]) for r in docs.filter(F.col("fold") == fold).collect()]
+        entropies, lettered = trial.cross_entropies([text for text, _ in rows], reader)
+        for (_, name), values in zip([r for r, has in zip(rows, lettered) if has], entropies[lettered]):
+            own[name].append(values[trial.names.index(name)])
+    assert sum(map(len, own.values())) > 50
+    want = [np.mean(own[name]) + 4 * max(np.std(own[name]), 0.02) for name in model.names]
+    assert np.allclose(model.worst, want, atol=1e-5)
+
+
 def test_detection_of_awkward_rows(spark):
     model = language.train_language_model(documents(spark))
     found = {r["doc_id"]: r["d"] for r in with_clashes(documents(spark)).select(

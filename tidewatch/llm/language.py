@@ -17,8 +17,10 @@ ORDER = 4
 _EDGE, _GAP = 1, 32  # classes of the start of a text and of everything that is no letter
 _STRETCH = 500_000
 _START = chr(_EDGE) * (ORDER - 1)
-# One in this many rows is left out of the counts that calibration scores with.
-_ASIDE = 8
+# Rows are dealt into so many folds; each is scored by a model of the others for calibration.
+_FOLDS = 8
+# Values of the sharpness that calibration tries.
+_SHARPNESS = [1.0, 2.0, 5.0, 10.0, 20.0, 40.0, 80.0]
 _SIXTEEN = np.uint64(16)
 _HALVES = range(0xD800, 0xE000)  # UTF-16 halves of code points beyond the first 65,536
 
@@ -273,25 +275,53 @@ def build_model(counted: pd.DataFrame, alphabet: int) -> LanguageModel:
     return model
 
 
-def calibrate(model: LanguageModel, entropies: np.ndarray, truth: np.ndarray) -> float:
+def calibrate(model: LanguageModel, fits: pd.DataFrame) -> None:
     """Sharpness of the best likelihood over a grid, and rejection bounds per language: four
     deviations beyond the mean cross-entropy of its own texts, of all texts where it has
-    fewer than five. The bound of all texts is returned, infinite for fewer than two."""
-    own = entropies[np.arange(len(truth)), truth]
+    fewer than five, none for fewer than two of these.
 
-    def bound(some: np.ndarray) -> float:
-        return some.mean() + 4 * max(some.std(), 0.02)
+    ``fits`` has per language the sums over its texts that :func:`_fits` makes.
+    """
+    def bound(sums: pd.Series) -> float:
+        mean = sums["total"] / sums["n"]
+        return mean + 4 * max(np.sqrt(max(sums["squares"] / sums["n"] - mean**2, 0.0)), 0.02)
+
+    every = fits.sum()
+    common = bound(every) if every["n"] >= 2 else np.inf
+    own = {name: bound(sums) for name, sums in fits.iterrows() if sums["n"] >= 5}
+    model.worst = np.array([own.get(name, common) for name in model.names])
+    if every["n"]:
+        model.sharpness = _SHARPNESS[int(np.argmax(every[_FIT_COLUMNS[3:]].to_numpy(float)))]
+
+
+_FIT_COLUMNS = ["n", "total", "squares", *(f"fit_{i}" for i in range(len(_SHARPNESS)))]
 
-    common = bound(own) if len(own) >= 2 else np.inf
-    model.worst = np.array([
-        bound(own[truth == i]) if (truth == i).sum() >= 5 else common
-        for i in range(len(model.names))])
-    if len(truth):
-        grid = [1.0, 2.0, 5.0, 10.0, 20.0, 40.0, 80.0]
-        pairs = np.arange(len(truth)), truth
-        model.sharpness = max(
-            grid, key=lambda s: np.log(_chances(entropies, s)[pairs].clip(1e-9)).sum())
-    return common
+
+def _fits(rows: DataFrame, model: LanguageModel) -> pd.DataFrame:
+    """Per language of (text, lang) rows: number of texts with a letter, sums of their cross-entropies
+    and of the squares, and log-likelihoods per sharpness, added up where the rows are."""
+    number = {name: i for i, name in enumerate(model.names)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Codes()
+        for part in batches:
+            entropies, lettered = model.cross_entropies(part["text"].tolist(), reader)
+            truth = part["lang"].map(number)
+            known = lettered & truth.notna().to_numpy()
+            if not known.any():
+                continue
+            entropies = entropies[known]
+            pairs = np.arange(len(entropies)), truth[known].to_numpy(int)
+            own = entropies[pairs]
+            likely = [np.log(_chances(entropies, s)[pairs].clip(1e-9)) for s in _SHARPNESS]
+            values = [np.ones(len(own)), own, own**2, *likely]
+            out = pd.DataFrame(dict(zip(_FIT_COLUMNS, values, strict=True)))
+            yield out.groupby(part["lang"][known].to_numpy(object)).sum().rename_axis(
+                "lang").reset_index()
+
+    schema = "lang string, " + ", ".join(f"{name} double" for name in _FIT_COLUMNS)
+    return rows.mapInPandas(run, schema).groupBy("lang").agg(
+        *[F.sum(name).alias(name) for name in _FIT_COLUMNS]).toPandas()
 
 
 def _chances(entropies: np.ndarray, sharpness: float) -> np.ndarray:
@@ -337,52 +367,40 @@ def detect(model: LanguageModel) -> Column:
 
 def train_language_model(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    together: int = 64, sample_rows: int = 4000, tables: WorkTables | None = None,
+    together: int = 64, tables: WorkTables | None = None,
 ) -> LanguageModel:
     """Learn from every row with a text and a language.
 
     Counts cover all texts and are kept by whole code, so nothing merges: the arrays grow with the
     distinct codes of a language, which pass through the driver, not with its texts. Any number
-    of languages is learned; they are held in groups of ``together``, each with arrays of its own. Calibration leaves an eighth of the
-    rows, by a hash of ``key`` and text, out of a second model's counts and scores the first
-    ``sample_rows`` of them with that; a language of fewer than five such rows takes the bound of
-    all such rows together.
+    of languages is learned; they are held in groups of ``together``, each with arrays of its own.
+    Calibration covers all rows too: they are dealt into folds by a hash of ``key`` and text, and
+    each fold is scored by a model of the others' counts; a language of fewer than five such rows
+    takes the bound of all rows together.
     Rows of a NULL key count like others; without rows the model knows no language.
     """
     tables = tables or WorkTables(docs.sparkSession)
-    named, by = F.col(lang).cast("string"), F.xxhash64(F.col(key), F.col(text))
-    aside = F.pmod(by, F.lit(_ASIDE)) == 0
+    fold = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(_FOLDS))
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), named.alias("lang"), by.alias("by"), aside.alias("aside"))
-    marked = F.concat(F.when(F.col("aside"), "-").otherwise("+"), "lang")
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), fold.alias("fold"))
+    marked = F.concat(F.col("fold").cast("string"), "lang")
     found = tables.write(count_codes(
         rows.select("text", marked.alias("lang")), text="text", lang="lang"), "codes")
-    split = found.select(F.substring("lang", 2, 2**31 - 1).alias("lang"), "code", "n",
-                         F.col("lang").startswith("+").alias("learned"))
-    whole = split.groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    model = _built(whole, together)
-    trial = _built(split.filter("learned").drop("learned"), together)
-    if not trial.names:
-        return model
-    left_out = rows.filter("aside")
-    cut = left_out.select("by").orderBy("by").limit(sample_rows).agg(F.max("by")).first()[0]
-    sample = left_out.filter(F.col("by") <= F.lit(cut)).limit(sample_rows)
-    number = {name: i for i, name in enumerate(trial.names)}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Codes()
-        for part in batches:
-            entropies, lettered = trial.cross_entropies(part["text"].tolist(), reader)
-            out = pd.DataFrame({"truth": part["lang"].map(number), "values": list(entropies)})
-            yield out[lettered & out["truth"].notna()]
-
-    scored = sample.select("text", "lang").mapInPandas(
-        run, "truth long, values array<double>").toPandas()
-    values = np.array(scored["values"].tolist()).reshape(-1, len(trial.names))
-    common = calibrate(trial, values, scored["truth"].to_numpy(int))
-    known = dict(zip(trial.names, trial.worst, strict=True))
-    model.worst = np.array([known.get(name, common) for name in model.names])
-    model.sharpness = trial.sharpness
+    split = found.select(F.substring("lang", 1, 1).cast("int").alias("fold"),
+                         F.substring("lang", 2, 2**31 - 1).alias("lang"), "code", "n")
+
+    def learned(counts: DataFrame) -> LanguageModel:
+        return _built(counts.groupBy("lang", "code").agg(F.sum("n").alias("n")), together)
+
+    model = learned(split)
+    fits = []
+    for number in sorted(row[0] for row in split.select("fold").distinct().collect()):
+        trial = learned(split.filter(F.col("fold") != number))
+        if trial.names:
+            fits.append(_fits(rows.filter(F.col("fold") == number).select("text", "lang"), trial))
+    fits = [part for part in fits if len(part)]
+    if fits:
+        calibrate(model, pd.concat(fits).groupby("lang").sum())
     return model
 
 
