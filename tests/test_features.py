@@ -7,12 +7,13 @@ import random
 import numpy as np
 import pytest
 from conftest import NOON, after, txn
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidewatch import SkewLimits, amount_bins, derive, heavy_accounts, rows_to_feed
 from tidewatch.functions import money
 from tidewatch.operators import features
 from tidewatch.schema import CORE_COLUMNS
+from tidewatch.sources.work import WorkTables, folder_exists
 
 TIES = ["txn_ts", "txn_id", "customer_id", "beneficiary_id", "amount", "currency", "channel",
         "country", "merchant_category"]
@@ -252,3 +253,27 @@ def test_slices_are_found_by_halving(spark):
     assert "filter" not in str(found)
     missing = rows.select(F.lit(None).cast("array<struct<a:int,b:string>>").alias("_points"), "a", "b")
     assert {row[0] for row in missing.select(found).collect()} == {0}
+
+
+def test_slices_are_ranges_of_the_row_order(spark):
+    """Slices follow the number of ranges, not that of rows in every second."""
+    ids = spark.range(6000).withColumn("day", F.col("id") % 500)
+    feed = ids.select(
+        F.format_string("T%05d", "id").alias("txn_id"), F.lit("BIG").alias("account_id"),
+        F.concat(F.lit("P"), F.col("id") % 3).alias("beneficiary_id"),
+        F.timestamp_seconds(F.col("day") * 86400).alias("txn_ts"),
+        (F.col("id") % 97).cast("double").alias("amount"),
+        F.when(F.col("id") % 5 == 0, "GB").otherwise("US").alias("country"))
+    tables = WorkTables(spark)
+    sliced = derive(feed, heavy=["BIG"], limits=SkewLimits(group_rows=1), tables=tables)
+    [path] = tables._paths
+    slices = spark.read.parquet(path).groupBy("_at", "_slice").agg(
+        F.min("txn_id").alias("first"), F.max("txn_id").alias("last"))
+    assert 500 < slices.count() <= 500 + features._MAX_SLICES
+    line = Window.orderBy("_at", "_slice")
+    place, before = F.struct("_at", "first"), F.lag(F.struct("_at", "last")).over(line)
+    assert slices.withColumn("ordered", before < place).filter("NOT ordered").count() == 0
+    plain = derive(feed, heavy=[]).select(*sliced.columns)
+    assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
+    tables.drop()
+    assert not folder_exists(spark, path)

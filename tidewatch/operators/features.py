@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions import money
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits, heavy_keys, split_by_keys
+from tidewatch.sources.work import WorkTables
 
 # Lengths of the rolling frames in seconds, both ends inclusive.
 HOUR_SECONDS = 3600
@@ -114,48 +115,28 @@ def _by_windows(df: DataFrame, counted: str | None, bins: list[int]) -> DataFram
     return ranked.select(*df.columns, *_route_columns(bins))
 
 
-# Slices of one account-second, and sampled rows per slice that place them.
+# Most ranges of rows, unless the session's shuffle width is larger.
 _MAX_SLICES = 1000
-_SAMPLED_ROWS = 20
 
 
-def _with_slices(df: DataFrame, limits: SkewLimits) -> DataFrame:
-    """Add ``_slice``: 0, or the place of a row's slice in a too heavy second.
+def _with_slices(df: DataFrame, limits: SkewLimits, tables: WorkTables) -> DataFrame:
+    """Add ``_slice``: 0, or the number of a row's range where a second is too heavy.
 
     A feed stamped with dates only, say, puts all of an account's day into one
-    second. Such a second is cut along the row order at split points taken from
-    a sample by hash. Where the cuts fall affects balance only, not results.
+    second. Spark then deals all rows into ranges of the row order, and a second is
+    cut where ranges meet. Where that is affects balance only, not results, but it must
+    not change between the steps that follow, so the rows are written out.
     """
-    ties = _tie_breaks(df)
     counts = df.groupBy("account_id", "_epoch").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.filter(F.col("_n") >= limits.group_rows).orderBy(F.desc("_n"))
-    found = heavy.limit(limits.lookup_rows).toArrow()
-    if found.num_rows == 0:
+    rows, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    if rows is None or most < limits.group_rows:
         return df.withColumn("_slice", F.lit(0))
-    slices = F.least(F.ceil(F.col("_n") / F.lit(limits.group_rows)) + 1, F.lit(_MAX_SLICES))
-    seconds = df.sparkSession.createDataFrame(found).select(
-        F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"), "_n",
-        slices.alias("_slices"),
-    )
-    here = F.col("account_id").eqNullSafe(F.col("_a")) & F.col("_epoch").eqNullSafe(F.col("_e"))
-    key = F.struct(*ties)
-    every = F.greatest(F.floor(F.col("_n") / (F.col("_slices") * _SAMPLED_ROWS)), F.lit(1))
-    sample = (
-        df.join(F.broadcast(seconds), here)
-        .filter(F.pmod(F.xxhash64(*ties), every) == 0)
-        .select("_a", "_e", "_slices", key.alias("_key"))
-    )
-    second = Window.partitionBy("_a", "_e")
-    place = F.row_number().over(second.orderBy("_key"))
-    share = F.floor(place * F.col("_slices") / F.count(F.lit(1)).over(second))
-    shared = sample.select("_a", "_e", "_slices", "_key", share.alias("_share"))
-    points = (
-        shared.filter(F.col("_share") < F.col("_slices"))
-        .groupBy("_a", "_e", "_share").agg(F.min("_key").alias("_key"))
-        .groupBy("_a", "_e").agg(F.sort_array(F.collect_list("_key")).alias("_points"))
-    )
-    return df.join(F.broadcast(points), here, "left").select(
-        *df.columns, _points_passed(key).alias("_slice"))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(min(rows // limits.group_rows + 1, _MAX_SLICES), width)
+    dealt = df.repartitionByRange(ranges, "account_id", "_at", *_tie_breaks(df))
+    # A task writes several ranges, each under its own number.
+    sliced = dealt.withColumn("_slice", F.spark_partition_id()).coalesce(width)
+    return tables.write(sliced, "slices")
 
 
 def _points_passed(key: Column) -> Column:
@@ -178,12 +159,12 @@ def _matches(columns: dict[str, str]) -> Column:
 
 
 def _by_seconds(
-    df: DataFrame, counted: str | None, limits: SkewLimits, bins: list[int]
+    df: DataFrame, counted: str | None, limits: SkewLimits, bins: list[int], tables: WorkTables
 ) -> DataFrame:
     """The same columns for heavy accounts; no window spans an account's rows."""
     ties = _tie_breaks(df)
     columns = df.columns
-    df = _with_slices(df, limits)
+    df = _with_slices(df, limits, tables)
     units = df.groupBy("account_id", "_epoch", "_at", "_slice").agg(
         # Decimals: an account's sums may outgrow a bigint here.
         *[F.sum(value if _is_rare(part) else value.cast("decimal(20,0)")).alias(part)
@@ -257,6 +238,7 @@ def derive(
     bins: list[int] | None = None,
     counted: str | None = None,
     limits: SkewLimits = DEFAULT_LIMITS,
+    tables: WorkTables | None = None,
 ) -> DataFrame:
     """Add :data:`FEATURE_COLUMNS` to a feed.
 
@@ -264,8 +246,10 @@ def derive(
     counted on ``df`` itself. Counting them on the raw source and passing the
     list saves running the plan behind ``df`` for it. The same holds for ``bins``, what
     :func:`amount_bins` says of ``df`` or of a feed that has all its rows. ``counted`` names a boolean
-    column that tells which rows the payee ordinal counts; by default, all.
+    column that tells which rows the payee ordinal counts; by default, all. Heavy accounts
+    with seconds to be cut are written out to ``tables``; without, that table stays behind.
     """
+    tables = tables or WorkTables(df.sparkSession)
     df = df.drop(*FEATURE_COLUMNS)  # of an earlier run
     if heavy is None:
         heavy = heavy_accounts(df, limits)
@@ -278,7 +262,7 @@ def derive(
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
         featured = _by_windows(others, counted, bins).unionByName(
-            _by_seconds(hot, counted, limits, bins)
+            _by_seconds(hot, counted, limits, bins, tables)
         )
     else:
         featured = _by_windows(timed, counted, bins)

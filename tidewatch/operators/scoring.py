@@ -13,6 +13,7 @@ from tidewatch.functions.rules import Rule, compile_rules
 from tidewatch.operators.features import derive
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import ALERT_COLUMNS
+from tidewatch.sources.work import WorkTables
 
 # Bands from lowest to highest, and their default lower bounds.
 BANDS = ["NONE", "LOW", "MEDIUM", "HIGH", "CRITICAL"]
@@ -68,13 +69,15 @@ def score(
     heavy: list | None = None,
     bins: list[int] | None = None,
     limits: SkewLimits = DEFAULT_LIMITS,
+    tables: WorkTables | None = None,
 ) -> DataFrame:
     """History columns, a flag per enabled rule, rule list, score and band.
 
     Rows that skipped the gate are accepted; NULL accounts then share one history.
     """
     compile_rules(rules_config)  # a bad configuration fails before any job runs
-    return score_derived(derive(df, heavy=heavy, bins=bins, limits=limits), rules_config)
+    derived = derive(df, heavy=heavy, bins=bins, limits=limits, tables=tables)
+    return score_derived(derived, rules_config)
 
 
 def _known(min_band: str) -> str:

@@ -59,7 +59,7 @@ def run_batch(
         clean, quarantined = split_dq(work.write(annotated, "gated", "dq_passed"))
 
         scored = score(clean, rules_config, heavy=heavy_accounts(source, limits),
-                       bins=amount_bins(source))
+                       bins=amount_bins(source), tables=work)
         alerts = tag_run(configured_alerts(scored, rules_config), run_id)
         paths = write_outputs(out, alerts, quarantined, dq_summary(quarantined))
 

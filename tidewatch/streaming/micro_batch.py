@@ -23,7 +23,7 @@ from tidewatch.operators.scoring import configured_alerts, project_alerts, score
 from tidewatch.operators.skew import DEFAULT_LIMITS, SkewLimits
 from tidewatch.schema import CORE_COLUMNS
 from tidewatch.sources.feed import stream_feed
-from tidewatch.sources.work import cached, join_path
+from tidewatch.sources.work import WorkTables, cached, join_path
 from tidewatch.streaming.state import (
     BUCKETS, FEW_KEYS, MERGE_AT, Commits, StateTables, bucket_of, fold_accounts, fold_payees,
     run_together,
@@ -81,6 +81,7 @@ def _before_late_rows(pool: DataFrame, overtaken: DataFrame, state: StateTables)
 def derive_with_history(
     new: DataFrame, state: StateTables, since: Mapping[int, dt.date],
     limits: SkewLimits = DEFAULT_LIMITS, search_late: bool = False,
+    tables: WorkTables | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(History columns of a batch's clean rows, as if all earlier rows were there; a cached
     frame behind it, to be given up after use).
@@ -107,7 +108,9 @@ def derive_with_history(
     ))
     # No account of a small pool can be heavy; counting the pool also fills the cache.
     heavy = [] if pool.count() < limits.group_rows else None
-    derived = derive(pool, heavy=heavy, counted="_new", limits=limits).filter("_new").drop("_new")
+    derived = derive(
+        pool, heavy=heavy, counted="_new", limits=limits, tables=tables,
+    ).filter("_new").drop("_new")
 
     # An account's last row counts as the previous one only if it lies before the
     # rows of the pool; otherwise the pool itself holds the previous row, or the batch is late.
@@ -172,7 +175,7 @@ def process_batch(
     """
     spark = batch.sparkSession
     rows = cached(batch)
-    frames = [rows]
+    frames, tables = [rows], WorkTables(spark)
     try:
         if rows.isEmpty():
             return
@@ -187,7 +190,7 @@ def process_batch(
         clean, quarantined = split_dq(annotated)
         new = clean.select(*CORE_COLUMNS)
         since, dates = _clean_dates(new, state.buckets)
-        derived, pool = derive_with_history(new, state, since, limits, search_late)
+        derived, pool = derive_with_history(new, state, since, limits, search_late, tables)
         frames.append(pool)
         alerts = configured_alerts(score_derived(derived, rules_config), rules_config)
         stored = project_alerts(tag_run(alerts, run_id), flags=True)
@@ -211,6 +214,7 @@ def process_batch(
     finally:
         for frame in frames:
             frame.unpersist()
+        tables.drop()
 
 
 def start_stream(
