@@ -10,7 +10,10 @@ from test_stream import land
 from tidewatch import (
     DEFAULT_RULES, SkewLimits, apply_dq, process_batch, read_output, rows_to_feed, score, with_params,
 )
+from tidewatch.operators.gate import annotate_dq
 from tidewatch.operators.scoring import project_alerts, tag_run
+from tidewatch.sources.work import WorkTables, folder_exists
+from tidewatch.streaming import micro_batch
 from tidewatch.streaming.keyed_state import PROVIDER_SETTING, ROCKSDB, start_keyed_stream
 
 GATE = {"unique_key": "txn_id", "checks": []}
@@ -137,3 +140,30 @@ def test_a_late_row_finds_its_previous_row_behind_newer_ones(spark, tmp_path, me
              for row in read_output(spark, root, "alerts").collect()}
     assert fired == {"a1": False, "b1": False, "a2": True, "b2": True,
                      "a3": True, "a4": False, "b3": False}
+
+
+def test_known_keys_are_searched_once_and_nothing_stays_behind(spark, tmp_path, monkeypatch):
+    """The gate reads its input several times; the search among known keys must not run again."""
+    searched, tables = [], []
+
+    def annotate(frame, *args, **options):
+        searched.append((frame, frame.storageLevel.useMemory))
+        return annotate_dq(frame, *args, **options)
+
+    class Tables(WorkTables):
+        def write(self, df, name, *partition_by):
+            table = super().write(df, name, *partition_by)
+            tables.append((name, self._paths[-1]))
+            return table
+
+    monkeypatch.setattr(micro_batch, "annotate_dq", annotate)
+    monkeypatch.setattr(micro_batch, "WorkTables", Tables)
+    rows = [txn("1", "A"), txn("2", "B"), txn("3", "A", after(hours=1))]
+    process_batch(rows_to_feed(spark, rows[:2]), 0, str(tmp_path), GATE, RULES)
+    process_batch(rows_to_feed(spark, rows), 1, str(tmp_path), GATE, RULES)
+    assert [kept for _, kept in searched] == [True, True]
+    assert not any(frame.storageLevel.useMemory for frame, _ in searched)
+    assert [name for name, _ in tables] == ["bounds", "bounds"]
+    assert not any(folder_exists(spark, path) for _, path in tables)
+    counters = read_output(spark, str(tmp_path), "counters").orderBy("batch_id").collect()
+    assert [(row["rows"], row["quarantined"]) for row in counters] == [(2, 0), (3, 2)]

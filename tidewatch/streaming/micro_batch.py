@@ -90,12 +90,14 @@ def derive_with_history(
     has the date of the first row per bucket of accounts. What lies further back enters as
     one row per account (previous row) and one count per account and payee (payee ordinal).
     With ``search_late`` older history is searched for accounts whose rows come late, behind
-    that one row; else such a row has no previous one.
+    that one row; else such a row has no previous one. What several steps read is written out
+    to ``tables``; without, it stays behind.
     """
     seconds = F.col("txn_ts").cast("long")
-    bounds = new.groupBy("account_id").agg(F.min(seconds).alias("_since")).select(
+    tables = tables or WorkTables(new.sparkSession)
+    bounds = tables.write(new.groupBy("account_id").agg(F.min(seconds).alias("_since")).select(
         F.col("account_id").alias("_account"), "_since"
-    )
+    ), "bounds")
     days = {bucket: day - dt.timedelta(days=2) for bucket, day in since.items()}
     recent = (
         state.history(days)
@@ -183,7 +185,11 @@ def process_batch(
         if state.committed:
             return
         key = dq_config.get("unique_key")
-        seen = flag_seen_keys(rows, key, state) if key else rows.withColumn("_seen", F.lit(False))
+        # The gate reads its input several times: the search among known keys runs once.
+        seen = rows.withColumn("_seen", F.lit(False))
+        if key:
+            seen = cached(flag_seen_keys(rows, key, state))
+            frames.append(seen)
         annotated = cached(annotate_dq(
             seen, dq_config, limits=limits, known_duplicate=F.col("_seen")).drop("_seen"))
         frames.append(annotated)
