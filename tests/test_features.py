@@ -277,3 +277,35 @@ def test_slices_are_ranges_of_the_row_order(spark):
     assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
     tables.drop()
     assert not folder_exists(spark, path)
+
+
+def test_rows_of_heavy_accounts_are_shuffled_once_and_joined_with_nothing(spark, monkeypatch):
+    """What lies outside of a range comes as rows among its own, at any number of rows."""
+    rows = random_rows(seed=23, n=150, crowded=True)
+    feed, tables = rows_to_feed(spark, rows), WorkTables(spark)
+    routed, own = [], features._by_seconds
+
+    def watched(df, *others):
+        routed.append(own(df, *others))
+        return routed[-1]
+
+    monkeypatch.setattr(features, "_by_seconds", watched)
+    derive(feed, heavy=["A0"], limits=SkewLimits(group_rows=2), tables=tables)
+    plan = routed[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
+    tables.drop()
+
+
+def test_ranges_number_rows_in_the_row_order(spark):
+    """Places follow the row order of an account, through all of its ranges."""
+    rows = random_rows(seed=29, n=300, crowded=True)
+    tables = WorkTables(spark)
+    derive(rows_to_feed(spark, rows), heavy=["A0", "A4"], limits=SkewLimits(group_rows=2), tables=tables)
+    table = spark.read.parquet(*tables._paths)
+    line = Window.partitionBy("account_id").orderBy("_at", *TIES)
+    before = table.select(
+        (F.lag("_place").over(line) >= F.col("_place")).alias("turned"),
+        (F.lag("_slice").over(line) > F.col("_slice")).alias("back"), "account_id", "_slice")
+    assert before.filter("turned OR back").isEmpty()
+    assert before.filter("account_id = 'A4'").select("_slice").distinct().count() > 50
+    tables.drop()

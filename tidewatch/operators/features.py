@@ -1,17 +1,14 @@
 """History columns of a row: rolling totals, previous row, payee ordinal, hour.
 
 Ordinary accounts take the window route: one shuffle by account and linear-time
-frames. Accounts too heavy for one task take the compact route, which first
-folds their rows into one row per account and second (map-side combined), so a
-window over an account is bounded by the calendar, not by the data. A second
-that is itself too heavy is cut into slices.
+frames. Accounts too heavy for one task take the compact route, which folds
+their rows into one row per account and second (map-side combined), so a
+window over an account is bounded by the calendar, not by the data, and cuts
+the rows themselves into ranges.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions import money
@@ -83,9 +80,9 @@ def _amount_last_day(bins: list[int]) -> Column:
     return money.total({part: F.col(f"_day{part}") for part in money.PARTS}, wide)
 
 
-def _route_columns(bins: list[int]) -> list[str]:
-    """Columns that both routes add to the input."""
-    return ["prev_country", "prev_epoch", "txns_last_hour", *_day_columns(bins), "beneficiary_seq"]
+# Totals of a second, and all columns that both routes add to the input.
+_TOTALS = ["txns_last_hour", "amount_last_day"]
+_ROUTE_COLUMNS = ["prev_country", "prev_epoch", *_TOTALS, "beneficiary_seq"]
 
 
 def _tie_breaks(df: DataFrame) -> list[str]:
@@ -109,34 +106,33 @@ def _by_windows(df: DataFrame, counted: str | None, bins: list[int]) -> DataFram
         "prev_epoch": F.lag("_epoch").over(account),
     })
     rolled = _rolling_parts(previous.withColumns(_parts_of_row(bins)), bins)
-    ranked = rolled.withColumn(
-        "beneficiary_seq", F.sum(_paid(counted)).over(payee).cast("int")
-    )
-    return ranked.select(*df.columns, *_route_columns(bins))
+    ranked = rolled.withColumns({
+        "beneficiary_seq": F.sum(_paid(counted)).over(payee).cast("int"),
+        "amount_last_day": _amount_last_day(bins),
+    })
+    return ranked.select(*df.columns, *_ROUTE_COLUMNS)
 
 
-# Most ranges of rows, unless the session's shuffle width is larger.
+# Ranges of rows, unless the session's shuffle width is larger.
 _MAX_SLICES = 1000
 
 
-def _with_slices(df: DataFrame, limits: SkewLimits, tables: WorkTables) -> DataFrame:
-    """Add ``_slice``: 0, or the number of a row's range where a second is too heavy.
+def _in_ranges(df: DataFrame, tables: WorkTables) -> DataFrame:
+    """Add ``_slice``, the number of a row's range, and ``_place``, its place in the row order.
 
-    A feed stamped with dates only, say, puts all of an account's day into one
-    second. Spark then deals all rows into ranges of the row order, and a second is
-    cut where ranges meet. Where that is affects balance only, not results, but it must
-    not change between the steps that follow, so the rows are written out.
+    Spark deals all rows into ranges of the row order, so that no account and no second
+    (a day, in a feed stamped with dates only) is too heavy for a task. Where ranges meet
+    affects balance only, not results, but it must not change between the steps that
+    follow, so the rows are written out.
     """
-    counts = df.groupBy("account_id", "_epoch").agg(F.count(F.lit(1)).alias("_n"))
-    rows, most = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if rows is None or most < limits.group_rows:
-        return df.withColumn("_slice", F.lit(0))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(min(rows // limits.group_rows + 1, _MAX_SLICES), width)
-    dealt = df.repartitionByRange(ranges, "account_id", "_at", *_tie_breaks(df))
+    order = ["account_id", "_at", *_tie_breaks(df)]
+    dealt = df.repartitionByRange(max(_MAX_SLICES, width), *order).sortWithinPartitions(*order)
+    placed = dealt.withColumns({
+        "_slice": F.spark_partition_id(), "_place": F.monotonically_increasing_id(),
+    })
     # A task writes several ranges, each under its own number.
-    sliced = dealt.withColumn("_slice", F.spark_partition_id()).coalesce(width)
-    return tables.write(sliced, "slices")
+    return tables.write(placed.coalesce(width), "slices")
 
 
 def _points_passed(key: Column) -> Column:
@@ -152,72 +148,62 @@ def _points_passed(key: Column) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), start, halve, lambda held: held["passed"])
 
 
-def _matches(columns: dict[str, str]) -> Column:
-    """NULL-safe equality of each column with its counterpart."""
-    pairs = [F.col(left).eqNullSafe(F.col(right)) for left, right in columns.items()]
-    return reduce(and_, pairs)
+# Place of what a range is told of earlier ones, before all of its rows.
+_TOLD = -1
 
 
 def _by_seconds(
-    df: DataFrame, counted: str | None, limits: SkewLimits, bins: list[int], tables: WorkTables
+    df: DataFrame, counted: str | None, bins: list[int], tables: WorkTables
 ) -> DataFrame:
-    """The same columns for heavy accounts; no window spans an account's rows."""
-    ties = _tie_breaks(df)
+    """The same columns for heavy accounts; no window spans an account's rows.
+
+    The windows over a range's rows also pass a few rows that tell what lies outside of it:
+    before each second, its totals and the row that precedes it; before all rows, the
+    payments to a payee in all ranges before.
+    """
     columns = df.columns
-    df = _with_slices(df, limits, tables)
-    units = df.groupBy("account_id", "_epoch", "_at", "_slice").agg(
+    rows = _in_ranges(df, tables)
+    units = rows.groupBy("_slice", "account_id", "_at").agg(
         # Decimals: an account's sums may outgrow a bigint here.
         *[F.sum(value if _is_rare(part) else value.cast("decimal(20,0)")).alias(part)
           for part, value in _parts_of_row(bins).items()],
-        F.max_by(F.struct("country"), F.struct(*ties)).alias("_last"),
+        F.max_by(F.struct("country", "_epoch"), "_place").alias("_last"),
     )
-    line = Window.partitionBy("account_id").orderBy("_at", "_slice")
-    timeline = _rolling_parts(units.withColumns({
-        "_before_country": F.lag("_last.country").over(line),
-        "_before_epoch": F.lag("_epoch").over(line),
-    }), bins).select(
-        F.col("account_id").alias("_a"), F.col("_epoch").alias("_e"),
-        F.col("_slice").alias("_s"), "_before_country", "_before_epoch",
-        F.col("txns_last_hour").cast("long").alias("txns_last_hour"), *_day_columns(bins),
+    account = Window.partitionBy("account_id").orderBy("_at", "_slice")
+    seconds = _rolling_parts(units.withColumn("_before", F.lag("_last").over(account)), bins).select(
+        "_slice", "account_id", "_at", F.lit(_TOLD).alias("_place"), "_before.*",
+        F.struct(
+            F.col("txns_last_hour").cast("long").alias("txns_last_hour"),
+            _amount_last_day(bins).alias("amount_last_day"),
+        ).alias("_totals"),
     )
     earlier = (
-        Window.partitionBy("account_id", "beneficiary_id").orderBy("_epoch", "_slice")
+        Window.partitionBy("account_id", "beneficiary_id").orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    payees = (
-        df.groupBy("account_id", "beneficiary_id", "_epoch", "_slice")
+    payments = (
+        rows.groupBy("_slice", "account_id", "beneficiary_id")
         .agg(F.sum(_paid(counted)).alias("_paid"))
-        .select(
-            F.col("account_id").alias("_pa"), F.col("beneficiary_id").alias("_pb"),
-            F.col("_epoch").alias("_pe"), F.col("_slice").alias("_ps"),
-            F.coalesce(F.sum("_paid").over(earlier), F.lit(0)).alias("_paid_before"),
-        )
-    )
-    unit = Window.partitionBy("account_id", "_epoch", "_slice")
-    payee_unit = (
-        Window.partitionBy("account_id", "_epoch", "_slice", "beneficiary_id").orderBy(*ties)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        .withColumns({"_place": F.lit(_TOLD), "_paid": F.sum("_paid").over(earlier)})
+        .filter(F.col("_paid").isNotNull())
     )
-    within = df.withColumns({
-        "_place": F.row_number().over(unit.orderBy(*ties)),
-        "_peer_country": F.lag("country").over(unit.orderBy(*ties)),
-        "_payee_place": F.sum(_paid(counted)).over(payee_unit),
+    told = rows.withColumn("_paid", _paid(counted))
+    for outside in (seconds, payments):
+        told = told.unionByName(outside, allowMissingColumns=True)
+    # What follows needs no other shuffle: one range's rows of an account are together.
+    told = told.repartition("_slice", "account_id")
+    line = Window.partitionBy("_slice", "account_id").orderBy("_at", "_place")
+    payee = Window.partitionBy("_slice", "account_id", "beneficiary_id").orderBy("_place")
+    so_far = (Window.unboundedPreceding, 0)
+    ranked = told.withColumn("_ordinal", F.sum("_paid").over(payee.rowsBetween(*so_far)))
+    known = ranked.withColumns({
+        "prev_country": F.lag("country").over(line),
+        "prev_epoch": F.lag("_epoch").over(line),
+        "_now": F.last("_totals", ignorenulls=True).over(line.rowsBetween(*so_far)),
     })
-    leads = F.col("_place") == 1
-    joined = within.join(
-        timeline, _matches({"account_id": "_a", "_epoch": "_e", "_slice": "_s"})
-    ).join(
-        payees, _matches({
-            "account_id": "_pa", "_epoch": "_pe", "_slice": "_ps", "beneficiary_id": "_pb",
-        })
-    )
-    return joined.select(
-        *columns,
-        F.when(leads, F.col("_before_country")).otherwise(F.col("_peer_country"))
-        .alias("prev_country"),
-        F.when(leads, F.col("_before_epoch")).otherwise(F.col("_epoch")).alias("prev_epoch"),
-        "txns_last_hour", *_day_columns(bins),
-        (F.col("_paid_before") + F.col("_payee_place")).cast("int").alias("beneficiary_seq"),
+    return known.filter(F.col("_place") > _TOLD).select(
+        *columns, "prev_country", "prev_epoch", "_now.*",
+        F.col("_ordinal").cast("int").alias("beneficiary_seq"),
     )
 
 
@@ -246,8 +232,8 @@ def derive(
     counted on ``df`` itself. Counting them on the raw source and passing the
     list saves running the plan behind ``df`` for it. The same holds for ``bins``, what
     :func:`amount_bins` says of ``df`` or of a feed that has all its rows. ``counted`` names a boolean
-    column that tells which rows the payee ordinal counts; by default, all. Heavy accounts
-    with seconds to be cut are written out to ``tables``; without, that table stays behind.
+    column that tells which rows the payee ordinal counts; by default, all. Rows of heavy
+    accounts are written out to ``tables``; without, that table stays behind.
     """
     tables = tables or WorkTables(df.sparkSession)
     df = df.drop(*FEATURE_COLUMNS)  # of an earlier run
@@ -262,15 +248,14 @@ def derive(
     if heavy:
         hot, others = split_by_keys(timed, "account_id", heavy)
         featured = _by_windows(others, counted, bins).unionByName(
-            _by_seconds(hot, counted, limits, bins, tables)
+            _by_seconds(hot, counted, bins, tables)
         )
     else:
         featured = _by_windows(timed, counted, bins)
     return featured.select(
         *columns,
         "_epoch",
-        "txns_last_hour",
-        _amount_last_day(bins).alias("amount_last_day"),
+        *_TOTALS,
         "prev_country",
         "prev_epoch",
         ((F.col("_epoch") - F.col("prev_epoch")) / F.lit(3600.0)).alias("hours_since_prev"),
